@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.operators import service
+from pickwise.operators import routes, schedule, service, stops
 from pickwise.plans import oracle_sql as O
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import star_to_gtfs
@@ -118,3 +118,70 @@ def q_filter_bundle_trips(spark, sf_dir):
     per_trip = st.groupBy("bundle", "trip_id").agg(F.count("*").alias("stop_rows"))
     return trips.join(per_trip, ["bundle", "trip_id"], "left").select(
         "bundle", "trip_id", "route_id", "service_id", "shape_id", F.coalesce("stop_rows", F.lit(0)).alias("stop_rows"))
+
+
+# ---- schedule (C12-C19) --------------------------------------------------------
+
+def _days(t):
+    return service.representative_days(t.bundle_dates, t.calendar, t.calendar_dates)
+
+
+def _schedule(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return schedule.schedule(t.trips, t.stop_times, t.calendar, t.calendar_dates, _days(t))
+
+
+@register("trip_runtimes", O.TRIP_RUNTIMES)
+def q_trip_runtimes(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    svc = service.active_services(t.calendar, t.calendar_dates, _days(t))
+    return schedule.trip_runtimes(service.trips_on_dates(t.trips, svc), schedule.trip_endpoints(t.stop_times))
+
+
+@register("schedule", O.SCHEDULE)
+def q_schedule(spark, sf_dir):
+    return _schedule(spark, sf_dir)
+
+
+@register("compare_schedules", O.COMPARE_SCHEDULES)
+def q_compare_schedules(spark, sf_dir):
+    return schedule.compare_schedules(_schedule(spark, sf_dir), "pick_a", "pick_b")
+
+
+# ---- stop lists (C20-C21) -----------------------------------------------------
+
+@register("stop_list", O.STOP_LIST)
+def q_stop_list(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return stops.stop_list(t.trips, t.stop_times, t.stops)
+
+
+@register("compare_stop_lists", O.COMPARE_STOP_LISTS)
+def q_compare_stop_lists(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return stops.compare_stop_lists(stops.stop_list(t.trips, t.stop_times, t.stops), "pick_a", "pick_b")
+
+
+# ---- route summary (C22-C28) ----------------------------------------------------
+
+def _route_summary(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return routes.route_summary(t.trips, t.stop_times, t.routes, t.calendar, t.calendar_dates, _days(t))
+
+
+@register("route_period_counts", O.ROUTE_PERIOD_COUNTS)
+def q_route_period_counts(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    svc = service.active_services(t.calendar, t.calendar_dates, _days(t))
+    times = routes.trip_times(service.trips_on_dates(t.trips, svc), routes.trip_first_departure(t.stop_times))
+    return routes.route_period_counts(times)
+
+
+@register("route_summary", O.ROUTE_SUMMARY)
+def q_route_summary(spark, sf_dir):
+    return _route_summary(spark, sf_dir)
+
+
+@register("compare_route_summaries", O.COMPARE_ROUTE_SUMMARIES)
+def q_compare_route_summaries(spark, sf_dir):
+    return routes.compare_route_summaries(_route_summary(spark, sf_dir), "pick_a", "pick_b")
