@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.operators import routes, schedule, service, stops
+from pickwise.operators import routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import star_to_gtfs
@@ -185,3 +185,26 @@ def q_route_summary(spark, sf_dir):
 @register("compare_route_summaries", O.COMPARE_ROUTE_SUMMARIES)
 def q_compare_route_summaries(spark, sf_dir):
     return routes.compare_route_summaries(_route_summary(spark, sf_dir), "pick_a", "pick_b")
+
+
+# ---- variants (C29-C39) ------------------------------------------------------------
+
+VARIANT_COLUMNS = ["bundle", "route_id", "shape_id", "daytype", "direction_id", "daytype_direction",
+                   "inferred_variant_type", "trip_count", "stop_count", "length_ft", "headsign", "start_stop",
+                   "end_stop", "school", "main_shape_id"]
+
+
+def _variant_table(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates, _days(t))
+
+
+@register("variant_table", O.VARIANT_TABLE)
+def q_variant_table(spark, sf_dir):
+    return _variant_table(spark, sf_dir).withColumn("length_ft", F.bround("length_ft", 1)).select(*VARIANT_COLUMNS)
+
+
+@register("variant_type_counts", O.VARIANT_TYPE_COUNTS)
+def q_variant_type_counts(spark, sf_dir):
+    return (_variant_table(spark, sf_dir).groupBy("bundle", "inferred_variant_type")
+            .agg(F.count(F.lit(1)).alias("variants"), F.sum("trip_count").cast("long").alias("trips")))
