@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.operators import routes, schedule, service, stops, variants
+from pickwise.operators import matching, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import star_to_gtfs
@@ -208,3 +208,33 @@ def q_variant_table(spark, sf_dir):
 def q_variant_type_counts(spark, sf_dir):
     return (_variant_table(spark, sf_dir).groupBy("bundle", "inferred_variant_type")
             .agg(F.count(F.lit(1)).alias("variants"), F.sum("trip_count").cast("long").alias("trips")))
+
+
+# ---- similarity and matching (C40-C47) ------------------------------------------------
+
+def _pairs(spark, sf_dir, version):
+    p = matching.variant_pairs(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=version)
+    comps = [c for c in p.columns if c not in ("route_id", "direction_id", "daytype", "shape_id_a", "shape_id_b")]
+    return p.withColumns({c: F.bround(c, 4) for c in comps})
+
+
+@register("variant_pairs_v1", O.variant_pairs(1))
+def q_variant_pairs_v1(spark, sf_dir):
+    return _pairs(spark, sf_dir, 1)
+
+
+@register("variant_pairs_v2", O.variant_pairs(2))
+def q_variant_pairs_v2(spark, sf_dir):
+    return _pairs(spark, sf_dir, 2)
+
+
+@register("variant_matches", O.variant_matches(2))
+def q_variant_matches(spark, sf_dir):
+    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=2)
+    return m.withColumn("score", F.bround("score", 4))
+
+
+@register("variant_matches_v1", O.variant_matches(1))
+def q_variant_matches_v1(spark, sf_dir):
+    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=1)
+    return m.withColumn("score", F.bround("score", 4))

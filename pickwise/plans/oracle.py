@@ -132,6 +132,13 @@ fixture_rename_rules AS (
 """
 
 
+def sbround(expr: str, digits: int) -> str:
+    """Half-even rounding of a double's shortest decimal form -- what Spark's
+    ``bround`` does (DuckDB's ``round_even`` rounds the binary value, so it
+    disagrees on near-ties such as 0.9812500000000001)."""
+    return f"CAST(round_even(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 def with_fixture(*ctes: str, select: str) -> str:
     """Fixture CTEs, then the given ``name AS (...)`` CTEs, then ``select``."""
     extra = "".join(f",\n{c.strip()}" for c in ctes)

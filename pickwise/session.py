@@ -25,6 +25,7 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = (
         SparkSession.builder.master(master).appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
