@@ -11,10 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.operators import matching, routes, schedule, service, stops, variants
+from pickwise.operators import matching, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
 from pickwise.sources import tables as T
-from pickwise.sources.star_fixture import star_to_gtfs
+from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -238,3 +238,87 @@ def q_variant_matches(spark, sf_dir):
 def q_variant_matches_v1(spark, sf_dir):
     m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=1)
     return m.withColumn("score", F.bround("score", 4))
+
+
+# ---- ridership id repair (C48-C54) ---------------------------------------------------
+
+REF_YEAR, REF_MONTHS = "2000", ("9", "10", "11", "12")
+
+
+def _rid(spark, sf_dir):
+    return _t(spark, sf_dir).ridership
+
+
+def _pre(spark, sf_dir, literal=False):
+    return ridership.ridership_overrides(_rid(spark, sf_dir), literal=literal)
+
+
+@register("ridership_overrides", O.RIDERSHIP_OVERRIDES)
+def q_ridership_overrides(spark, sf_dir):
+    return _pre(spark, sf_dir)
+
+
+@register("reference_ids", O.REFERENCE_IDS)
+def q_reference_ids(spark, sf_dir):
+    return ridership.reference_ids(_pre(spark, sf_dir), REF_YEAR, REF_MONTHS)
+
+
+@register("missing_ids", O.MISSING_IDS)
+def q_missing_ids(spark, sf_dir):
+    return ridership.missing_ids(_pre(spark, sf_dir))
+
+
+def _attempt(spark, sf_dir):
+    pre = _pre(spark, sf_dir)
+    good = ridership.reference_ids(pre, REF_YEAR, REF_MONTHS)
+    return ridership.match_ids(ridership.missing_ids(pre), good), good
+
+
+@register("match_ids", O.MATCH_IDS)
+def q_match_ids(spark, sf_dir):
+    return _attempt(spark, sf_dir)[0]
+
+
+def _renamed(spark, sf_dir):
+    attempt, good = _attempt(spark, sf_dir)
+    extra = fixture_rename_rules(spark, sf_dir)
+    return ridership.rename_stops(attempt.where(F.col("matched_gtfsid").isNull()), extra_rules=extra), good
+
+
+@register("rename_stops", O.RENAME_STOPS)
+def q_rename_stops(spark, sf_dir):
+    return _renamed(spark, sf_dir)[0]
+
+
+@register("match_renamed_ids", O.MATCH_RENAMED_IDS)
+def q_match_renamed_ids(spark, sf_dir):
+    renamed, good = _renamed(spark, sf_dir)
+    return ridership.match_renamed_ids(renamed, good)
+
+
+def _fill(spark, sf_dir, literal=False):
+    return ridership.fill_ids(_rid(spark, sf_dir), REF_YEAR, REF_MONTHS, literal=literal,
+                              extra_rename_rules=fixture_rename_rules(spark, sf_dir))
+
+
+@register("fill_ids", O.FILL_IDS)
+def q_fill_ids(spark, sf_dir):
+    return _fill(spark, sf_dir)
+
+
+@register("fill_ids_literal", O.FILL_IDS_LITERAL)
+def q_fill_ids_literal(spark, sf_dir):
+    return _fill(spark, sf_dir, literal=True)
+
+
+@register("id_repair_summary", O.ID_REPAIR_SUMMARY)
+def q_id_repair_summary(spark, sf_dir):
+    pre = _pre(spark, sf_dir)
+    lookup = ridership.id_lookup(pre, REF_YEAR, REF_MONTHS,
+                                 extra_rename_rules=fixture_rename_rules(spark, sf_dir))
+    j = pre.join(lookup, ridership.KEY, "left")
+    outcome = (F.when(F.col("gtfsid").isNotNull(), F.lit("had_id"))
+               .when(F.col("matched_gtfsid").isNotNull(), F.lit("exact"))
+               .when(F.col("renamed_gtfsid").isNotNull(), F.lit("renamed"))
+               .otherwise(F.lit("not_repaired")))
+    return j.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"))
