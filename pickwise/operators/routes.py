@@ -62,12 +62,14 @@ def route_names(routes: DataFrame) -> DataFrame:
 
 
 def route_summary(trips: DataFrame, stop_times: DataFrame, routes: DataFrame, calendar: DataFrame,
-                  calendar_dates: DataFrame, dates: DataFrame, max_minute: int = 1440,
-                  periods=PERIODS) -> DataFrame:
+                  calendar_dates: DataFrame, dates: DataFrame | None = None, max_minute: int = 1440,
+                  periods=PERIODS, services: DataFrame | None = None) -> DataFrame:
     """Per route, the busier direction's frequency in each period and the
     sum of both directions' totals. Routes without a routes row keep a null
-    name instead of vanishing; names are attached after grouping."""
-    services = active_services(calendar, calendar_dates, dates)
+    name instead of vanishing; names are attached after grouping. Pass
+    ``services`` (``active_services`` output) to reuse it."""
+    if services is None:
+        services = active_services(calendar, calendar_dates, dates)
     times = trip_times(trips_on_dates(trips, services), trip_first_departure(stop_times), max_minute)
     freq = route_frequencies(route_period_counts(times, periods), periods)
     pcols = [period_column_name(p[0]) for p in periods]

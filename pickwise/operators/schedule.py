@@ -54,23 +54,33 @@ def hourly_service(runtimes: DataFrame, threshold: float = 1.0) -> DataFrame:
     return g.withColumn("flag", F.abs(F.col("avg_running_time") - F.col("mean_running_time")) > threshold)
 
 
-def hourly_grid(hourly: DataFrame, runtimes: DataFrame) -> DataFrame:
-    """C17: 24 rows for every route/direction running that day; empty hours are null."""
-    keys = runtimes.select(*GROUP_KEY).distinct()
-    grid = keys.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
-    return grid.join(hourly, GROUP_KEY + ["hour"], "left")
+def hourly_grid(hourly: DataFrame) -> DataFrame:
+    """C17: 24 rows for every route/direction running that day; empty hours are null.
+
+    The hours of each route/direction are gathered into a small map (at most
+    24 entries) and the 0-23 grid is generated from it, so the result needs
+    no self-join and no second pass over the trips.
+    """
+    val = F.struct("frequency", "avg_running_time", "flag")
+    per_key = hourly.groupBy(*GROUP_KEY).agg(F.map_from_entries(F.collect_list(F.struct("hour", val))).alias("by_hour"))
+    grid = per_key.select(*GROUP_KEY, "by_hour", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
+    cell = F.try_element_at(F.col("by_hour"), F.col("hour"))
+    return grid.select(*GROUP_KEY, "hour", cell["frequency"].alias("frequency"),
+                       cell["avg_running_time"].alias("avg_running_time"), cell["flag"].alias("flag"))
 
 
 def schedule(trips: DataFrame, stop_times: DataFrame, calendar: DataFrame, calendar_dates: DataFrame,
-             dates: DataFrame, max_minute: int = 1440, threshold: float = 1.0) -> DataFrame:
+             dates: DataFrame | None = None, max_minute: int = 1440, threshold: float = 1.0,
+             services: DataFrame | None = None) -> DataFrame:
     """Hourly schedule of every (bundle, date) in ``dates``.
 
-    ``dates`` has (bundle, service_date, daytype), e.g. ``representative_days``.
+    ``dates`` has (bundle, service_date, daytype), e.g. ``representative_days``;
+    or pass ``services`` (``active_services`` output) to reuse it.
     """
-    services = active_services(calendar, calendar_dates, dates)
+    if services is None:
+        services = active_services(calendar, calendar_dates, dates)
     runtimes = trip_runtimes(trips_on_dates(trips, services), trip_endpoints(stop_times), max_minute)
-    out = hourly_grid(hourly_service(runtimes, threshold), runtimes)
-    return out.select(*GROUP_KEY, "hour", "frequency", "avg_running_time", "flag")
+    return hourly_grid(hourly_service(runtimes, threshold))
 
 
 def compare_schedules(sched: DataFrame, bundle_a: str, bundle_b: str, literal: bool = False) -> DataFrame:

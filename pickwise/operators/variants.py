@@ -44,23 +44,40 @@ def variants(trips: DataFrame, route_filter=None) -> DataFrame:
     return t.select("bundle", "route_id", "shape_id").distinct()
 
 
-def variant_trip_stats(trips: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Per (bundle, shape): trip count (over all routes), first
-    trip (smallest id) with its headsign and direction, and daytype.
-
-    Daytype: ``weekend`` when the shape's services run on Saturday or Sunday
-    and never Monday-Friday; otherwise ``weekday`` (also with no calendar row).
+def first_stop_in_windows(stop_times: DataFrame, windows=SCHOOL_WINDOWS) -> DataFrame:
+    """Per trip: are all its ``stop_sequence == 1`` departures inside the
+    windows (seconds of day, hour modulo 24)? Only first-stop rows are read."""
+    return (stop_times.where(F.col("stop_sequence") == 1)
+            .select("bundle", "trip_id", in_windows(clock_seconds_of_day("departure_time"), windows).alias("ok"))
+            .groupBy("bundle", "trip_id").agg(F.bool_and("ok").alias("ok")))
+
+
+def variant_trip_stats(trips: DataFrame, calendar: DataFrame, first_stop_ok: DataFrame | None = None) -> DataFrame:
+    """Per (bundle, shape), one aggregate over the trips.
+
+    Trip count (over all routes using the shape), first trip (smallest id)
+    with its headsign and direction, daytype, school flag and the routes
+    listing the shape. Daytype is ``weekend`` when the shape's services run on
+    Saturday or Sunday and never Monday-Friday, else ``weekday`` (also with no
+    calendar row). School: every first departure in the school windows; no
+    first-stop row at all counts as true.
     """
     flags = (calendar.groupBy("bundle", "service_id")
              .agg(F.max(F.greatest(*[F.col(c) for c in WEEKDAY_COLUMNS])).alias("wk"),
                   F.max(F.greatest(*[F.col(c) for c in WEEKEND_COLUMNS])).alias("we")))
     t = trips.where(F.col("shape_id").isNotNull()).join(flags, ["bundle", "service_id"], "left")
+    if first_stop_ok is not None:
+        t = t.join(first_stop_ok, ["bundle", "trip_id"], "left")
+    else:
+        t = t.withColumn("ok", F.lit(None).cast("boolean"))
     g = (t.groupBy(*SHAPE_KEY)
          .agg(F.count(F.lit(1)).alias("trip_count"),
               F.min("trip_id").alias("first_trip"),
               F.min_by("trip_headsign", "trip_id").alias("headsign"),
               F.min_by("direction_id", "trip_id").alias("direction_id"),
-              F.max("wk").alias("wk"), F.max("we").alias("we")))
+              F.max("wk").alias("wk"), F.max("we").alias("we"),
+              F.coalesce(F.bool_and("ok"), F.lit(True)).alias("school"),
+              F.collect_set("route_id").alias("route_ids")))
     weekend = (F.coalesce(F.col("wk"), F.lit(0)) == 0) & (F.coalesce(F.col("we"), F.lit(0)) == 1)
     return g.withColumn("daytype", F.when(weekend, F.lit("weekend")).otherwise(F.lit("weekday"))).drop("wk", "we")
 
@@ -126,13 +143,11 @@ def variant_stop_pattern(stats: DataFrame, stop_times: DataFrame, stops: DataFra
 
 
 def variant_school(trips: DataFrame, stop_times: DataFrame, windows=SCHOOL_WINDOWS) -> DataFrame:
-    """Whether every first departure (``stop_sequence == 1``) of the
-    shape's trips lies in the school windows; no such row -> true."""
-    first = stop_times.where(F.col("stop_sequence") == 1).select(
-        "bundle", "trip_id", in_windows(clock_seconds_of_day("departure_time"), windows).alias("ok"))
+    """C36 on its own: (bundle, shape_id, school)."""
+    ok = first_stop_in_windows(stop_times, windows)
     t = trips.where(F.col("shape_id").isNotNull()).select("bundle", "trip_id", "shape_id")
-    return (t.join(first, ["bundle", "trip_id"]).groupBy(*SHAPE_KEY)
-            .agg(F.bool_and("ok").alias("school")))
+    return (t.join(ok, ["bundle", "trip_id"], "left").groupBy(*SHAPE_KEY)
+            .agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("school")))
 
 
 def main_variant(vt: DataFrame, weights=MAIN_WEIGHTS) -> DataFrame:
@@ -172,23 +187,34 @@ def variant_type(vt: DataFrame, limited_share: float = LIMITED_STOP_SHARE, short
 
 def variant_metrics(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, calendar: DataFrame,
                     route_filter=None, school_windows=SCHOOL_WINDOWS) -> DataFrame:
-    """All per-variant metrics (C29-C36) for already date-filtered trips."""
-    stats = variant_trip_stats(trips, calendar)
+    """All per-variant metrics (C29-C36) for already date-filtered trips.
+
+    The trips are read once: one aggregate per shape carries every trip
+    metric and the routes listing the shape; only the shapes' first trips
+    meet stop_times for the stop pattern.
+    """
+    stats = variant_trip_stats(trips, calendar, first_stop_in_windows(stop_times, school_windows))
     pattern = variant_stop_pattern(stats, stop_times, stops)
-    school = variant_school(trips, stop_times, school_windows)
-    per_shape = (stats.join(pattern, SHAPE_KEY, "left").join(school, SHAPE_KEY, "left")
-                 .withColumns({"stop_count": F.coalesce("stop_count", F.lit(0).cast("long")),
-                               "school": F.coalesce("school", F.lit(True))}))
-    return variants(trips, route_filter).join(per_shape, SHAPE_KEY)
+    per_shape = (stats.join(pattern, SHAPE_KEY, "left")
+                 .withColumn("stop_count", F.coalesce("stop_count", F.lit(0).cast("long"))))
+    out = per_shape.withColumn("route_id", F.explode("route_ids")).drop("route_ids")
+    if isinstance(route_filter, str):
+        out = out.where(F.col("route_id").rlike(route_filter))
+    elif route_filter is not None:
+        out = out.where(F.col("route_id").isin(list(route_filter)))
+    return out
 
 
 def variant_table(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, calendar: DataFrame,
-                  calendar_dates: DataFrame, dates: DataFrame, route_filter=None, **type_kw) -> DataFrame:
+                  calendar_dates: DataFrame, dates: DataFrame | None = None, route_filter=None,
+                  services: DataFrame | None = None, **type_kw) -> DataFrame:
     """Every variant of every route and bundle with metrics and type.
 
-    Trips are those running on any of ``dates`` (e.g. the representative days).
+    Trips are those running on any of ``dates`` (e.g. the representative
+    days); pass ``services`` (``active_services`` output) to reuse it.
     """
-    services = active_services(calendar, calendar_dates, dates)
+    if services is None:
+        services = active_services(calendar, calendar_dates, dates)
     kept_trips, _ = filter_bundle(trips, stop_times, services)
     vt = variant_metrics(kept_trips, stop_times, stops, calendar, route_filter)
     out = variant_type(main_variant(vt), **type_kw)

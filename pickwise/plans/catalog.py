@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pickwise.operators import matching, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
+from pickwise.plans.materialize import materialize
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
 
@@ -27,8 +28,29 @@ def register(name: str, sql: str | None):
     return deco
 
 
+_FIXTURES: dict[tuple[str, str], T.GtfsTables] = {}
+
+
 def _t(spark, sf_dir):
-    return star_to_gtfs(spark, sf_dir)
+    """The GTFS tables derived from ``sf_dir``, checkpointed once per session
+    (as if stored); every query then reads them like stored bundle tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FIXTURES:
+        t = star_to_gtfs(spark, sf_dir)
+        _FIXTURES[key] = T.GtfsTables(**{n: materialize(df) for n, df in t.items()})
+    return _FIXTURES[key]
+
+
+_SERVICES: dict[tuple[str, str], DataFrame] = {}
+
+
+def _services(spark, sf_dir):
+    """Services of the representative days (tiny, reused by every operator)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SERVICES:
+        t = _t(spark, sf_dir)
+        _SERVICES[key] = materialize(service.active_services(t.calendar, t.calendar_dates, _days(t)))
+    return _SERVICES[key]
 
 
 # ---- bundle loading (C01-C02) ------------------------------------------------
@@ -128,13 +150,14 @@ def _days(t):
 
 def _schedule(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return schedule.schedule(t.trips, t.stop_times, t.calendar, t.calendar_dates, _days(t))
+    return schedule.schedule(t.trips, t.stop_times, t.calendar, t.calendar_dates,
+                             services=_services(spark, sf_dir))
 
 
 @register("trip_runtimes", O.TRIP_RUNTIMES)
 def q_trip_runtimes(spark, sf_dir):
     t = _t(spark, sf_dir)
-    svc = service.active_services(t.calendar, t.calendar_dates, _days(t))
+    svc = _services(spark, sf_dir)
     return schedule.trip_runtimes(service.trips_on_dates(t.trips, svc), schedule.trip_endpoints(t.stop_times))
 
 
@@ -166,13 +189,14 @@ def q_compare_stop_lists(spark, sf_dir):
 
 def _route_summary(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return routes.route_summary(t.trips, t.stop_times, t.routes, t.calendar, t.calendar_dates, _days(t))
+    return routes.route_summary(t.trips, t.stop_times, t.routes, t.calendar, t.calendar_dates,
+                                services=_services(spark, sf_dir))
 
 
 @register("route_period_counts", O.ROUTE_PERIOD_COUNTS)
 def q_route_period_counts(spark, sf_dir):
     t = _t(spark, sf_dir)
-    svc = service.active_services(t.calendar, t.calendar_dates, _days(t))
+    svc = _services(spark, sf_dir)
     times = routes.trip_times(service.trips_on_dates(t.trips, svc), routes.trip_first_departure(t.stop_times))
     return routes.route_period_counts(times)
 
@@ -196,7 +220,8 @@ VARIANT_COLUMNS = ["bundle", "route_id", "shape_id", "daytype", "direction_id",
 
 def _variant_table(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates, _days(t))
+    return variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates,
+                                  services=_services(spark, sf_dir))
 
 
 @register("variant_table", O.VARIANT_TABLE)

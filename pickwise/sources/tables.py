@@ -76,7 +76,10 @@ def load_tables(spark: SparkSession, root: str, bundles=None, names=None) -> Gtf
 def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite") -> None:
     """Write each table partitioned by bundle (the layout ``load_tables`` reads)."""
     for name, df in tables.items():
-        df.write.mode(mode).partitionBy("bundle").parquet(f"{root}/{name}")
+        w = df.write.mode(mode)
+        if "bundle" in df.columns:
+            w = w.partitionBy("bundle")
+        w.parquet(f"{root}/{name}")
 
 
 def bundle_trips(trips: DataFrame, routes: DataFrame) -> DataFrame:

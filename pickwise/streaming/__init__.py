@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The compared inputs are immutable published schedule bundles; nothing in
+the reference reads a stream, keeps state or handles late data. A new bundle
+is a new partition of the bundle tables and is compared by the batch
+operators (``bundle`` is a key everywhere), so no streaming operator exists.
+"""
