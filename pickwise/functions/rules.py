@@ -38,7 +38,13 @@ def rule_condition(r: Rule, milepost_tol: float = 0.0) -> Column:
 
 
 def first_match(rules, value_of, default: Column | None = None, milepost_tol: float = 0.0) -> Column:
-    """CASE WHEN rule_1 THEN value_of(rule_1) ... ELSE default END."""
+    """CASE WHEN rule_1 THEN value_of(rule_1) ... ELSE default END.
+
+    Every rule tests ``stop_name``, so the chain is guarded by one hash-set
+    membership test on all rule names: rows no rule can match (nearly all)
+    skip the chain.
+    """
+    names = sorted({n for r in rules for n in r.stop_names})
     expr = None
     for r in rules:
         c = rule_condition(r, milepost_tol)
@@ -46,4 +52,6 @@ def first_match(rules, value_of, default: Column | None = None, milepost_tol: fl
         expr = F.when(c, v) if expr is None else expr.when(c, v)
     if expr is None:
         return default if default is not None else F.lit(None)
-    return expr.otherwise(default) if default is not None else expr
+    chain = expr.otherwise(default) if default is not None else expr
+    guarded = F.when(F.col("stop_name").isin(*names), chain)
+    return guarded.otherwise(default) if default is not None else guarded

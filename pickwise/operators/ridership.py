@@ -165,10 +165,34 @@ def match_renamed_ids(renamed: DataFrame, good: DataFrame) -> DataFrame:
     return renamed.join(g, cond, "left").drop("_r", "_s", "_d").distinct()
 
 
+def _lookup_one_pass(precleaned: DataFrame, year: str, months, rename_rules,
+                     extra_rename_rules: DataFrame | None) -> DataFrame:
+    """Default mode: one aggregate over the ridership rows gives, per key, the
+    reference id (smallest) and whether any row lacks an id; the exact match
+    of a missing key is then its own group's reference id -- no join."""
+    in_ref = (F.col("run_year") == year) & F.col("run_month").isin(*months) & F.col("gtfsid").isNotNull()
+    keys = (precleaned.groupBy(*KEY)
+            .agg(F.min(F.when(in_ref, F.col("gtfsid"))).alias("ref_id"),
+                 F.max(F.col("gtfsid").isNull()).alias("has_missing")))
+    complete = F.col("stop_name").isNotNull() & F.col("route").isNotNull() & F.col("dir").isNotNull()
+    good = keys.where(F.col("ref_id").isNotNull() & complete).select(*KEY, F.col("ref_id").alias("gtfsid"))
+    attempt = (keys.where(F.col("has_missing") & complete)
+               .select(*KEY, F.col("ref_id").alias("matched_gtfsid")))
+    renamed = rename_stops(attempt.where(F.col("matched_gtfsid").isNull()), rename_rules, extra_rename_rules)
+    second = match_renamed_ids(renamed, good).select(*KEY, F.col("gtfsid").alias("renamed_gtfsid"))
+    return attempt.join(second, KEY, "left")
+
+
 def id_lookup(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MONTHS, literal: bool = False,
               rename_rules=RENAME_RULES, extra_rename_rules: DataFrame | None = None) -> DataFrame:
     """Both match attempts as one table keyed by (stop_name, route, dir):
-    ``matched_gtfsid`` (exact) and ``renamed_gtfsid`` (after renaming)."""
+    ``matched_gtfsid`` (exact) and ``renamed_gtfsid`` (after renaming).
+
+    Its size is bounded by the distinct keys of the stop network, not by the
+    number of ridership rows (default mode: one row per key).
+    """
+    if not literal:
+        return _lookup_one_pass(precleaned, year, months, rename_rules, extra_rename_rules)
     good = reference_ids(precleaned, year, months, literal)
     attempt = match_ids(missing_ids(precleaned), good)
     renamed = rename_stops(attempt.where(F.col("matched_gtfsid").isNull()), rename_rules, extra_rename_rules)
@@ -178,11 +202,21 @@ def id_lookup(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MO
 
 def fill_ids(ridership: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MONTHS, literal: bool = False,
              override_rules=OVERRIDE_RULES, rename_rules=RENAME_RULES,
-             extra_rename_rules: DataFrame | None = None, milepost_tol: float = 0.0) -> DataFrame:
+             extra_rename_rules: DataFrame | None = None, milepost_tol: float = 0.0,
+             broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
     """Every (kept) ridership row with ``final_gtfsid`` =
-    coalesce(own id after overrides, exact match, match after renaming)."""
+    coalesce(own id after overrides, exact match, match after renaming).
+
+    The lookup is materialized and counted: at or under ``broadcast_max_rows``
+    the ridership rows meet it in a broadcast join (the large table is never
+    shuffled), above it in a shuffle join. ``broadcast_max_rows=None`` keeps
+    the plan fully lazy and leaves the choice to adaptive execution.
+    """
     pre = ridership_overrides(ridership, override_rules, literal, milepost_tol)
     lookup = id_lookup(pre, year, months, literal, rename_rules, extra_rename_rules)
+    if broadcast_max_rows is not None:
+        from pickwise.plans.materialize import checked_broadcast
+        lookup = checked_broadcast(lookup, broadcast_max_rows)
     return (pre.join(lookup, KEY, "left")
             .withColumn("final_gtfsid", F.coalesce("gtfsid", "matched_gtfsid", "renamed_gtfsid"))
             .select(*pre.columns, "final_gtfsid"))

@@ -83,9 +83,15 @@ def daily_signature(daily: DataFrame) -> DataFrame:
 
 
 def schedule_variations(signatures: DataFrame) -> DataFrame:
-    """How many days share each schedule, and a label like ``Weekday-2``."""
-    freq = Window.partitionBy("bundle", "schedule", "daytype")
+    """How many days share each schedule, and a label like ``Weekday-2``.
+
+    Both come from one window partitioned by (bundle, daytype) and ordered by
+    schedule: the frequency is a count over the peers with the same schedule
+    (a value-range frame), so one shuffle serves the count, the label and the
+    later ranking.
+    """
     rank = Window.partitionBy("bundle", "daytype").orderBy("schedule")
+    freq = rank.rangeBetween(Window.currentRow, Window.currentRow)
     return signatures.select(
         "bundle", "service_date", "schedule", "daytype",
         F.count("service_date").over(freq).alias("sched_var_frequency"),

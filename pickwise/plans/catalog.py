@@ -218,10 +218,18 @@ VARIANT_COLUMNS = ["bundle", "route_id", "shape_id", "daytype", "direction_id",
                    "end_stop", "school", "main_shape_id"]
 
 
+_VT: dict[tuple[str, str], DataFrame] = {}
+
+
 def _variant_table(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    return variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates,
-                                  services=_services(spark, sf_dir))
+    """The variant table (one row per variant), materialized once: matching
+    reads it three times (both sides of the pairs and the leftovers)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _VT:
+        t = _t(spark, sf_dir)
+        _VT[key] = materialize(variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates,
+                                                      services=_services(spark, sf_dir)))
+    return _VT[key]
 
 
 @register("variant_table", O.VARIANT_TABLE)

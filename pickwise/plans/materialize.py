@@ -17,3 +17,16 @@ from pickwise.session import ensure_checkpoint_dir
 def materialize(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast a join side only after measuring it.
+
+    ``small`` is materialized (reliable checkpoint) and counted; at or under
+    ``max_rows`` it is returned with a broadcast hint, above it unchanged so
+    the join falls back to a shuffle join (with AQE skew splitting).
+    """
+    from pyspark.sql import functions as F
+
+    m = materialize(small)
+    return F.broadcast(m) if m.count() <= max_rows else m

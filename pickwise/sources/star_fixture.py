@@ -220,9 +220,12 @@ def _ridership(lines: DataFrame, parts: DataFrame) -> DataFrame:
 
 def star_to_gtfs(spark: SparkSession, sf_dir: str) -> GtfsTables:
     """Build every GTFS-shaped table of both picks from the star tables at ``sf_dir``."""
-    base = _base(spark, sf_dir)
+    from pickwise.plans.materialize import materialize
+
+    # base and lines feed several tables each: cut their lineage once.
+    base = materialize(_base(spark, sf_dir))
     trips = _trips(base)
-    lines = _lines(spark, sf_dir, base)
+    lines = materialize(_lines(spark, sf_dir, base))
     parts = _stop_parts(spark, sf_dir)
     bundle_dates = _bundle_dates(base)
     return GtfsTables(

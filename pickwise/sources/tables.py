@@ -73,9 +73,15 @@ def load_tables(spark: SparkSession, root: str, bundles=None, names=None) -> Gtf
     return t.for_bundles(bundles) if bundles is not None else t
 
 
-def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite") -> None:
-    """Write each table partitioned by bundle (the layout ``load_tables`` reads)."""
+def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files: int | None = None) -> None:
+    """Write each table partitioned by bundle (the layout ``load_tables`` reads).
+
+    ``files``: spread each table over about this many files so a scan has at
+    least that many tasks (a small table is otherwise one row group).
+    """
     for name, df in tables.items():
+        if files:
+            df = df.repartition(files)
         w = df.write.mode(mode)
         if "bundle" in df.columns:
             w = w.partitionBy("bundle")
