@@ -355,3 +355,57 @@ def q_id_repair_summary(spark, sf_dir):
                .when(F.col("renamed_gtfsid").isNotNull(), F.lit("renamed"))
                .otherwise(F.lit("not_repaired")))
     return j.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---- sub-operators registered on their own ----------------------------------------
+
+@register("trip_endpoints", O.TRIP_ENDPOINTS)
+def q_trip_endpoints(spark, sf_dir):
+    return schedule.trip_endpoints(_t(spark, sf_dir).stop_times)
+
+
+@register("hourly_service", O.HOURLY_SERVICE)
+def q_hourly_service(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    rt = schedule.trip_runtimes(service.trips_on_dates(t.trips, _services(spark, sf_dir)),
+                                schedule.trip_endpoints(t.stop_times))
+    return schedule.hourly_service(rt).withColumn("mean_running_time", F.bround("mean_running_time", 4))
+
+
+@register("trip_first_departure", O.TRIP_FIRST_DEPARTURE)
+def q_trip_first_departure(spark, sf_dir):
+    return routes.trip_period(routes.trip_first_departure(_t(spark, sf_dir).stop_times))
+
+
+@register("route_frequencies", O.ROUTE_FREQUENCIES)
+def q_route_frequencies(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    times = routes.trip_times(service.trips_on_dates(t.trips, _services(spark, sf_dir)),
+                              routes.trip_first_departure(t.stop_times))
+    return routes.route_frequencies(routes.route_period_counts(times))
+
+
+@register("variants", O.VARIANTS)
+def q_variants(spark, sf_dir):
+    return variants.variants(_t(spark, sf_dir).trips)
+
+
+def _kept_trips(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return service.filter_bundle(t.trips, t.stop_times, _services(spark, sf_dir))[0]
+
+
+@register("variant_school", O.VARIANT_SCHOOL)
+def q_variant_school(spark, sf_dir):
+    return variants.variant_school(_kept_trips(spark, sf_dir), _t(spark, sf_dir).stop_times)
+
+
+@register("variant_stop_pattern", O.VARIANT_STOP_PATTERN)
+def q_variant_stop_pattern(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    stats = variants.variant_trip_stats(_kept_trips(spark, sf_dir), t.calendar)
+    p = variants.variant_stop_pattern(stats, t.stop_times, t.stops)
+    return p.select("bundle", "shape_id", "stop_count", "start_stop", "end_stop",
+                    F.bround("length_ft", 1).alias("length_ft"),
+                    F.array_join("stop_ids", ",").alias("stop_ids"),
+                    F.array_join("stop_names", "|").alias("stop_names"))
