@@ -14,10 +14,10 @@ PERIOD_COLUMNS = [period_column_name(p[0]) for p in PERIODS]
 TOTAL_COLUMNS = ["total_trips", "total_variants"]
 
 
-def trip_first_departure(stop_times: DataFrame) -> DataFrame:
+def trip_first_departure(stop_times: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """C22 (part): first non-null arrival of each trip in sequence order, in minutes."""
-    return (trip_profile(stop_times)
-            .select("bundle", "trip_id", "first_arrival", clock_minutes("first_arrival").alias("minutes")))
+    p = profile if profile is not None else trip_profile(stop_times)
+    return p.select("bundle", "trip_id", "first_arrival", clock_minutes("first_arrival").alias("minutes"))
 
 
 def trip_period(df: DataFrame, minutes: str = "minutes", periods=PERIODS) -> DataFrame:
@@ -63,14 +63,15 @@ def route_names(routes: DataFrame) -> DataFrame:
 
 def route_summary(trips: DataFrame, stop_times: DataFrame, routes: DataFrame, calendar: DataFrame,
                   calendar_dates: DataFrame, dates: DataFrame | None = None, max_minute: int = 1440,
-                  periods=PERIODS, services: DataFrame | None = None) -> DataFrame:
+                  periods=PERIODS, services: DataFrame | None = None,
+                  profile: DataFrame | None = None) -> DataFrame:
     """Per route, the busier direction's frequency in each period and the
     sum of both directions' totals. Routes without a routes row keep a null
     name instead of vanishing; names are attached after grouping. Pass
     ``services`` (``active_services`` output) to reuse it."""
     if services is None:
         services = active_services(calendar, calendar_dates, dates)
-    times = trip_times(trips_on_dates(trips, services), trip_first_departure(stop_times), max_minute)
+    times = trip_times(trips_on_dates(trips, services), trip_first_departure(stop_times, profile), max_minute)
     freq = route_frequencies(route_period_counts(times, periods), periods)
     pcols = [period_column_name(p[0]) for p in periods]
     rolled = (freq.groupBy(*DAY_KEY, "route_id")

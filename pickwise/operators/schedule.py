@@ -25,9 +25,10 @@ def clock_parts(df: DataFrame, col: str = "arrival_time") -> DataFrame:
     return df.withColumns({"time_in_minutes": h * 60 + m, "hour": h % 24, "minute": m})
 
 
-def trip_endpoints(stop_times: DataFrame) -> DataFrame:
+def trip_endpoints(stop_times: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """start/end minutes of each trip (origin = min, destination = max stop_sequence)."""
-    return trip_profile(stop_times).select("bundle", "trip_id", "start_min", "end_min")
+    p = profile if profile is not None else trip_profile(stop_times)
+    return p.select("bundle", "trip_id", "start_min", "end_min")
 
 
 def trip_runtimes(trips_dated: DataFrame, endpoints: DataFrame, max_minute: int = 1440) -> DataFrame:
@@ -71,15 +72,16 @@ def hourly_grid(hourly: DataFrame) -> DataFrame:
 
 def schedule(trips: DataFrame, stop_times: DataFrame, calendar: DataFrame, calendar_dates: DataFrame,
              dates: DataFrame | None = None, max_minute: int = 1440, threshold: float = 1.0,
-             services: DataFrame | None = None) -> DataFrame:
+             services: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
     """Hourly schedule of every (bundle, date) in ``dates``.
 
     ``dates`` has (bundle, service_date, daytype), e.g. ``representative_days``;
-    or pass ``services`` (``active_services`` output) to reuse it.
+    or pass ``services`` (``active_services`` output) to reuse it, and
+    ``profile`` (a materialized ``trip_profile``) to skip the stop_times shuffle.
     """
     if services is None:
         services = active_services(calendar, calendar_dates, dates)
-    runtimes = trip_runtimes(trips_on_dates(trips, services), trip_endpoints(stop_times), max_minute)
+    runtimes = trip_runtimes(trips_on_dates(trips, services), trip_endpoints(stop_times, profile), max_minute)
     return hourly_grid(hourly_service(runtimes, threshold))
 
 

@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 KEY = ["route_id", "direction_id", "stop_id"]
 
 
-def stop_list(trips: DataFrame, stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+def stop_list(trips: DataFrame, stop_times: DataFrame, stops: DataFrame,
+              profile: DataFrame | None = None) -> DataFrame:
     """C20: distinct (bundle, route, direction, stop) with the stop's name.
 
     stop_times LEFT JOIN trips INNER JOIN stops: stop times of unknown trips
     stay with a null route and direction; stops missing from ``stops`` drop
-    out. A stop listed under two names takes the smallest.
+    out. A stop listed under two names takes the smallest. With ``profile``
+    (``trip_profile(with_stops=True)``) each trip's distinct stop set is used
+    instead of its stop_times rows.
     """
-    st = stop_times.select("bundle", "trip_id", "stop_id")
+    if profile is not None:
+        st = profile.select("bundle", "trip_id", F.explode("stop_ids").alias("stop_id"))
+    else:
+        st = stop_times.select("bundle", "trip_id", "stop_id")
     t = trips.select("bundle", "trip_id", "route_id", "direction_id")
     s = stops.select("bundle", "stop_id", "stop_name")
     return (st.join(t, ["bundle", "trip_id"], "left")

@@ -14,21 +14,26 @@ from pyspark.sql import functions as F
 from pickwise.functions.clock import clock_minutes
 
 
-def trip_profile(stop_times: DataFrame) -> DataFrame:
+def trip_profile(stop_times: DataFrame, with_stops: bool = False) -> DataFrame:
     """One row per (bundle, trip_id).
 
     ``start_min``/``end_min``: arrival minutes at the first / last stop by
     stop_sequence (null when that arrival is missing or malformed);
     ``first_arrival``: first non-null arrival text in sequence order;
     ``first_departure``: departure text at ``stop_sequence == 1``;
-    ``stop_rows``: number of stop_times rows.
+    ``stop_rows``: number of stop_times rows; with ``with_stops``, also
+    ``stop_ids``: the trip's distinct stop ids (bounded by its stop count).
+
+    Materialize it once (``plans.materialize``) when several operators run
+    on the same bundles: they all read it instead of re-shuffling stop_times.
     """
     seq = F.col("stop_sequence")
     arr = F.col("arrival_time")
-    return (stop_times
-            .groupBy("bundle", "trip_id")
-            .agg(F.min(seq).alias("min_seq"), F.max(seq).alias("max_seq"),
-                 F.min_by(clock_minutes(arr), seq).alias("start_min"),
-                 F.max_by(clock_minutes(arr), seq).alias("end_min"),
-                 F.min_by(arr, F.when(arr.isNotNull(), seq)).alias("first_arrival"),
-                 F.count(F.lit(1)).alias("stop_rows")))
+    aggs = [F.min(seq).alias("min_seq"), F.max(seq).alias("max_seq"),
+            F.min_by(clock_minutes(arr), seq).alias("start_min"),
+            F.max_by(clock_minutes(arr), seq).alias("end_min"),
+            F.min_by(arr, F.when(arr.isNotNull(), seq)).alias("first_arrival"),
+            F.count(F.lit(1)).alias("stop_rows")]
+    if with_stops:
+        aggs.append(F.array_sort(F.collect_set("stop_id")).alias("stop_ids"))
+    return stop_times.groupBy("bundle", "trip_id").agg(*aggs)

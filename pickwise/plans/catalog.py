@@ -409,3 +409,10 @@ def q_variant_stop_pattern(spark, sf_dir):
                     F.bround("length_ft", 1).alias("length_ft"),
                     F.array_join("stop_ids", ",").alias("stop_ids"),
                     F.array_join("stop_names", "|").alias("stop_names"))
+
+
+@register("stop_list_from_profile", O.STOP_LIST)
+def q_stop_list_from_profile(spark, sf_dir):
+    from pickwise.operators.trips import trip_profile
+    t = _t(spark, sf_dir)
+    return stops.stop_list(t.trips, t.stop_times, t.stops, profile=trip_profile(t.stop_times, with_stops=True))
