@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pickwise.operators import matching, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
 from pickwise.plans.materialize import materialize
+from pickwise.session import session_key
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
 
@@ -34,7 +35,7 @@ _FIXTURES: dict[tuple[str, str], T.GtfsTables] = {}
 def _t(spark, sf_dir):
     """The GTFS tables derived from ``sf_dir``, checkpointed once per session
     (as if stored); every query then reads them like stored bundle tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _FIXTURES:
         t = star_to_gtfs(spark, sf_dir)
         _FIXTURES[key] = T.GtfsTables(**{n: materialize(df) for n, df in t.items()})
@@ -46,7 +47,7 @@ _SERVICES: dict[tuple[str, str], DataFrame] = {}
 
 def _services(spark, sf_dir):
     """Services of the representative days (tiny, reused by every operator)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _SERVICES:
         t = _t(spark, sf_dir)
         _SERVICES[key] = materialize(service.active_services(t.calendar, t.calendar_dates, _days(t)))
@@ -224,7 +225,7 @@ _VT: dict[tuple[str, str], DataFrame] = {}
 def _variant_table(spark, sf_dir):
     """The variant table (one row per variant), materialized once: matching
     reads it three times (both sides of the pairs and the leftovers)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _VT:
         t = _t(spark, sf_dir)
         _VT[key] = materialize(variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates,

@@ -16,7 +16,16 @@ from pickwise.session import ensure_checkpoint_dir
 
 def materialize(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    try:
+        return df.checkpoint(eager=True)
+    except Exception as exc:  # no checkpoint folder available: keep a recomputable copy
+        if "checkpoint" not in str(exc).lower():
+            raise
+        from pyspark import StorageLevel
+
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.count()
+        return kept
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:

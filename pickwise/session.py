@@ -44,11 +44,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) a scratch folder is set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         sc.setCheckpointDir(current)
         return current
+    if sc._jsc.sc().getCheckpointDir().isDefined():
+        return sc._jsc.sc().getCheckpointDir().get()
     local = tempfile.mkdtemp(prefix="pickwise-ckpt-")
     sc.setCheckpointDir(local)
     return local
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-session caches)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
