@@ -29,11 +29,13 @@ def trip_profile(stop_times: DataFrame, with_stops: bool = False) -> DataFrame:
     """
     seq = F.col("stop_sequence")
     arr = F.col("arrival_time")
+    m = F.col("_arr_min")
     aggs = [F.min(seq).alias("min_seq"), F.max(seq).alias("max_seq"),
-            F.min_by(clock_minutes(arr), seq).alias("start_min"),
-            F.max_by(clock_minutes(arr), seq).alias("end_min"),
+            F.min_by(m, seq).alias("start_min"),
+            F.max_by(m, seq).alias("end_min"),
             F.min_by(arr, F.when(arr.isNotNull(), seq)).alias("first_arrival"),
             F.count(F.lit(1)).alias("stop_rows")]
     if with_stops:
         aggs.append(F.array_sort(F.collect_set("stop_id")).alias("stop_ids"))
-    return stop_times.groupBy("bundle", "trip_id").agg(*aggs)
+    # the clock text is parsed once per row, before the partial aggregate
+    return stop_times.withColumn("_arr_min", clock_minutes(arr)).groupBy("bundle", "trip_id").agg(*aggs)
