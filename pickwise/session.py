@@ -16,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # coalesce shuffle partitions to the advisory size, not to the core count
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -42,7 +44,8 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a scratch folder is set.
+    Only when the session has none and runs in local mode (tests) a scratch
+    folder is set; on a cluster a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -54,11 +57,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return sc._jsc.sc().getCheckpointDir().get()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts must survive "
+                           "executor loss and a machine-local folder does not")
     local = tempfile.mkdtemp(prefix="pickwise-ckpt-")
     sc.setCheckpointDir(local)
     return local
 
 
+def scratch_dir(spark: SparkSession, prefix: str = "run-") -> str:
+    """A fresh folder for written intermediate tables, inside the shared
+    checkpoint folder (a new one per call)."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/{prefix}{uuid.uuid4().hex[:12]}"
+
+
 def session_key(spark: SparkSession) -> str:
     """Identifies the running application (for per-session caches)."""
     return spark.conf.get("spark.app.id", None) or str(id(spark))
