@@ -7,7 +7,7 @@ set and segment list, so scoring needs no further join to stop_times.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions.similarity import (WEIGHTS_V1, WEIGHTS_V2, sim_headsign, sim_ratio, sim_shape,
@@ -60,9 +60,14 @@ def variant_matches(vt: DataFrame, bundle_a: str, bundle_b: str, version: int =
     and go to the smallest shape id.
     """
     pairs = variant_pairs(vt, bundle_a, bundle_b, version, weights).where(F.col("score") >= min_score)
-    w = Window.partitionBy(*PAIR_KEY, "shape_id_a").orderBy(F.bround("score", tie_digits).desc(), "shape_id_b")
-    best = (pairs.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1)
-            .select(*PAIR_KEY, "shape_id_a", "shape_id_b", "score"))
+    # Best candidate per variant as an aggregate, not a window: the pair rows
+    # are folded map-side (partial min_by) right where the join produces them,
+    # so only about one row per variant and task is shuffled, never every pair.
+    order = F.struct((-F.bround("score", tie_digits)).alias("neg_score"), F.col("shape_id_b"))
+    best = (pairs.groupBy(*PAIR_KEY, "shape_id_a")
+            .agg(F.min_by(F.struct("shape_id_b", "score"), order).alias("best"))
+            .select(*PAIR_KEY, "shape_id_a", F.col("best.shape_id_b").alias("shape_id_b"),
+                    F.col("best.score").alias("score")))
     a_all = vt.where(F.col("bundle") == bundle_a).select(*PAIR_KEY, F.col("shape_id").alias("shape_id_a"))
     b_all = vt.where(F.col("bundle") == bundle_b).select(*PAIR_KEY, F.col("shape_id").alias("shape_id_b"))
 
