@@ -88,6 +88,36 @@ def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files:
         w.parquet(f"{root}/{name}")
 
 
+# Tables keyed by trip: bucketed on trip_id they meet without a shuffle.
+TRIP_KEYED = ("trips", "stop_times")
+
+
+def save_bucketed_tables(tables: GtfsTables, root: str, prefix: str = "gtfs", buckets: int = 64,
+                         mode: str = "overwrite") -> None:
+    """Store the tables as catalog tables at ``root/<table>``, partitioned by
+    bundle, with trips and stop_times bucketed (and sorted) on trip_id into the
+    same number of buckets. The per-trip aggregate of stop_times and the
+    trips-to-profile join then need no exchange: co-located by storage.
+    """
+    for name, df in tables.items():
+        w = df.write.mode(mode).option("path", f"{root}/{name}")
+        if "bundle" in df.columns:
+            w = w.partitionBy("bundle")
+        if name in TRIP_KEYED:
+            w = w.bucketBy(buckets, "trip_id").sortBy("trip_id")
+        w.saveAsTable(f"{prefix}_{name}")
+
+
+def load_catalog_tables(spark: SparkSession, prefix: str = "gtfs", bundles=None) -> GtfsTables:
+    """Read tables saved by ``save_bucketed_tables`` (bucket specs come from the catalog)."""
+    out = {}
+    for name in TABLE_NAMES:
+        if spark.catalog.tableExists(f"{prefix}_{name}"):
+            out[name] = spark.table(f"{prefix}_{name}")
+    t = GtfsTables(**out)
+    return t.for_bundles(bundles) if bundles is not None else t
+
+
 def bundle_trips(trips: DataFrame, routes: DataFrame) -> DataFrame:
     """Trips with the agency of their route.
 

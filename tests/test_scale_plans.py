@@ -67,3 +67,17 @@ def test_no_localcheckpoint_anywhere():
     import pathlib
     src = "\n".join(p.read_text() for p in pathlib.Path(__file__).parents[1].joinpath("pickwise").rglob("*.py"))
     assert not re.search(r"localCheckpoint\(", src)
+
+
+def test_bucketed_layout_removes_the_trip_shuffle(spark, tmp_path):
+    from pickwise.operators.trips import trip_profile
+    from pickwise.sources.tables import load_catalog_tables, save_bucketed_tables
+
+    save_bucketed_tables(star_to_gtfs(spark, SMALL), str(tmp_path / "cat"), prefix="bkt", buckets=4)
+    t = load_catalog_tables(spark, prefix="bkt")
+    plan = _plan(trip_profile(t.stop_times))
+    assert "Exchange" not in plan                      # aggregate on (bundle, trip_id) over trip_id buckets
+    joined = _plan(t.trips.join(trip_profile(t.stop_times), ["bundle", "trip_id"]))
+    assert "hashpartitioning" not in joined and "Exchange" not in joined.replace("BroadcastExchange", "")
+    got = trip_profile(t.stop_times).count()
+    assert got == t.stop_times.select("bundle", "trip_id").distinct().count()
