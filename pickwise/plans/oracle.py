@@ -2,14 +2,13 @@
 
 ``FIXTURE_SQL`` rebuilds the star -> GTFS mapping of
 ``pickwise.sources.star_fixture`` as CTEs over the driver's views; each
-oracle appends its own CTEs and final SELECT. Floats are rounded half-even
-(``round_even``) exactly where the Spark query uses ``bround``.
+oracle appends its own CTEs and final SELECT. Floats are rounded with
+``sbround`` (Spark's ``bround`` semantics) exactly where the Spark query
+uses ``bround``.
 """
 
 from __future__ import annotations
 
-from pickwise.functions.geo import project_sql
-
 FIXTURE_SQL = """
 WITH base AS (
   SELECT o.o_orderkey AS ok, o.o_custkey AS ck, c.c_nationkey AS nk, n.n_name,
