@@ -126,20 +126,31 @@ def active_services(calendar: DataFrame, calendar_dates: DataFrame, dates: DataF
     ``dates`` is a DataFrame (e.g. the output of ``representative_days``), so
     all dates of all bundles resolve in one join. Calendar ranges compare as
     raw yyyymmdd integers here (no clamping), as the per-date filter does.
+
+    Scheduled services (keyed by weekday) and added exceptions (keyed by
+    date) form one rule table, and each date meets it once through two keys;
+    removals apply to scheduled rows only (a removed-and-added service runs).
     """
-    d = dates.select("bundle", "service_date", "daytype",
-                     date_to_int("service_date").alias("date_int"),
-                     F.weekday("service_date").alias("dow"))
-    cal = _service_weekdays(calendar)
-    scheduled = (d.join(cal, ["bundle", "dow"])
-                 .where((F.col("start_date") <= F.col("date_int")) & (F.col("end_date") >= F.col("date_int")))
-                 .select("bundle", "service_date", "daytype", "date_int", "service_id"))
-    exc = calendar_dates.select("bundle", "service_id", F.col("date").alias("date_int"), "exception_type")
-    removed = exc.where(F.col("exception_type") == 2).drop("exception_type")
-    added = (d.join(exc.where(F.col("exception_type") == 1), ["bundle", "date_int"])
-             .select("bundle", "service_date", "daytype", "date_int", "service_id"))
-    kept = scheduled.join(removed, ["bundle", "date_int", "service_id"], "left_anti")
-    return kept.unionByName(added).distinct().select("bundle", "service_date", "daytype", "service_id")
+    dow = F.weekday("service_date")
+    d = dates.select("bundle", "service_date", "daytype", date_to_int("service_date").alias("date_int"),
+                     F.explode(F.array(F.struct(F.lit("dow").alias("kind"), dow.alias("key")),
+                                       F.struct(F.lit("date").alias("kind"), date_to_int("service_date").alias("key"))))
+                     .alias("k"))
+    d = d.select("bundle", "service_date", "daytype", "date_int", "k.kind", "k.key")
+    sched = _service_weekdays(calendar).select("bundle", F.lit("dow").alias("kind"), F.col("dow").alias("key"),
+                                               "service_id", "start_date", "end_date")
+    added = (calendar_dates.where(F.col("exception_type") == 1)
+             .select("bundle", F.lit("date").alias("kind"), F.col("date").alias("key"), "service_id",
+                     F.lit(None).cast("int").alias("start_date"), F.lit(None).cast("int").alias("end_date")))
+    in_range = (F.col("start_date") <= F.col("date_int")) & (F.col("end_date") >= F.col("date_int"))
+    hits = (d.join(sched.unionByName(added), ["bundle", "kind", "key"])
+            .where((F.col("kind") == "date") | in_range))
+    removed = (calendar_dates.where(F.col("exception_type") == 2)
+               .select("bundle", F.col("date").alias("date_int"), "service_id", F.lit(True).alias("removed"))
+               .distinct())
+    return (hits.join(removed, ["bundle", "date_int", "service_id"], "left")
+            .where((F.col("kind") == "date") | F.col("removed").isNull())
+            .select("bundle", "service_date", "daytype", "service_id").distinct())
 
 
 def trips_on_dates(trips: DataFrame, services: DataFrame) -> DataFrame:
