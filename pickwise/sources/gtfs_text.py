@@ -45,7 +45,7 @@ def read_gtfs_table(spark: SparkSession, root: str, name: str, bundles=None) ->
     present = set(raw.columns)
     cols = [(F.trim(F.col(c)).try_cast(t) if c in present else F.lit(None).cast(t)).alias(c)
             for c, t in TEXT_SCHEMAS[name].items()]
-    bundle = F.regexp_extract(F.col("_path"), r"([^/]+)/[^/]+$", 1).alias("bundle")
+    bundle = F.url_decode(F.regexp_extract(F.col("_path"), r"([^/]+)/[^/]+$", 1)).alias("bundle")
     return raw.select(bundle, *cols)
 
 

@@ -109,3 +109,22 @@ def test_plan_has_no_python_udf_or_cartesian(spark, name):
     plan = E.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, bad
+
+
+def test_bundle_tables_projects_and_filters(spark):
+    from pickwise.plans.catalog import _t
+    from pickwise.sources.tables import COLUMNS, bundle_tables
+
+    t = bundle_tables(_t(spark, SMALL), ["pick_b"])
+    assert t.stop_times.select("bundle").distinct().collect()[0][0] == "pick_b"
+    assert t.trips.columns == [c for c in COLUMNS["trips"] if c in t.trips.columns]
+    assert "agency_id" in t.routes.columns and t.ridership is not None
+
+
+def test_read_gtfs_text_bundle_with_space(spark, tmp_path):
+    b = tmp_path / "June pick"
+    b.mkdir()
+    (b / "trips.txt").write_text("trip_id,route_id,service_id,direction_id\nT1,R1,WK,1\n")
+    t = read_gtfs_feeds(spark, str(tmp_path), names=["trips"])
+    r = t.trips.collect()[0]
+    assert (r.bundle, r.trip_id, r.direction_id, r.shape_id) == ("June pick", "T1", 1, None)
