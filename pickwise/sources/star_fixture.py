@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from pickwise.functions.dates import date_to_int, idiv
 from pickwise.sources.tables import GtfsTables
@@ -33,7 +34,14 @@ REFERENCE_YEAR, REFERENCE_MONTHS = "2000", ("9", "10", "11", "12")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a star table; timestamps become their stored wall clock
+    (``timestamp_ntz``) whatever the session's time zone or inference mode."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, TimestampType):  # read as instants: take the UTC wall clock
+            df = df.withColumn(f.name, F.to_utc_timestamp(f.name, tz).cast("timestamp_ntz"))
+    return df
 
 
 def _two_digits(c):
