@@ -186,14 +186,21 @@ def variant_type(vt: DataFrame, limited_share: float = LIMITED_STOP_SHARE, short
 
 
 def variant_metrics(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, calendar: DataFrame,
-                    route_filter=None, school_windows=SCHOOL_WINDOWS) -> DataFrame:
+                    route_filter=None, school_windows=SCHOOL_WINDOWS,
+                    broadcast_max_rows: int | None = None) -> DataFrame:
     """All per-variant metrics (C29-C36) for already date-filtered trips.
 
     The trips are read once: one aggregate per shape carries every trip
     metric and the routes listing the shape; only the shapes' first trips
-    meet stop_times for the stop pattern.
+    meet stop_times for the stop pattern. With ``broadcast_max_rows`` the
+    per-shape table (one row per shape) is materialized and, when no larger
+    than that, broadcast into the stop_times join, so stop_times is never
+    shuffled for it.
     """
     stats = variant_trip_stats(trips, calendar, first_stop_in_windows(stop_times, school_windows))
+    if broadcast_max_rows is not None:
+        from pickwise.plans.materialize import checked_broadcast
+        stats = checked_broadcast(stats, broadcast_max_rows)
     pattern = variant_stop_pattern(stats, stop_times, stops)
     per_shape = (stats.join(pattern, SHAPE_KEY, "left")
                  .withColumn("stop_count", F.coalesce("stop_count", F.lit(0).cast("long"))))
@@ -207,7 +214,8 @@ def variant_metrics(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, c
 
 def variant_table(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, calendar: DataFrame,
                   calendar_dates: DataFrame, dates: DataFrame | None = None, route_filter=None,
-                  services: DataFrame | None = None, **type_kw) -> DataFrame:
+                  services: DataFrame | None = None, broadcast_max_rows: int | None = None,
+                  **type_kw) -> DataFrame:
     """Every variant of every route and bundle with metrics and type.
 
     Trips are those running on any of ``dates`` (e.g. the representative
@@ -216,7 +224,8 @@ def variant_table(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, cal
     if services is None:
         services = active_services(calendar, calendar_dates, dates)
     kept_trips, _ = filter_bundle(trips, stop_times, services)
-    vt = variant_metrics(kept_trips, stop_times, stops, calendar, route_filter)
+    vt = variant_metrics(kept_trips, stop_times, stops, calendar, route_filter,
+                         broadcast_max_rows=broadcast_max_rows)
     out = variant_type(main_variant(vt), **type_kw)
     return out.withColumn("daytype_direction",
                           F.concat_ws("_", F.col("daytype"), F.coalesce(F.col("direction_id").cast("string"),

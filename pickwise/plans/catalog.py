@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pickwise.operators import matching, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
-from pickwise.plans.materialize import materialize
+from pickwise.plans.materialize import checked_broadcast, materialize
 from pickwise.session import session_key
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
@@ -50,7 +50,7 @@ def _services(spark, sf_dir):
     key = (session_key(spark), sf_dir)
     if key not in _SERVICES:
         t = _t(spark, sf_dir)
-        _SERVICES[key] = materialize(service.active_services(t.calendar, t.calendar_dates, _days(t)))
+        _SERVICES[key] = checked_broadcast(service.active_services(t.calendar, t.calendar_dates, _days(t)))
     return _SERVICES[key]
 
 
@@ -229,7 +229,8 @@ def _variant_table(spark, sf_dir):
     if key not in _VT:
         t = _t(spark, sf_dir)
         _VT[key] = materialize(variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates,
-                                                      services=_services(spark, sf_dir)))
+                                                      services=_services(spark, sf_dir),
+                                                      broadcast_max_rows=1_000_000))
     return _VT[key]
 
 
@@ -404,7 +405,7 @@ def q_variant_school(spark, sf_dir):
 @register("variant_stop_pattern", O.VARIANT_STOP_PATTERN)
 def q_variant_stop_pattern(spark, sf_dir):
     t = _t(spark, sf_dir)
-    stats = variants.variant_trip_stats(_kept_trips(spark, sf_dir), t.calendar)
+    stats = checked_broadcast(variants.variant_trip_stats(_kept_trips(spark, sf_dir), t.calendar))
     p = variants.variant_stop_pattern(stats, t.stop_times, t.stops)
     return p.select("bundle", "shape_id", "stop_count", "start_stop", "end_stop",
                     F.bround("length_ft", 1).alias("length_ft"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from pickwise.operators import routes, schedule, service, stops
 from pickwise.operators.trips import trip_profile
-from pickwise.plans.materialize import materialize
+from pickwise.plans.materialize import checked_broadcast, materialize
 from pickwise.sources.sinks import with_bundle_titles, write_dataset
 from pickwise.sources.tables import GtfsTables
 
@@ -21,7 +21,7 @@ def report(tables: GtfsTables, bundle_a: str, bundle_b: str, dates: DataFrame |
         dates = service.representative_days(t.bundle_dates, t.calendar, t.calendar_dates)
     # Small and reused by all parts: materialized once. stop_times is
     # shuffled once, into one row per trip, shared by the three parts.
-    services = materialize(service.active_services(t.calendar, t.calendar_dates, dates))
+    services = checked_broadcast(service.active_services(t.calendar, t.calendar_dates, dates))
     profile = materialize(trip_profile(t.stop_times, with_stops=True))
     summary = routes.route_summary(t.trips, t.stop_times, t.routes, t.calendar, t.calendar_dates,
                                    services=services, profile=profile)
