@@ -58,7 +58,7 @@ def headline(spark, t, sf_dir):
         "compare_stop_lists": lambda: stops.compare_stop_lists(listed(), A, B),
         "variant_table": lambda: variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar,
                                                         t.calendar_dates, services=svc, broadcast_max_rows=1_000_000),
-        "variant_matches": lambda: matching.variant_matches(vt_m, A, B),
+        "variant_matches": lambda: matching.variant_matches(vt_m, A, B, broadcast_max_rows=1_000_000),
         "fill_ids": lambda: ridership.fill_ids(t.ridership, "2000", ("9", "10", "11", "12"),
                                                extra_rename_rules=fixture_rename_rules(spark, sf_dir)),
     }

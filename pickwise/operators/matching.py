@@ -19,17 +19,24 @@ METRICS = ["shape_id", "stop_ids", "segments", "start_stop", "end_stop", "headsi
 
 
 def variant_pairs(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2,
-                  weights: dict | None = None) -> DataFrame:
+                  weights: dict | None = None, broadcast_max_rows: int | None = None) -> DataFrame:
     """Score every candidate pair (a in bundle_a, b in bundle_b) of a group.
 
     ``version=1`` is the first scorer (no geometry), ``version=2`` adds the
-    shape overlap. Returns the components and ``score``.
+    shape overlap. Returns the components and ``score``. With
+    ``broadcast_max_rows`` bundle_b's variants (one row each) are broadcast
+    after a size check: pairs are then formed where bundle_a's rows already
+    are, so a group holding a large share of all variants is spread over
+    every task instead of landing in one join partition.
     """
     def side(bundle, sfx):
         return vt.where(F.col("bundle") == bundle).select(
             *[F.col(k).alias(f"{k}_{sfx}") for k in PAIR_KEY], *[F.col(m).alias(f"{m}_{sfx}") for m in METRICS])
 
     a, b = side(bundle_a, "a"), side(bundle_b, "b")
+    if broadcast_max_rows is not None:
+        from pickwise.plans.materialize import checked_broadcast
+        b = checked_broadcast(b, broadcast_max_rows)
     cond = ((a["route_id_a"] == b["route_id_b"]) & a["direction_id_a"].eqNullSafe(b["direction_id_b"])
             & (a["daytype_a"] == b["daytype_b"]))
     p = a.join(b, cond)
@@ -50,7 +57,8 @@ def variant_pairs(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2,
 
 
 def variant_matches(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2, min_score: float = 0.0,
-                    weights: dict | None = None, tie_digits: int = 6) -> DataFrame:
+                    weights: dict | None = None, tie_digits: int = 6,
+                    broadcast_max_rows: int | None = None) -> DataFrame:
     """Best counterpart in bundle_b of every bundle_a variant, plus the
     variants left over on either side.
 
@@ -59,7 +67,8 @@ def variant_matches(vt: DataFrame, bundle_a: str, bundle_b: str, version: int =
     that is nobody's best match). Scores equal to ``tie_digits`` decimals tie
     and go to the smallest shape id.
     """
-    pairs = variant_pairs(vt, bundle_a, bundle_b, version, weights).where(F.col("score") >= min_score)
+    pairs = (variant_pairs(vt, bundle_a, bundle_b, version, weights, broadcast_max_rows)
+             .where(F.col("score") >= min_score))
     # Best candidate per variant as an aggregate, not a window: the pair rows
     # are folded map-side (partial min_by) right where the join produces them,
     # so only about one row per variant and task is shuffled, never every pair.

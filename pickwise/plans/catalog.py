@@ -265,13 +265,15 @@ def q_variant_pairs_v2(spark, sf_dir):
 
 @register("variant_matches", O.variant_matches(2))
 def q_variant_matches(spark, sf_dir):
-    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=2)
+    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=2,
+                                 broadcast_max_rows=1_000_000)
     return m.withColumn("score", F.bround("score", 4))
 
 
 @register("variant_matches_v1", O.variant_matches(1))
 def q_variant_matches_v1(spark, sf_dir):
-    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=1)
+    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=1,
+                                 broadcast_max_rows=1_000_000)
     return m.withColumn("score", F.bround("score", 4))
 
 
