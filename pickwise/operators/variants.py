@@ -114,11 +114,14 @@ def variant_stop_pattern(stats: DataFrame, stop_times: DataFrame, stops: DataFra
     repeats; ``stop_ids``: distinct ids (sorted); ``start_stop``/``end_stop``;
     ``length_ft``: polyline through the stops in US survey feet, null when a
     coordinate is missing or there are fewer than two stops; ``segments``:
-    distinct undirected segments in degrees (for shape similarity).
+    distinct undirected segments in degrees (for shape similarity). A stop id
+    listed twice in ``stops`` counts once (smallest name and coordinates).
     """
     first = stats.select("bundle", F.col("shape_id"), F.col("first_trip").alias("trip_id"))
     st = stop_times.select("bundle", "trip_id", "stop_sequence", "stop_id")
-    s = stops.select("bundle", "stop_id", "stop_name", "stop_lat", "stop_lon")
+    s = stops.groupBy("bundle", "stop_id").agg(F.min("stop_name").alias("stop_name"),
+                                               F.min("stop_lat").alias("stop_lat"),
+                                               F.min("stop_lon").alias("stop_lon"))
     rows = st.join(first, ["bundle", "trip_id"]).join(s, ["bundle", "stop_id"], "left")
     x, y = project_xy("stop_lon", "stop_lat")
     pt = F.struct(F.col("stop_sequence").alias("seq"), F.col("stop_id").alias("stop_id"),

@@ -150,3 +150,10 @@ def test_matches_cover_both_sides(spark):
     assert m == [("A1", "B1", "matched"), ("A2", "B1", "matched"), (None, "B9", "added")]
     p = matching.variant_pairs(vt, "a", "b", version=1).where("shape_id_a = 'A1'").collect()[0]
     assert abs(p.score - 1.0) < 1e-12   # identical variants score 1 (v1)
+
+
+def test_duplicate_stop_rows_do_not_inflate_pattern(spark):
+    trips, st, stops, cal = _fixture(spark)
+    dup = stops.unionByName(stops.where("stop_id = 's1'").withColumn("stop_name", F.lit("ZZZ")))
+    a = {r.shape_id: r for r in variants.variant_metrics(trips, st, dup, cal).collect()}["A"]
+    assert (a.stop_count, a.start_stop) == (5, "S1")
