@@ -91,3 +91,16 @@ def test_weekday_is_an_equi_join_key(spark):
     bd = _days(spark, [dt.date(2024, 1, 1)])
     plan = service.daily_services(bd, cal, cd)._jdf.queryExecution().executedPlan().toString()
     assert "dow" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_fixed_clamp_always_gives_a_valid_date(spark):
+    import calendar as pycal
+    import random
+
+    rnd = random.Random(7)
+    rws = [(rnd.randint(1990, 2030), rnd.randint(1, 12), rnd.randint(1, 31)) for _ in range(200)]
+    ints = [("b", f"S{i}", 1, 1, 1, 1, 1, 0, 0, y * 10000 + m * 100 + d, y * 10000 + m * 100 + d)
+            for i, (y, m, d) in enumerate(rws)]
+    got = {r.service_id: r.start_date for r in service.calendar_dates_fixed(_cal(spark, ints)).collect()}
+    for i, (y, m, d) in enumerate(rws):
+        assert got[f"S{i}"] == dt.date(y, m, min(d, pycal.monthrange(y, m)[1]))
