@@ -14,6 +14,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -68,13 +69,54 @@ def run(df):
     df.write.format("noop").mode("overwrite").save()
 
 
+def exchanges(df) -> int:
+    """Shuffle exchanges in the physical plan (broadcasts not counted)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum(1 for ln in plan.splitlines() if "Exchange" in ln and "BroadcastExchange" not in ln
+               and "ReusedExchange" not in ln)
+
+
+def shuffle_metrics(event_dir: str) -> dict:
+    """Per job group: shuffle bytes written and bytes spilled, from the event log."""
+    import glob
+    import io
+
+    stage_group, out = {}, {}
+    for path in glob.glob(f"{event_dir}/**/*", recursive=True):
+        if os.path.isdir(path) or "appstatus" in path:
+            continue
+        raw = open(path, "rb")
+        if path.endswith(".zstd"):
+            import zstandard
+            raw = zstandard.ZstdDecompressor().stream_reader(raw)
+        for line in io.TextIOWrapper(raw, encoding="utf-8"):
+            e = json.loads(line)
+            ev = e.get("Event")
+            if ev == "SparkListenerJobStart":
+                g = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                for sid in e.get("Stage IDs", []):
+                    stage_group[sid] = g
+            elif ev == "SparkListenerTaskEnd":
+                g = stage_group.get(e.get("Stage ID"))
+                m = e.get("Task Metrics") or {}
+                if not g:
+                    continue
+                acc = out.setdefault(g, {"shuffle_write_bytes": 0, "spill_bytes": 0})
+                acc["shuffle_write_bytes"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                acc["spill_bytes"] += m.get("Memory Bytes Spilled", 0) + m.get("Disk Bytes Spilled", 0)
+    return out
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="pickwise-bench")
+    event_dir = tempfile.mkdtemp(prefix="run-", dir="/tmp")  # local bench: event log in a scratch folder
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="pickwise-bench",
+                        extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir,
+                               "spark.eventLog.compress": "false"})
     scratch = os.environ.get("BENCH_SCRATCH") or scratch_dir(spark, "bench-")
 
     layout = os.environ.get("BENCH_LAYOUT", "partitioned")
@@ -91,15 +133,20 @@ def main():
     headline(spark, t, sf_dir)  # warm-up of the lineage cuts (JIT, metadata)
     svc_sec, ops = headline(spark, t, sf_dir)
     timings = {"load_bundles": round(load_sec, 3), "checkpoints": round(svc_sec, 3)}
-    errors = {}
+    errors, plan_exchanges = {}, {}
+    sc = spark.sparkContext
     for name, make in ops.items():
         try:
+            sc.setJobGroup("warmup", "warm-up")
             run(make())  # warm-up
             secs = []
             for _ in range(runs):
+                sc.setJobGroup(name, name)
                 s = time.time()
-                run(make())
+                df = make()
+                run(df)
                 secs.append(time.time() - s)
+            plan_exchanges[name] = exchanges(df)
             timings[name] = round(statistics.median(secs), 3)
         except Exception as exc:  # keep measuring the others; report the failure
             timings[name] = None
@@ -118,10 +165,11 @@ def main():
         timings["report_end_to_end"] = None
         errors["report_end_to_end"] = str(exc)[:300]
 
+    sc.setJobGroup("other", "other")
     n_routes = t.trips.select("bundle", "route_id").distinct().count()
     total = round(sum(v for k, v in timings.items()
                       if k not in ("load_bundles", "report_end_to_end") and v is not None), 3)
-    print(json.dumps({
+    result = {
         "metric": "sum_of_median_operator_sec",
         "value": total,
         "unit": "sec",
@@ -134,8 +182,13 @@ def main():
                                         if timings.get("variant_table") else None),
         "errors": errors,
         "routes": n_routes,
-    }))
+    }
     spark.stop()
+    per_op = shuffle_metrics(event_dir)
+    result["shuffle"] = {k: {"exchanges": plan_exchanges.get(k),
+                             **{m: v // max(runs, 1) for m, v in per_op.get(k, {}).items()}}
+                         for k in plan_exchanges}
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.functions.clock import PERIODS, clock_minutes, period_column_name, period_label
+from pickwise.functions.clock import PERIODS, period_column_name, period_label
 from pickwise.operators.service import active_services, trips_on_dates
 from pickwise.operators.trips import trip_profile
 
@@ -14,10 +14,13 @@ PERIOD_COLUMNS = [period_column_name(p[0]) for p in PERIODS]
 TOTAL_COLUMNS = ["total_trips", "total_variants"]
 
 
-def trip_first_departure(stop_times: DataFrame, profile: DataFrame | None = None) -> DataFrame:
-    """C22 (part): first non-null arrival of each trip in sequence order, in minutes."""
-    p = profile if profile is not None else trip_profile(stop_times)
-    return p.select("bundle", "trip_id", "first_arrival", clock_minutes("first_arrival").alias("minutes"))
+def trip_first_departure(stop_times: DataFrame, profile: DataFrame | None = None,
+                         with_text: bool = False) -> DataFrame:
+    """C22 (part): first non-null arrival of each trip in sequence order, in
+    minutes (and as text with ``with_text``)."""
+    p = profile if profile is not None else trip_profile(stop_times, with_text=with_text)
+    cols = ["bundle", "trip_id"] + (["first_arrival"] if with_text else [])
+    return p.select(*cols, F.col("first_min").alias("minutes"))
 
 
 def trip_period(df: DataFrame, minutes: str = "minutes", periods=PERIODS) -> DataFrame:
@@ -41,9 +44,11 @@ def route_period_counts(times: DataFrame, periods=PERIODS) -> DataFrame:
     """
     labelled = trip_period(times, "minutes", periods)
     counts = [F.count(F.when(F.col("period") == p[0], 1)).alias(period_column_name(p[0])) for p in periods]
+    # distinct shapes as the size of a per-group set (bounded by the route's
+    # variants): one aggregate, no Expand and no second shuffle
     return (labelled.groupBy(*DAY_KEY, "route_id", "direction_id")
             .agg(*counts, F.count("trip_id").alias("total_trips"),
-                 F.countDistinct("shape_id").alias("total_variants")))
+                 F.size(F.collect_set("shape_id")).cast("long").alias("total_variants")))
 
 
 def route_frequencies(counts: DataFrame, periods=PERIODS) -> DataFrame:

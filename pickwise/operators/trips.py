@@ -14,15 +14,17 @@ from pyspark.sql import functions as F
 from pickwise.functions.clock import clock_minutes
 
 
-def trip_profile(stop_times: DataFrame, with_stops: bool = False) -> DataFrame:
+def trip_profile(stop_times: DataFrame, with_stops: bool = False, with_text: bool = False) -> DataFrame:
     """One row per (bundle, trip_id).
 
     ``start_min``/``end_min``: arrival minutes at the first / last stop by
     stop_sequence (null when that arrival is missing or malformed);
-    ``first_arrival``: first non-null arrival text in sequence order;
-    ``first_departure``: departure text at ``stop_sequence == 1``;
-    ``stop_rows``: number of stop_times rows; with ``with_stops``, also
-    ``stop_ids``: the trip's distinct stop ids (bounded by its stop count).
+    ``first_min``: minutes of the first non-null arrival text in sequence
+    order; ``stop_rows``: number of stop_times rows. Every one of these is a
+    fixed-width buffer, so the aggregate is hash-based (no sort of stop_times).
+    With ``with_text`` also ``first_arrival`` (that text itself); with
+    ``with_stops`` also ``stop_ids``: the trip's distinct stop ids (bounded by
+    its stop count).
 
     Materialize it once (``plans.materialize``) when several operators run
     on the same bundles: they all read it instead of re-shuffling stop_times.
@@ -30,11 +32,14 @@ def trip_profile(stop_times: DataFrame, with_stops: bool = False) -> DataFrame:
     seq = F.col("stop_sequence")
     arr = F.col("arrival_time")
     m = F.col("_arr_min")
+    first_order = F.when(arr.isNotNull(), seq)
     aggs = [F.min(seq).alias("min_seq"), F.max(seq).alias("max_seq"),
             F.min_by(m, seq).alias("start_min"),
             F.max_by(m, seq).alias("end_min"),
-            F.min_by(arr, F.when(arr.isNotNull(), seq)).alias("first_arrival"),
+            F.min_by(m, first_order).alias("first_min"),
             F.count(F.lit(1)).alias("stop_rows")]
+    if with_text:
+        aggs.append(F.min_by(arr, first_order).alias("first_arrival"))
     if with_stops:
         aggs.append(F.array_sort(F.collect_set("stop_id")).alias("stop_ids"))
     # the clock text is parsed once per row, before the partial aggregate

@@ -378,7 +378,7 @@ def q_hourly_service(spark, sf_dir):
 
 @register("trip_first_departure", O.TRIP_FIRST_DEPARTURE)
 def q_trip_first_departure(spark, sf_dir):
-    return routes.trip_period(routes.trip_first_departure(_t(spark, sf_dir).stop_times))
+    return routes.trip_period(routes.trip_first_departure(_t(spark, sf_dir).stop_times, with_text=True))
 
 
 @register("route_frequencies", O.ROUTE_FREQUENCIES)
