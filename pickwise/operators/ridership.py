@@ -166,14 +166,19 @@ def match_renamed_ids(renamed: DataFrame, good: DataFrame) -> DataFrame:
 
 
 def _lookup_one_pass(precleaned: DataFrame, year: str, months, rename_rules,
-                     extra_rename_rules: DataFrame | None) -> DataFrame:
+                     extra_rename_rules: DataFrame | None, cut: bool = False) -> DataFrame:
     """Default mode: one aggregate over the ridership rows gives, per key, the
     reference id (smallest) and whether any row lacks an id; the exact match
-    of a missing key is then its own group's reference id -- no join."""
+    of a missing key is then its own group's reference id -- no join. With
+    ``cut`` the per-key table (bounded by the distinct keys) is materialized,
+    so its three uses do not each re-read the ridership rows."""
     in_ref = (F.col("run_year") == year) & F.col("run_month").isin(*months) & F.col("gtfsid").isNotNull()
     keys = (precleaned.groupBy(*KEY)
             .agg(F.min(F.when(in_ref, F.col("gtfsid"))).alias("ref_id"),
                  F.max(F.col("gtfsid").isNull()).alias("has_missing")))
+    if cut:
+        from pickwise.plans.materialize import materialize
+        keys = materialize(keys)
     complete = F.col("stop_name").isNotNull() & F.col("route").isNotNull() & F.col("dir").isNotNull()
     good = keys.where(F.col("ref_id").isNotNull() & complete).select(*KEY, F.col("ref_id").alias("gtfsid"))
     attempt = (keys.where(F.col("has_missing") & complete)
@@ -184,7 +189,8 @@ def _lookup_one_pass(precleaned: DataFrame, year: str, months, rename_rules,
 
 
 def id_lookup(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MONTHS, literal: bool = False,
-              rename_rules=RENAME_RULES, extra_rename_rules: DataFrame | None = None) -> DataFrame:
+              rename_rules=RENAME_RULES, extra_rename_rules: DataFrame | None = None,
+              cut: bool = False) -> DataFrame:
     """Both match attempts as one table keyed by (stop_name, route, dir):
     ``matched_gtfsid`` (exact) and ``renamed_gtfsid`` (after renaming).
 
@@ -192,7 +198,7 @@ def id_lookup(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MO
     number of ridership rows (default mode: one row per key).
     """
     if not literal:
-        return _lookup_one_pass(precleaned, year, months, rename_rules, extra_rename_rules)
+        return _lookup_one_pass(precleaned, year, months, rename_rules, extra_rename_rules, cut)
     good = reference_ids(precleaned, year, months, literal)
     attempt = match_ids(missing_ids(precleaned), good)
     renamed = rename_stops(attempt.where(F.col("matched_gtfsid").isNull()), rename_rules, extra_rename_rules)
@@ -213,7 +219,8 @@ def fill_ids(ridership: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MONT
     the plan fully lazy and leaves the choice to adaptive execution.
     """
     pre = ridership_overrides(ridership, override_rules, literal, milepost_tol)
-    lookup = id_lookup(pre, year, months, literal, rename_rules, extra_rename_rules)
+    lookup = id_lookup(pre, year, months, literal, rename_rules, extra_rename_rules,
+                       cut=broadcast_max_rows is not None)
     if broadcast_max_rows is not None:
         from pickwise.plans.materialize import checked_broadcast
         lookup = checked_broadcast(lookup, broadcast_max_rows)
