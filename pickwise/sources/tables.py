@@ -12,6 +12,9 @@ from dataclasses import dataclass, fields, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Tables keyed by trip: clustered or bucketed on trip_id they meet without a shuffle.
+TRIP_KEYED = ("trips", "stop_times")
+
 TABLE_NAMES = ["bundle_dates", "calendar", "calendar_dates", "routes", "trips", "shapes",
                "shape_reference", "stops", "stop_times", "ridership"]
 
@@ -77,21 +80,21 @@ def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files:
     """Write each table partitioned by bundle (the layout ``load_tables`` reads).
 
     ``files``: spread each table over about this many files so a scan has at
-    least that many tasks (a small table is otherwise one row group).
+    least that many tasks (a small table is otherwise one row group). Tables
+    keyed by trip keep each trip's rows in one file, as GTFS feeds list a
+    trip's stop times together; the per-trip partial aggregate then
+    collapses a trip before the shuffle.
     """
     for name, df in tables.items():
         if files:
-            df = df.repartition(files)
+            df = (df.repartition(files, "bundle", "trip_id") if name in TRIP_KEYED
+                  else df.repartition(files))
         w = df.write.mode(mode)
         if "bundle" in df.columns:
             w = w.partitionBy("bundle")
         w.parquet(f"{root}/{name}")
 
 
-# Tables keyed by trip: bucketed on trip_id they meet without a shuffle.
-TRIP_KEYED = ("trips", "stop_times")
-
-
 def save_bucketed_tables(tables: GtfsTables, root: str, prefix: str = "gtfs", buckets: int = 64,
                          mode: str = "overwrite") -> None:
     """Store the tables as catalog tables at ``root/<table>``, partitioned by
