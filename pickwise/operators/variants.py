@@ -218,18 +218,21 @@ def variant_metrics(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, c
 def variant_table(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, calendar: DataFrame,
                   calendar_dates: DataFrame, dates: DataFrame | None = None, route_filter=None,
                   services: DataFrame | None = None, broadcast_max_rows: int | None = None,
-                  **type_kw) -> DataFrame:
+                  school_windows=SCHOOL_WINDOWS, main_weights=MAIN_WEIGHTS, **type_kw) -> DataFrame:
     """Every variant of every route and bundle with metrics and type.
 
     Trips are those running on any of ``dates`` (e.g. the representative
     days); pass ``services`` (``active_services`` output) to reuse it.
+    ``school_windows``, ``main_weights`` and the ``variant_type`` keywords
+    (``limited_share``, ``short_share``, ``other_max_trips``, ``words``) are
+    parameters with the reference's values as defaults.
     """
     if services is None:
         services = active_services(calendar, calendar_dates, dates)
     kept_trips, _ = filter_bundle(trips, stop_times, services)
-    vt = variant_metrics(kept_trips, stop_times, stops, calendar, route_filter,
+    vt = variant_metrics(kept_trips, stop_times, stops, calendar, route_filter, school_windows,
                          broadcast_max_rows=broadcast_max_rows)
-    out = variant_type(main_variant(vt), **type_kw)
+    out = variant_type(main_variant(vt, main_weights), **type_kw)
     return out.withColumn("daytype_direction",
                           F.concat_ws("_", F.col("daytype"), F.coalesce(F.col("direction_id").cast("string"),
                                                                        F.lit("None"))))

@@ -157,3 +157,18 @@ def test_duplicate_stop_rows_do_not_inflate_pattern(spark):
     dup = stops.unionByName(stops.where("stop_id = 's1'").withColumn("stop_name", F.lit("ZZZ")))
     a = {r.shape_id: r for r in variants.variant_metrics(trips, st, dup, cal).collect()}["A"]
     assert (a.stop_count, a.start_stop) == (5, "S1")
+
+
+def test_variant_table_parameters(spark):
+    trips, st, stops, cal = _fixture(spark)
+    svc = spark.createDataFrame([("b", dt.date(2024, 1, 10), "Weekday", "WK"), ("b", dt.date(2024, 1, 13), "Saturday", "SA")],
+                                "bundle string, service_date date, daytype string, service_id string")
+    base = {r.shape_id: r.inferred_variant_type for r in
+            variants.variant_table(trips, st, stops, cal, None, services=svc).collect()}
+    assert base["S"] == "school"
+    no_school = {r.shape_id: r.inferred_variant_type for r in variants.variant_table(
+        trips, st, stops, cal, None, services=svc, school_windows=[(0, 1)], words=()).collect()}
+    assert no_school["S"] != "school"
+    stops_first = variants.variant_table(trips, st, stops, cal, None, services=svc,
+                                         main_weights={"trips": 0.0, "length": 0.0, "stops": 1.0})
+    assert {r.main_shape_id for r in stops_first.where("daytype = 'weekday'").collect()} == {"A"}
