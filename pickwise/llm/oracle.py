@@ -97,3 +97,23 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> response THE
   CASE WHEN page_id <> response THEN response END AS refers_to
 FROM digests
 """
+
+LEAKS = r"""
+WITH item_words AS (
+  SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), doc_words AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents WHERE text IS NOT NULL
+), item_shingles AS (
+  SELECT DISTINCT item_id, shingle FROM (
+    SELECT item_id, unnest([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, greatest(1, len(w) - 4) + 1)]) AS shingle FROM item_words WHERE len(w) > 0)
+), doc_shingles AS (
+  SELECT DISTINCT rid, doc_id, shingle FROM (
+    SELECT rid, doc_id, unnest([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, greatest(1, len(w) - 4) + 1)]) AS shingle FROM doc_words WHERE len(w) > 0)
+), sizes AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id)
+SELECT d.doc_id, s.item_id, s.n_shingles, count(*) AS n_shared, count(*) / s.n_shingles AS containment
+FROM doc_shingles d JOIN item_shingles i USING (shingle) JOIN sizes s ON s.item_id = i.item_id
+GROUP BY d.rid, d.doc_id, s.item_id, s.n_shingles HAVING count(*) >= 0.8 * s.n_shingles
+"""

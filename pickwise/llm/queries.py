@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import main_text, mixing, oracle, shared, simhash, url_filter, vector_dedup, warc
+from pickwise.llm import decontaminate, main_text, mixing, oracle, shared, simhash, url_filter, vector_dedup, warc
 
 #: Rules of the registered URL query (host, path, verdict).
 URL_RULES = [
@@ -50,17 +50,22 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op9_main_text)
+    for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op8_benchmark_leaks, op9_main_text)
 }
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracle.MIX,
     "op2_url_filter": oracle.URLS,
     "op3_embedding_near_dedup": oracle.VECTORS,
     "op5_warc_round_trip": oracle.WARC,
+    "op8_benchmark_leaks": oracle.LEAKS,
 }
