@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import decontaminate, main_text, mixing, oracle, shared, simhash, url_filter, vector_dedup, warc
+from pickwise.llm import decontaminate, main_text, mixing, oracle, shared, simhash, toxicity, url_filter, vector_dedup, warc
 
 #: Rules of the registered URL query (host, path, verdict).
 URL_RULES = [
@@ -58,9 +58,14 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op8_benchmark_leaks, op9_main_text)
+    for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op8_benchmark_leaks, op9_main_text, op10_toxicity)
 }
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracle.MIX,
