@@ -141,6 +141,25 @@ def item_blocks(benchmark: DataFrame, block_chars: int, block_items: int) -> Ite
         yield [(r["item_id"], bytes(r["text"])) for r in own.collect()]
 
 
+def clean(
+    documents: DataFrame, benchmark: DataFrame, shingle_words: int = 5, threshold: float = 0.8,
+    hashes: int = 128, block_chars: int = 8 << 20, block_items: int = 10_000,
+) -> DataFrame:
+    """The rows of ``documents``, all columns, whose text holds no benchmark
+    item (see ``leaks``)."""
+    context = documents.sparkSession.sparkContext
+    for rows in item_blocks(benchmark, block_chars, block_items):
+        sent = context.broadcast(rows)  # bounded by block_chars and block_items
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            items, known = Items(sent.value, shingle_words, hashes), {}
+            for batch in slices(batches):
+                yield batch.filter(pa.array([not items.contained(text, known, threshold) for text in text_bytes(batch.column("text"))], pa.bool_()))
+
+        documents = documents.mapInArrow(run, documents.schema)
+    return documents
+
+
 def leaks(
     documents: DataFrame, benchmark: DataFrame, shingle_words: int = 5, threshold: float = 0.8,
     hashes: int = 128, block_chars: int = 8 << 20, block_items: int = 10_000,

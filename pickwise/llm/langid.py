@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.shared import crc_fold, slices, stored
+from pickwise.llm.shared import crc_fold, row_schema, slices, stored, with_row
 
 ORDER = 4
 UNKNOWN = "und"
@@ -213,10 +213,10 @@ def train(learn: DataFrame, max_docs: int) -> Model:
     return model
 
 
-def identify(documents: DataFrame, folds: int = 5, held_out: int = 0, max_docs: int = 1500) -> DataFrame:
+def identify(documents: DataFrame, folds: int = 5, held_out: int = 0, max_docs: int = 1500, carry: bool = False) -> DataFrame:
     """Predict the language of every whole text of ``documents`` (doc_id, text,
     lang): doc_id, held_out, lang_pred, score (0 to 1; low scores are for
-    rejection).
+    rejection); with ``carry`` also ``row``, the whole input row.
 
     Learns from documents with non-null lang and text whose crc32(id) mod
     ``folds`` isn't ``held_out``. Texts that are null or hold no letter, and
@@ -232,11 +232,9 @@ def identify(documents: DataFrame, folds: int = 5, held_out: int = 0, max_docs:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=256):
             found = sent.value.predict(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"])
-
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(crc_fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
-        F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns + [batch.column("row")] * carry, ["doc_id", "held_out", "lang_pred", "score"] + ["row"] * carry)
+
+    docs = with_row(documents, carry, **{
+        "doc_id": F.col("doc_id").cast("long"), "held_out": F.coalesce(crc_fold(F.col("doc_id"), folds) == held_out, F.lit(False)), "text": F.col("text").cast("string")})
+    return docs.mapInArrow(run, row_schema(docs, "doc_id long, held_out boolean, lang_pred string, score double", carry))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.llm import decontaminate, langid, main_text, mixing, oracle, shared, simhash, toxicity, url_filter, vector_dedup, warc
+from pickwise.llm import decontaminate, langid, main_text, mixing, ngram_lm, oracle, shared, simhash, toxicity, url_filter, vector_dedup, warc
 
 #: Rules of the registered URL query (host, path, verdict).
 URL_RULES = [
@@ -50,6 +50,10 @@ def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -69,7 +73,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op7_language_id, op8_benchmark_leaks, op9_main_text, op10_toxicity)
+    for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op6_lm_scoring, op7_language_id, op8_benchmark_leaks, op9_main_text, op10_toxicity)
 }
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracle.MIX,

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pickwise.session import scratch_dir
 
@@ -31,6 +32,17 @@ def crc_fold(key: Column, folds: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % F.lit(folds)
 
 
+def with_row(df: DataFrame, carry: bool, **columns: Column) -> DataFrame:
+    """The given columns; with ``carry`` also ``row``, a struct of all input columns."""
+    return df.select(*[c.alias(name) for name, c in columns.items()], *([F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []))
+
+
+def row_schema(df: DataFrame, schema: str, carry: bool) -> T.StructType:
+    """``schema``, with ``carry`` followed by the ``row`` of ``df``."""
+    out = T.StructType.fromDDL(schema)
+    return T.StructType([*out.fields, *([df.schema["row"]] if carry else [])])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character unchanged."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

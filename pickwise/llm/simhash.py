@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.llm.components import components
@@ -146,3 +146,19 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 3, max_bits: int
     roots = components(links(prints, max_bits, segments, tile))
     named = prints.join(roots, prints["rep"] == roots["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
     return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(documents: DataFrame, shingle_words: int = 3, max_bits: int = 3) -> DataFrame:
+    """The rows of ``documents``, all columns, that stand for their group of
+    near duplicates: that of the smallest doc_id; of rows that repeat this id
+    the one with the smallest text. Rows without an id stay. Only ids are
+    grouped; texts move only if the ids that go are too many to send."""
+    named = stored(near_duplicates(documents, shingle_words, max_bits).select("doc_id", "component_id"), "simhash-groups")
+    ids = named.filter("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    ids = stored(ids.filter("stays = 0 or n > 1"), "simhash-removed")
+    key = F.col("doc_id").cast("long")
+    single = documents.withColumn("_key", key).join(ids.select(F.col("doc_id").alias("_key")), "_key", "left_anti").drop("_key")
+    again = documents.withColumn("_key", key).join(ids.filter("stays = 1").select(F.col("doc_id").alias("_key")), "_key", "left_semi")
+    first = Window.partitionBy("_key").orderBy(F.col("text").asc_nulls_first())
+    again = again.withColumn("_turn", F.row_number().over(first)).filter("_turn = 1").drop("_key", "_turn")
+    return single.unionByName(again)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.shared import crc_fold, slices, stored, text_bytes
+from pickwise.llm.shared import crc_fold, row_schema, slices, stored, text_bytes, with_row
 
 BLOCK = 64
 _CLEAN = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -233,11 +233,12 @@ def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_terms:
 
 def score(
     documents: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
-    max_examples: int = 8000, max_terms: int = 2000, min_docs: int = 5, k: int = 15,
+    max_examples: int = 8000, max_terms: int = 2000, min_docs: int = 5, k: int = 15, carry: bool = False,
 ) -> DataFrame:
     """Score every whole text of ``documents`` (doc_id, text): doc_id,
     held_out, score (0 to 1), predicted (1 from a score of 0.5), evidence (the
-    nearest examples: doc_id, cosine, toxic).
+    nearest examples: doc_id, cosine, toxic); with ``carry`` also ``row``, the
+    whole input row.
 
     Learns from ``labels`` (doc_id, toxic) of documents whose crc32(id) mod
     ``folds`` isn't ``held_out``, at most about ``max_examples`` of each label.
@@ -271,11 +272,11 @@ def score(
                             seen[key] = got
                 scores.append(got[0])
                 why.append([{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in got[1]])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, kind)],
-                ["doc_id", "held_out", "score", "predicted", "evidence"])
-
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(crc_fold(F.col("doc_id"), folds) == held_out, F.lit(False)).alias("held_out"),
-        F.col("text").cast("binary").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, toxic: int>>")
+            columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, kind)]
+            names = ["doc_id", "held_out", "score", "predicted", "evidence"]
+            yield pa.RecordBatch.from_arrays(columns + [batch.column("row")] * carry, names + ["row"] * carry)
+
+    docs = with_row(documents, carry, **{
+        "doc_id": F.col("doc_id").cast("long"), "held_out": F.coalesce(crc_fold(F.col("doc_id"), folds) == held_out, F.lit(False)), "text": F.col("text").cast("binary")})
+    out = "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"
+    return docs.mapInArrow(run, row_schema(docs, out, carry))
