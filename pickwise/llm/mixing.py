@@ -79,13 +79,14 @@ def schedule(targets: DataFrame, block_words: int) -> DataFrame:
     cells = need.select("*", F.explode(F.sequence(
         F.floor(F.col("lo") / F.col("n") * GRID), F.least(F.floor(F.col("hi") / F.col("n") * GRID), F.lit(GRID - 1).cast("long")))).alias("cell"))
     at = F.col("point") * (F.col("n") / F.lit(float(POINTS)))
-    drawn = slots.join(cells, "cell").filter((at >= F.col("lo")) & (at < F.col("hi")))
+    # "merge": the planner can't know how many rows a sequence makes, and would send them to every task
+    drawn = slots.join(cells.hint("merge"), "cell").filter((at >= F.col("lo")) & (at < F.col("hi")))
     drawn = drawn.select("stretch", "slot", "sid", "n_blocks", "source_size", "goal")
     before = Window.partitionBy("sid").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     offsets = drawn.groupBy("sid", "stretch").count().select(
         "sid", "stretch", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("sid", "stretch").orderBy("slot")
-    ranked = drawn.withColumn("k", F.row_number().over(within) - 1).join(offsets, ["sid", "stretch"])
+    ranked = drawn.withColumn("k", F.row_number().over(within) - 1).join(offsets.hint("merge"), ["sid", "stretch"])
     ranked = ranked.withColumn("k", F.col("k") + F.col("offset")).withColumn("block", F.col("k") % F.col("n_blocks"))
     used = F.expr(f"k div n_blocks * source_size + block * {block_words}")
     size = F.least(F.lit(block_words).cast("long"), F.col("source_size") - F.col("block") * block_words)
@@ -128,13 +129,12 @@ def mix(documents: DataFrame, block_words: int = 64, weights: tuple[int, ...] =
         F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))).alias("block"))
     plan = schedule(targets, block_words).groupBy("sid", "block", "words").count()
     takes = plan.groupBy("sid", "block").agg(F.collect_list(F.struct("words", "count")).alias("takes"))  # whole and one cut: two entries at most
+    takes = stored(takes, "mix-takes")
     begin = F.greatest(F.col("start") - F.col("block") * block_words, F.lit(0).cast("long"))
     end = F.col("start") + F.col("size") - F.col("block") * block_words
     piece = F.aggregate("takes", F.lit(0).cast("long"), lambda total, t: total + t["count"] * F.greatest(
         F.lit(0).cast("long"), F.least(end, t["words"]) - begin))
-    taken = pieces.join(takes, ["sid", "block"]).groupBy("sid", "start", "size", "doc_id").agg(F.sum(piece).alias("taken"))
+    taken = pieces.join(takes, ["sid", "block"], "left").groupBy("sid", "start", "size", "doc_id").agg(F.coalesce(F.sum(piece), F.lit(0)).alias("taken"))
     empty = placed.filter("size = 0").select("sid", "size", "doc_id", F.lit(0).cast("long").alias("taken"))
-    missed = placed.filter("size > 0").select("sid", "start", "size", "doc_id", F.lit(0).cast("long").alias("taken"))
-    taken = taken.unionByName(missed).groupBy("sid", "start", "size", "doc_id").agg(F.sum("taken").alias("taken"))
     rows = taken.select("sid", "size", "doc_id", "taken").unionByName(empty)
     return rows.join(targets, "sid").select("doc_id", "source", "size", "source_size", "target", "taken")
