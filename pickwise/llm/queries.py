@@ -33,7 +33,8 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    values = ", ".join(str(rule) for rule in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
