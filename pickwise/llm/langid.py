@@ -233,7 +233,7 @@ def identify(documents: DataFrame, folds: int = 5, held_out: int = 0, max_docs:
         for batch in slices(batches, rows=256):
             found = sent.value.predict(batch.column("text").to_pylist())
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns + [batch.column("row")] * carry, ["doc_id", "held_out", "lang_pred", "score"] + ["row"] * carry)
+            yield pa.RecordBatch.from_arrays(columns + [batch.column(c) for c in ["row"] * carry], ["doc_id", "held_out", "lang_pred", "score"] + ["row"] * carry)
 
     docs = with_row(documents, carry, **{
         "doc_id": F.col("doc_id").cast("long"), "held_out": F.coalesce(crc_fold(F.col("doc_id"), folds) == held_out, F.lit(False)), "text": F.col("text").cast("string")})

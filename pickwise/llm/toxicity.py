@@ -274,7 +274,7 @@ def score(
                 why.append([{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in got[1]])
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, kind)]
             names = ["doc_id", "held_out", "score", "predicted", "evidence"]
-            yield pa.RecordBatch.from_arrays(columns + [batch.column("row")] * carry, names + ["row"] * carry)
+            yield pa.RecordBatch.from_arrays(columns + [batch.column(c) for c in ["row"] * carry], names + ["row"] * carry)
 
     docs = with_row(documents, carry, **{
         "doc_id": F.col("doc_id").cast("long"), "held_out": F.coalesce(crc_fold(F.col("doc_id"), folds) == held_out, F.lit(False)), "text": F.col("text").cast("binary")})

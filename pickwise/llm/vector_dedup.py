@@ -55,8 +55,13 @@ def _vectors(embeddings: DataFrame) -> DataFrame:
     return picked.mapInArrow(run, "vec_id long, key binary, label string, vec binary")
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, so that squares don't overflow and no digit is lost."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the squares
+    x = _scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -92,6 +97,7 @@ def principal_axes(classes: DataFrame, slots: int = 64) -> dict[int, np.ndarray]
 def similar_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float, inner: bool) -> tuple[np.ndarray, np.ndarray]:
     """Rows (i of a, j of b) with cosine >= threshold; ``inner``: a is b, i < j."""
     d = a.shape[1]
+    a, b = _scaled(a), _scaled(b)
     za, zb = _unit(a) @ axes, _unit(b) @ axes
     cuts = sorted({min(d, c) for c in (8, 16, 32)} | {d})
     rest = lambda z, c: np.sqrt((z[:, c:] ** 2).sum(axis=1))
