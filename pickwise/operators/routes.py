@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.functions.joins import null_safe_full_join
 from pickwise.functions.clock import PERIODS, period_column_name, period_label
 from pickwise.operators.service import active_services, trips_on_dates
 from pickwise.operators.trips import trip_profile
@@ -95,4 +96,4 @@ def compare_route_summaries(summary: DataFrame, bundle_a: str, bundle_b: str) ->
     def side(bundle, sfx):
         return summary.where(F.col("bundle") == bundle).select(*key, *[F.col(v).alias(f"{v}_{sfx}") for v in vals])
 
-    return side(bundle_a, "b1").join(side(bundle_b, "b2"), key, "full")
+    return null_safe_full_join(side(bundle_a, "b1"), side(bundle_b, "b2"), key)

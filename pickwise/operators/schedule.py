@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.functions.joins import null_safe_full_join
 from pickwise.functions.clock import clock_part
 from pickwise.operators.service import active_services, trips_on_dates
 from pickwise.operators.trips import trip_profile
@@ -88,7 +89,7 @@ def schedule(trips: DataFrame, stop_times: DataFrame, calendar: DataFrame, calen
 def compare_schedules(sched: DataFrame, bundle_a: str, bundle_b: str, literal: bool = False) -> DataFrame:
     """The two bundles' hourly schedules side by side (full outer join).
 
-    Rows pair on (daytype, route_id, direction_id, hour). ``literal=True``
+    Rows pair on (daytype, route_id, direction_id, hour), null keys with null keys. ``literal=True``
     pairs on the weekday name instead, so e.g. a Wednesday and a Tuesday
     never meet.
     """
@@ -100,5 +101,4 @@ def compare_schedules(sched: DataFrame, bundle_a: str, bundle_b: str, literal: b
         s = sched.where(F.col("bundle") == bundle).withColumn("day", day)
         return s.select(*key, *[F.col(v).alias(f"{v}_{sfx}") for v in vals])
 
-    j = side(bundle_a, "b1").join(side(bundle_b, "b2"), key, "full")
-    return j.select(*key, *[f"{v}_b1" for v in vals], *[f"{v}_b2" for v in vals])
+    return null_safe_full_join(side(bundle_a, "b1"), side(bundle_b, "b2"), key)

@@ -76,9 +76,9 @@ def daily_services(bundle_dates: DataFrame, calendar: DataFrame, calendar_dates:
 
 
 def daily_signature(daily: DataFrame) -> DataFrame:
-    """The ordered, comma-joined service ids of each day (its schedule)."""
+    """The comma-joined service ids of each day (its schedule), in the order of the ids' own type."""
     return (daily.groupBy("bundle", "service_date", "daytype")
-            .agg(F.array_join(F.array_sort(F.collect_list(F.col("service_id").cast("string"))), ",")
+            .agg(F.array_join(F.transform(F.array_sort(F.collect_list("service_id")), lambda x: x.cast("string")), ",")
                  .alias("schedule")))
 
 

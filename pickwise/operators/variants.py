@@ -119,9 +119,11 @@ def variant_stop_pattern(stats: DataFrame, stop_times: DataFrame, stops: DataFra
     """
     first = stats.select("bundle", F.col("shape_id"), F.col("first_trip").alias("trip_id"))
     st = stop_times.select("bundle", "trip_id", "stop_sequence", "stop_id")
+    # both coordinates from one row
+    point = F.when(F.col("stop_lat").isNotNull() & F.col("stop_lon").isNotNull(), F.struct("stop_lat", "stop_lon"))
     s = stops.groupBy("bundle", "stop_id").agg(F.min("stop_name").alias("stop_name"),
-                                               F.min("stop_lat").alias("stop_lat"),
-                                               F.min("stop_lon").alias("stop_lon"))
+                                               F.min(point).alias("at"))
+    s = s.select("bundle", "stop_id", "stop_name", "at.stop_lat", "at.stop_lon")
     rows = st.join(first, ["bundle", "trip_id"]).join(s, ["bundle", "stop_id"], "left")
     x, y = project_xy("stop_lon", "stop_lat")
     pt = F.struct(F.col("stop_sequence").alias("seq"), F.col("stop_id").alias("stop_id"),

@@ -33,7 +33,7 @@ lines AS (
   SELECT l.*, b.*,
          (CASE WHEN b.nk % 4 = 1 THEN 420 + (b.ok * 7) % 110 ELSE (b.ok * 37) % 1560 END)
            + (l.seq - 1) * (5 + b.ok % 4) AS arr_min,
-         (b.nk * 4 + l.seq * (1 + b.pat) + CASE WHEN b.bundle = 'pick_b' AND b.nk % 5 = 0 THEN 1 ELSE 0 END) % 100 AS stop_key
+         (b.ck // 100) * 100 + (b.nk * 4 + l.seq * (1 + b.pat) + CASE WHEN b.bundle = 'pick_b' AND b.nk % 5 = 0 THEN 1 ELSE 0 END) % 100 AS stop_key
   FROM (SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate,
                row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
                                   l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) AS seq
@@ -49,27 +49,27 @@ clocks AS (
 ),
 stop_times AS (
   SELECT bundle, 'T' || CAST(ok AS VARCHAR) AS trip_id,
-         'ST' || lpad(CAST(stop_key AS VARCHAR), 3, '0') AS stop_id,
+         'ST' || lpad(CAST(stop_key AS VARCHAR), 9, '0') AS stop_id,
          CASE WHEN seq = 1 AND ok % 89 = 0 THEN NULL ELSE clock END AS arrival_time,
          clock AS departure_time,
          CASE WHEN seq = 1 THEN 1 ELSE 0 END AS timepoint,
          CAST(seq AS INTEGER) AS stop_sequence, 0 AS pickup_type, 0 AS drop_off_type
   FROM clocks
 ),
-stop_parts AS (SELECT p_partkey, p_name FROM part WHERE p_partkey < 99),
+stop_parts AS (SELECT p_partkey, p_name FROM part),
 picks AS (SELECT 'pick_a' AS bundle UNION ALL SELECT 'pick_b'),
 stops AS (
-  SELECT pk.bundle, 'ST' || lpad(CAST(p_partkey AS VARCHAR), 3, '0') AS stop_id, p_name AS stop_name,
+  SELECT pk.bundle, 'ST' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS stop_id, p_name AS stop_name,
          CASE WHEN p_partkey = 98 THEN NULL ELSE CAST(40.5 AS DOUBLE) + (p_partkey * 37 % 100) / 250 END AS stop_lat,
          CAST(-74.2 AS DOUBLE) + (p_partkey * 61 % 100) / 200 AS stop_lon
   FROM stop_parts CROSS JOIN picks pk
 ),
 shape_reference AS (
   SELECT pk.bundle, r.stop_id, r.revenue_stop FROM (
-    SELECT 'ST' || lpad(CAST(p_partkey AS VARCHAR), 3, '0') AS stop_id, CAST(p_partkey % 2 AS INTEGER) AS revenue_stop
+    SELECT 'ST' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS stop_id, CAST(p_partkey % 2 AS INTEGER) AS revenue_stop
     FROM stop_parts WHERE p_partkey % 7 <> 0
     UNION ALL
-    SELECT 'ST' || lpad(CAST(p_partkey AS VARCHAR), 3, '0'), 1
+    SELECT 'ST' || lpad(CAST(p_partkey AS VARCHAR), 9, '0'), 1
     FROM stop_parts WHERE p_partkey % 7 <> 0 AND p_partkey % 10 = 0) r CROSS JOIN picks pk
 ),
 calendar AS (
@@ -108,7 +108,7 @@ ridership AS (
   SELECT CASE WHEN ok % 13 = 0 THEN '0'
               WHEN NOT (CAST(year(l_shipdate) AS VARCHAR) = '2000' AND CAST(month(l_shipdate) AS VARCHAR) IN ('9', '10', '11', '12'))
                    AND ok % 7 = 0 THEN NULL
-              ELSE 'ST' || lpad(CAST(stop_key AS VARCHAR), 3, '0') || CASE WHEN direction_id = 0 THEN 'N' ELSE 'S' END END AS gtfsid,
+              ELSE 'ST' || lpad(CAST(stop_key AS VARCHAR), 9, '0') || CASE WHEN direction_id = 0 THEN 'N' ELSE 'S' END END AS gtfsid,
          'RUN' || CAST(year(l_shipdate) AS VARCHAR) || '-' || CAST(month(l_shipdate) AS VARCHAR) AS ridership_run_id,
          CAST(year(l_shipdate) AS VARCHAR) AS run_year,
          CAST(month(l_shipdate) AS VARCHAR) AS run_month,
@@ -119,11 +119,11 @@ ridership AS (
          CASE WHEN direction_id = 0 THEN 'N' ELSE 'S' END AS dir,
          CASE WHEN NOT (CAST(year(l_shipdate) AS VARCHAR) = '2000' AND CAST(month(l_shipdate) AS VARCHAR) IN ('9', '10', '11', '12'))
                    AND (ok + seq) % 11 = 0 THEN p_name || ' (Local)' ELSE p_name END AS stop_name,
-         'R' || CAST(nk AS VARCHAR) || ':' || 'ST' || lpad(CAST(stop_key AS VARCHAR), 3, '0') AS lookup,
+         'R' || CAST(nk AS VARCHAR) || ':' || 'ST' || lpad(CAST(stop_key AS VARCHAR), 9, '0') AS lookup,
          seq * CAST(1.5 AS DOUBLE) AS milepost,
          l_quantity AS ons, l_discount AS offs, l_extendedprice AS volume, l_tax AS md_trips,
          l_quantity AS capacity, l_discount AS vc
-  FROM lines JOIN stop_parts ON stop_key = p_partkey
+  FROM (SELECT l.*, coalesce(s.p_name, 'ST' || lpad(CAST(l.stop_key AS VARCHAR), 9, '0')) AS p_name FROM lines l LEFT JOIN stop_parts s ON l.stop_key = s.p_partkey)
 ),
 fixture_rename_rules AS (
   SELECT DISTINCT 1000 AS priority, p_name || ' (Local)' AS stop_name, p_name AS new_name FROM stop_parts

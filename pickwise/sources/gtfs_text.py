@@ -24,7 +24,7 @@ TEXT_SCHEMAS = {
     "calendar_dates": {"service_id": "string", "date": "int", "exception_type": "int"},
     "routes": {"route_id": "string", "agency_id": "string", "route_short_name": "string",
                "route_long_name": "string", "route_desc": "string", "route_type": "int", "route_url": "string",
-               "route_color": "string", "route_text_color": "string"},
+               "route_color": "string", "route_text_color": "string", "exact_times": "int"},
     "shapes": {"shape_id": "string", "shape_pt_lat": "double", "shape_pt_lon": "double",
                "shape_pt_sequence": "int"},
     "stops": {"stop_id": "string", "stop_name": "string", "stop_lat": "double", "stop_lon": "double",
@@ -38,15 +38,28 @@ TEXT_SCHEMAS = {
 
 
 def read_gtfs_table(spark: SparkSession, root: str, name: str, bundles=None) -> DataFrame:
-    """One GTFS table of every (or the given) bundle under ``root``."""
+    """One GTFS table of every (or the given) bundle under ``root``.
+
+    Columns are bound by name. A CSV scan takes one file's header for all its
+    files, so feeds are scanned in groups of equal headers (the driver lists
+    the files and reads each one's first line).
+    """
     paths = [f"{root}/{b}/{name}.txt" for b in bundles] if bundles else [f"{root}/*/{name}.txt"]
-    raw = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-           .csv(paths).select("*", F.col("_metadata.file_path").alias("_path")))
-    present = set(raw.columns)
-    cols = [(F.trim(F.col(c)).try_cast(t) if c in present else F.lit(None).cast(t)).alias(c)
-            for c, t in TEXT_SCHEMAS[name].items()]
+    by_header: dict[str, list[str]] = {}
+    for file in spark.read.format("binaryFile").load(paths).select("path").collect():
+        first = spark.read.text(file["path"]).first()
+        by_header.setdefault(first[0] if first else "", []).append(file["path"])
     bundle = F.url_decode(F.regexp_extract(F.col("_path"), r"([^/]+)/[^/]+$", 1)).alias("bundle")
-    return raw.select(bundle, *cols)
+    out = None
+    for files in by_header.values():
+        raw = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+               .csv(files).select("*", F.col("_metadata.file_path").alias("_path")))
+        named = {c.strip().strip("\ufeff"): c for c in raw.columns}
+        cols = [(F.trim(F.col(f"`{named[c]}`")).try_cast(t) if c in named else F.lit(None).cast(t)).alias(c)
+                for c, t in TEXT_SCHEMAS[name].items()]
+        part = raw.select(bundle, *cols)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def read_gtfs_feeds(spark: SparkSession, root: str, bundles=None, names=None) -> GtfsTables:

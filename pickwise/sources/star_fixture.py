@@ -92,7 +92,7 @@ def _lines(spark, sf_dir, base: DataFrame) -> DataFrame:
     return (li.withColumn("seq", F.row_number().over(w))
             .join(base, F.col("l_orderkey") == ok)
             .withColumn("arr_min", sm + (seq - 1) * (5 + ok % 4))
-            .withColumn("stop_key", (nk * 4 + seq * (1 + pat) + shift) % 100))
+            .withColumn("stop_key", idiv(F.col("ck"), 100) * 100 + (nk * 4 + seq * (1 + pat) + shift) % 100))
 
 
 def _clock(minutes):
@@ -105,7 +105,7 @@ def _stop_times(lines: DataFrame) -> DataFrame:
     return lines.select(
         "bundle",
         F.concat(F.lit("T"), ok.cast("string")).alias("trip_id"),
-        F.concat(F.lit("ST"), F.lpad(F.col("stop_key").cast("string"), 3, "0")).alias("stop_id"),
+        F.concat(F.lit("ST"), F.lpad(F.col("stop_key").cast("string"), 9, "0")).alias("stop_id"),
         F.when((seq == 1) & (ok % 89 == 0), F.lit(None).cast("string")).otherwise(clock).alias("arrival_time"),
         clock.alias("departure_time"),
         F.when(seq == 1, F.lit(1)).otherwise(F.lit(0)).alias("timepoint"),
@@ -120,13 +120,13 @@ def _per_bundle(df: DataFrame) -> DataFrame:
 
 
 def _stop_parts(spark, sf_dir) -> DataFrame:
-    return _read(spark, sf_dir, "part").select("p_partkey", "p_name").where(F.col("p_partkey") < 99)
+    return _read(spark, sf_dir, "part").select("p_partkey", "p_name")
 
 
 def _stops(parts: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
     s = parts.select(
-        F.concat(F.lit("ST"), F.lpad(k.cast("string"), 3, "0")).alias("stop_id"),
+        F.concat(F.lit("ST"), F.lpad(k.cast("string"), 9, "0")).alias("stop_id"),
         F.col("p_name").alias("stop_name"),
         F.when(k == 98, F.lit(None).cast("double")).otherwise(F.lit(40.5) + (k * 37 % 100) / 250).alias("stop_lat"),
         (F.lit(-74.2) + (k * 61 % 100) / 200).alias("stop_lon"),
@@ -136,7 +136,7 @@ def _stops(parts: DataFrame) -> DataFrame:
 
 def _shape_reference(parts: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
-    sid = F.concat(F.lit("ST"), F.lpad(k.cast("string"), 3, "0")).alias("stop_id")
+    sid = F.concat(F.lit("ST"), F.lpad(k.cast("string"), 9, "0")).alias("stop_id")
     kept = parts.where(k % 7 != 0)
     one = kept.select(sid, (k % 2).cast("int").alias("revenue_stop"))
     two = kept.where(k % 10 == 0).select(sid, F.lit(1).alias("revenue_stop"))
@@ -199,8 +199,8 @@ def _ridership(lines: DataFrame, parts: DataFrame) -> DataFrame:
     in_ref = (year == REFERENCE_YEAR) & month.isin(*REFERENCE_MONTHS)
     dir_ = F.when(F.col("direction_id") == 0, F.lit("N")).otherwise(F.lit("S"))
     route = F.concat(F.lit("R"), F.col("nk").cast("string"))
-    stop_id = F.concat(F.lit("ST"), F.lpad(F.col("stop_key").cast("string"), 3, "0"))
-    named = lines.join(parts, F.col("stop_key") == F.col("p_partkey"))
+    stop_id = F.concat(F.lit("ST"), F.lpad(F.col("stop_key").cast("string"), 9, "0"))
+    named = lines.join(parts, F.col("stop_key") == F.col("p_partkey"), "left").withColumn("p_name", F.coalesce("p_name", stop_id))
     return named.select(
         F.when(ok % 13 == 0, F.lit("0"))
          .when(~in_ref & (ok % 7 == 0), F.lit(None).cast("string"))
