@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pickwise.llm import decontaminate, langid, mixing, simhash, toxicity
 from pickwise.llm.shared import stored
 
-#: Documents whose language score is lower are rejected, as are those without any letter.
-LANGUAGE_SCORE = 0.2
+#: Documents whose language score is lower are rejected, as are those without any letter. Low, so that
+#: short texts with odd tokens stay: what goes is far from any text the models were calibrated on.
+LANGUAGE_SCORE = 0.01
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
