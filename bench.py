@@ -20,7 +20,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pickwise.operators import matching, ridership, routes, schedule, service, stops, variants  # noqa: E402
-from pickwise.plans.materialize import checked_broadcast, materialize  # noqa: E402
+from pickwise.plans.materialize import materialize  # noqa: E402
 from pickwise.plans.report import report  # noqa: E402
 from pickwise.session import get_session, scratch_dir  # noqa: E402
 from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs  # noqa: E402
@@ -35,9 +35,9 @@ def headline(spark, t, sf_dir):
     operator inside the timed region (some materialize small tables)."""
     days = service.representative_days(t.bundle_dates, t.calendar, t.calendar_dates)
     s0 = time.time()
-    svc = checked_broadcast(service.active_services(t.calendar, t.calendar_dates, days))
+    svc = materialize(service.active_services(t.calendar, t.calendar_dates, days))
     vt_m = materialize(variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates,
-                                              services=svc, broadcast_max_rows=1_000_000))
+                                              services=svc))
     cut_sec = time.time() - s0
 
     def sched():
@@ -58,8 +58,8 @@ def headline(spark, t, sf_dir):
         "stop_list": listed,
         "compare_stop_lists": lambda: stops.compare_stop_lists(listed(), A, B),
         "variant_table": lambda: variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar,
-                                                        t.calendar_dates, services=svc, broadcast_max_rows=1_000_000),
-        "variant_matches": lambda: matching.variant_matches(vt_m, A, B, broadcast_max_rows=1_000_000),
+                                                        t.calendar_dates, services=svc),
+        "variant_matches": lambda: matching.variant_matches(vt_m, A, B),
         "fill_ids": lambda: ridership.fill_ids(t.ridership, "2000", ("9", "10", "11", "12"),
                                                extra_rename_rules=fixture_rename_rules(spark, sf_dir)),
     }

@@ -63,15 +63,3 @@ def project_xy(lon, lat) -> tuple[Column, Column]:
 
 def segment_length(x1, y1, x2, y2) -> Column:
     return F.sqrt(F.pow(x2 - x1, 2) + F.pow(y2 - y1, 2))
-
-
-def project_sql(lon: str, lat: str) -> tuple[str, str]:
-    """The same projection as ANSI SQL text (used by the DuckDB oracles)."""
-    phi = f"radians({lat})"
-    esin = f"({E!r} * sin({phi}))"
-    t = f"(tan({math.pi / 4!r} - {phi} / 2) / pow((1 - {esin}) / (1 + {esin}), {E / 2!r}))"
-    rho = f"({GRS80_A * BIG_F!r} * pow({t}, {N!r}))"
-    theta = f"({N!r} * radians({lon} - ({LON_0!r})))"
-    x = f"(({FALSE_EASTING_M!r} + {rho} * sin({theta})) / {US_FOOT_M!r})"
-    y = f"(({FALSE_NORTHING_M!r} + {RHO0!r} - {rho} * cos({theta})) / {US_FOOT_M!r})"
-    return x, y

@@ -7,11 +7,12 @@ set and segment list, so scoring needs no further join to stop_times.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pickwise.functions.similarity import (WEIGHTS_V1, WEIGHTS_V2, sim_headsign, sim_ratio, sim_shape,
                                            sim_start_end, sim_stop_set, weighted)
+from pickwise.plans.materialize import materialize
 
 PAIR_KEY = ["route_id", "direction_id", "daytype"]
 METRICS = ["shape_id", "stop_ids", "segments", "start_stop", "end_stop", "headsign", "trip_count",
@@ -19,25 +20,24 @@ METRICS = ["shape_id", "stop_ids", "segments", "start_stop", "end_stop", "headsi
 
 
 def variant_pairs(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2,
-                  weights: dict | None = None, broadcast_max_rows: int | None = None) -> DataFrame:
+                  weights: dict | None = None, salts: int = 8, carry: tuple = ()) -> DataFrame:
     """Score every candidate pair (a in bundle_a, b in bundle_b) of a group.
 
     ``version=1`` is the first scorer (no geometry), ``version=2`` adds the
-    shape overlap. Returns the components and ``score``. With
-    ``broadcast_max_rows`` bundle_b's variants (one row each) are broadcast
-    after a size check: pairs are then formed where bundle_a's rows already
-    are, so a group holding a large share of all variants is spread over
-    every task instead of landing in one join partition.
+    shape overlap. Returns the components and ``score``. bundle_a's variants
+    are spread over ``salts`` parts of their group and meet a copy of
+    bundle_b's in each, so a group holding a large share of all variants
+    forms its pairs in that many tasks. ``carry`` names further columns of
+    bundle_b's variants to hand on (with the suffix ``_b``).
     """
-    def side(bundle, sfx):
+    def side(bundle, sfx, more=()):
         return vt.where(F.col("bundle") == bundle).select(
-            *[F.col(k).alias(f"{k}_{sfx}") for k in PAIR_KEY], *[F.col(m).alias(f"{m}_{sfx}") for m in METRICS])
+            *[F.col(k).alias(f"{k}_{sfx}") for k in PAIR_KEY], *[F.col(m).alias(f"{m}_{sfx}") for m in [*METRICS, *more]])
 
-    a, b = side(bundle_a, "a"), side(bundle_b, "b")
-    if broadcast_max_rows is not None:
-        from pickwise.plans.materialize import checked_broadcast
-        b = checked_broadcast(b, broadcast_max_rows)
-    cond = ((a["route_id_a"] == b["route_id_b"]) & a["direction_id_a"].eqNullSafe(b["direction_id_b"])
+    a, b = side(bundle_a, "a"), side(bundle_b, "b", carry)
+    a = a.withColumn("_salt_a", F.pmod(F.xxhash64("shape_id_a"), F.lit(salts)).cast("int"))
+    b = b.withColumn("_salt_b", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cond = ((a["_salt_a"] == b["_salt_b"]) & (a["route_id_a"] == b["route_id_b"]) & a["direction_id_a"].eqNullSafe(b["direction_id_b"])
             & (a["daytype_a"] == b["daytype_b"]))
     p = a.join(b, cond)
     comps = {
@@ -52,31 +52,39 @@ def variant_pairs(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2,
     w = weights or (WEIGHTS_V1 if version == 1 else WEIGHTS_V2)
     p = p.withColumns({k: v for k, v in comps.items() if k in w})
     return p.select(F.col("route_id_a").alias("route_id"), F.col("direction_id_a").alias("direction_id"),
-                    F.col("daytype_a").alias("daytype"), "shape_id_a", "shape_id_b", *w.keys(),
+                    F.col("daytype_a").alias("daytype"), "shape_id_a", "shape_id_b", *[f"{c}_b" for c in carry], *w.keys(),
                     weighted({k: F.col(k) for k in w}, w).alias("score"))
 
 
 def variant_matches(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2, min_score: float = 0.0,
-                    weights: dict | None = None, tie_digits: int = 6,
-                    broadcast_max_rows: int | None = None) -> DataFrame:
+                    weights: dict | None = None, tie_digits: int = 6) -> DataFrame:
     """Best counterpart in bundle_b of every bundle_a variant, plus the
     variants left over on either side.
 
     ``status``: ``matched``; ``removed`` (a variant of bundle_a with no
     candidate scoring at least ``min_score``); ``added`` (a bundle_b variant
-    that is nobody's best match). Scores equal to ``tie_digits`` decimals tie
-    and go to the smallest shape id.
+    that is nobody's best match). Scores equal to ``tie_digits`` decimals (9 at
+    most) tie and go to the smallest shape id.
     """
-    pairs = (variant_pairs(vt, bundle_a, bundle_b, version, weights, broadcast_max_rows)
+    by_shape = Window.partitionBy("bundle", *PAIR_KEY).orderBy("shape_id")
+    ranked = vt.withColumn("rank", F.row_number().over(by_shape))
+    pairs = (variant_pairs(ranked, bundle_a, bundle_b, version, weights, carry=("rank",))
              .where(F.col("score") >= min_score))
     # Best candidate per variant as an aggregate, not a window: the pair rows
     # are folded map-side (partial min_by) right where the join produces them,
     # so only about one row per variant and task is shuffled, never every pair.
-    order = F.struct((-F.bround("score", tie_digits)).alias("neg_score"), F.col("shape_id_b"))
-    best = (pairs.groupBy(*PAIR_KEY, "shape_id_a")
-            .agg(F.min_by(F.struct("shape_id_b", "score"), order).alias("best"))
-            .select(*PAIR_KEY, "shape_id_a", F.col("best.shape_id_b").alias("shape_id_b"),
-                    F.col("best.score").alias("score")))
+    # Score and rank of the shape id are packed into one long: fixed-width
+    # buffers make it a hash aggregate, and no pair is sorted.
+    points = F.round(F.bround("score", tie_digits) * F.lit(float(10**tie_digits))).cast("long")
+    order = F.col("rank_b") - points * F.lit(1 << 32)
+    best = pairs.groupBy(*PAIR_KEY, "shape_id_a").agg(F.min(order).alias("order"), F.min_by("score", order).alias("score"))
+    best = best.withColumn("rank", F.col("order").bitwiseAND(F.lit((1 << 32) - 1)))
+    names = ranked.where(F.col("bundle") == bundle_b).select(*PAIR_KEY, "rank", F.col("shape_id").alias("shape_id_b"))
+    same = F.col("x.rank") == F.col("y.rank")
+    for k in PAIR_KEY:
+        same = same & F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}"))
+    best = materialize(best.alias("x").join(names.alias("y"), same)
+                       .select(*[F.col(f"x.{k}") for k in PAIR_KEY], "x.shape_id_a", "y.shape_id_b", "x.score"))
     a_all = vt.where(F.col("bundle") == bundle_a).select(*PAIR_KEY, F.col("shape_id").alias("shape_id_a"))
     b_all = vt.where(F.col("bundle") == bundle_b).select(*PAIR_KEY, F.col("shape_id").alias("shape_id_b"))
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions.rules import Rule, first_match
+from pickwise.plans.materialize import materialize
 
 KEY = ["stop_name", "route", "dir"]
 
@@ -121,7 +122,10 @@ def reference_ids(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAUL
                             & F.col("gtfsid").isNotNull()).select("gtfsid", *KEY)
     if literal:
         return good
-    return good.groupBy(*KEY).agg(F.min("gtfsid").alias("gtfsid"))
+    # A minimum over text sorts its input, so equal ids are counted by hash first. The optimizer
+    # would drop a plain distinct below a minimum; a count that is used stays.
+    ids = good.groupBy(*KEY, "gtfsid").agg(F.count(F.lit(1)).alias("n"))
+    return ids.groupBy(*KEY).agg(F.min("gtfsid").alias("gtfsid"), F.sum("n").alias("n")).where("n > 0").drop("n")
 
 
 def missing_ids(precleaned: DataFrame) -> DataFrame:
@@ -166,19 +170,17 @@ def match_renamed_ids(renamed: DataFrame, good: DataFrame) -> DataFrame:
 
 
 def _lookup_one_pass(precleaned: DataFrame, year: str, months, rename_rules,
-                     extra_rename_rules: DataFrame | None, cut: bool = False) -> DataFrame:
-    """Default mode: one aggregate over the ridership rows gives, per key, the
+                     extra_rename_rules: DataFrame | None) -> DataFrame:
+    """Default mode: one pass over the ridership rows gives, per key, the
     reference id (smallest) and whether any row lacks an id; the exact match
-    of a missing key is then its own group's reference id -- no join. With
-    ``cut`` the per-key table (bounded by the distinct keys) is materialized,
+    of a missing key is then its own group's reference id -- no join. Rows of
+    equal ids are folded by hash first: a minimum over text sorts its input,
+    which is then the distinct ids, not the rows. The per-key table is stored,
     so its three uses do not each re-read the ridership rows."""
     in_ref = (F.col("run_year") == year) & F.col("run_month").isin(*months) & F.col("gtfsid").isNotNull()
-    keys = (precleaned.groupBy(*KEY)
-            .agg(F.min(F.when(in_ref, F.col("gtfsid"))).alias("ref_id"),
-                 F.max(F.col("gtfsid").isNull()).alias("has_missing")))
-    if cut:
-        from pickwise.plans.materialize import materialize
-        keys = materialize(keys)
+    ids = (precleaned.groupBy(*KEY, F.when(in_ref, F.col("gtfsid")).alias("ref_id"))
+           .agg(F.max(F.col("gtfsid").isNull()).alias("has_missing")))
+    keys = materialize(ids.groupBy(*KEY).agg(F.min("ref_id").alias("ref_id"), F.max("has_missing").alias("has_missing")))
     complete = F.col("stop_name").isNotNull() & F.col("route").isNotNull() & F.col("dir").isNotNull()
     good = keys.where(F.col("ref_id").isNotNull() & complete).select(*KEY, F.col("ref_id").alias("gtfsid"))
     attempt = (keys.where(F.col("has_missing") & complete)
@@ -189,8 +191,7 @@ def _lookup_one_pass(precleaned: DataFrame, year: str, months, rename_rules,
 
 
 def id_lookup(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MONTHS, literal: bool = False,
-              rename_rules=RENAME_RULES, extra_rename_rules: DataFrame | None = None,
-              cut: bool = False) -> DataFrame:
+              rename_rules=RENAME_RULES, extra_rename_rules: DataFrame | None = None) -> DataFrame:
     """Both match attempts as one table keyed by (stop_name, route, dir):
     ``matched_gtfsid`` (exact) and ``renamed_gtfsid`` (after renaming).
 
@@ -198,7 +199,7 @@ def id_lookup(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MO
     number of ridership rows (default mode: one row per key).
     """
     if not literal:
-        return _lookup_one_pass(precleaned, year, months, rename_rules, extra_rename_rules, cut)
+        return _lookup_one_pass(precleaned, year, months, rename_rules, extra_rename_rules)
     good = reference_ids(precleaned, year, months, literal)
     attempt = match_ids(missing_ids(precleaned), good)
     renamed = rename_stops(attempt.where(F.col("matched_gtfsid").isNull()), rename_rules, extra_rename_rules)
@@ -208,22 +209,16 @@ def id_lookup(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MO
 
 def fill_ids(ridership: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MONTHS, literal: bool = False,
              override_rules=OVERRIDE_RULES, rename_rules=RENAME_RULES,
-             extra_rename_rules: DataFrame | None = None, milepost_tol: float = 0.0,
-             broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
+             extra_rename_rules: DataFrame | None = None, milepost_tol: float = 0.0) -> DataFrame:
     """Every (kept) ridership row with ``final_gtfsid`` =
     coalesce(own id after overrides, exact match, match after renaming).
 
-    The lookup is materialized and counted: at or under ``broadcast_max_rows``
-    the ridership rows meet it in a broadcast join (the large table is never
-    shuffled), above it in a shuffle join. ``broadcast_max_rows=None`` keeps
-    the plan fully lazy and leaves the choice to adaptive execution.
+    The lookup is stored first (a job), so that the planner knows its size in
+    bytes: a small one is broadcast and the ridership rows are never shuffled,
+    a large one meets them in a shuffle join.
     """
     pre = ridership_overrides(ridership, override_rules, literal, milepost_tol)
-    lookup = id_lookup(pre, year, months, literal, rename_rules, extra_rename_rules,
-                       cut=broadcast_max_rows is not None)
-    if broadcast_max_rows is not None:
-        from pickwise.plans.materialize import checked_broadcast
-        lookup = checked_broadcast(lookup, broadcast_max_rows)
+    lookup = materialize(id_lookup(pre, year, months, literal, rename_rules, extra_rename_rules))
     return (pre.join(lookup, KEY, "left")
             .withColumn("final_gtfsid", F.coalesce("gtfsid", "matched_gtfsid", "renamed_gtfsid"))
             .select(*pre.columns, "final_gtfsid"))

@@ -14,7 +14,9 @@ def stop_list(trips: DataFrame, stop_times: DataFrame, stops: DataFrame,
 
     stop_times LEFT JOIN trips INNER JOIN stops: stop times of unknown trips
     stay with a null route and direction; stops missing from ``stops`` drop
-    out. A stop listed under two names takes the smallest. With ``profile``
+    out. A stop listed under two names takes the smallest. Keys are made
+    distinct by hash before they meet the names, so stop_times rows are
+    neither sorted nor carry text other than ids. With ``profile``
     (``trip_profile(with_stops=True)``) each trip's distinct stop set is used
     instead of its stop_times rows.
     """
@@ -23,10 +25,9 @@ def stop_list(trips: DataFrame, stop_times: DataFrame, stops: DataFrame,
     else:
         st = stop_times.select("bundle", "trip_id", "stop_id")
     t = trips.select("bundle", "trip_id", "route_id", "direction_id")
-    s = stops.select("bundle", "stop_id", "stop_name")
-    return (st.join(t, ["bundle", "trip_id"], "left")
-            .join(s, ["bundle", "stop_id"], "inner")
-            .groupBy("bundle", *KEY).agg(F.min("stop_name").alias("stop_name")))
+    names = stops.groupBy("bundle", "stop_id").agg(F.min("stop_name").alias("stop_name"))
+    listed = st.join(t, ["bundle", "trip_id"], "left").select("bundle", *KEY).distinct()
+    return listed.join(names, ["bundle", "stop_id"]).select("bundle", *KEY, "stop_name")
 
 
 def compare_stop_lists(stops_listed: DataFrame, bundle_a: str, bundle_b: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pickwise.functions.clock import SCHOOL_WINDOWS, clock_seconds_of_day, in_wi
 from pickwise.functions.dates import WEEKDAY_COLUMNS, WEEKEND_COLUMNS
 from pickwise.functions.geo import project_xy
 from pickwise.operators.service import active_services, filter_bundle
+from pickwise.plans.materialize import materialize
 
 # Main-variant score weights (trip count, length in thousands
 # of feet, stop count), type thresholds and the headsign words that mark a
@@ -191,21 +192,16 @@ def variant_type(vt: DataFrame, limited_share: float = LIMITED_STOP_SHARE, short
 
 
 def variant_metrics(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, calendar: DataFrame,
-                    route_filter=None, school_windows=SCHOOL_WINDOWS,
-                    broadcast_max_rows: int | None = None) -> DataFrame:
+                    route_filter=None, school_windows=SCHOOL_WINDOWS) -> DataFrame:
     """All per-variant metrics (C29-C36) for already date-filtered trips.
 
     The trips are read once: one aggregate per shape carries every trip
     metric and the routes listing the shape; only the shapes' first trips
-    meet stop_times for the stop pattern. With ``broadcast_max_rows`` the
-    per-shape table (one row per shape) is materialized and, when no larger
-    than that, broadcast into the stop_times join, so stop_times is never
-    shuffled for it.
+    meet stop_times for the stop pattern. The per-shape table is stored first
+    (a job), so the planner knows its size in bytes and broadcasts a small one
+    into the stop_times join.
     """
-    stats = variant_trip_stats(trips, calendar, first_stop_in_windows(stop_times, school_windows))
-    if broadcast_max_rows is not None:
-        from pickwise.plans.materialize import checked_broadcast
-        stats = checked_broadcast(stats, broadcast_max_rows)
+    stats = materialize(variant_trip_stats(trips, calendar, first_stop_in_windows(stop_times, school_windows)))
     pattern = variant_stop_pattern(stats, stop_times, stops)
     per_shape = (stats.join(pattern, SHAPE_KEY, "left")
                  .withColumn("stop_count", F.coalesce("stop_count", F.lit(0).cast("long"))))
@@ -219,7 +215,7 @@ def variant_metrics(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, c
 
 def variant_table(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, calendar: DataFrame,
                   calendar_dates: DataFrame, dates: DataFrame | None = None, route_filter=None,
-                  services: DataFrame | None = None, broadcast_max_rows: int | None = None,
+                  services: DataFrame | None = None,
                   school_windows=SCHOOL_WINDOWS, main_weights=MAIN_WEIGHTS, **type_kw) -> DataFrame:
     """Every variant of every route and bundle with metrics and type.
 
@@ -232,8 +228,7 @@ def variant_table(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, cal
     if services is None:
         services = active_services(calendar, calendar_dates, dates)
     kept_trips, _ = filter_bundle(trips, stop_times, services)
-    vt = variant_metrics(kept_trips, stop_times, stops, calendar, route_filter, school_windows,
-                         broadcast_max_rows=broadcast_max_rows)
+    vt = variant_metrics(kept_trips, stop_times, stops, calendar, route_filter, school_windows)
     out = variant_type(main_variant(vt, main_weights), **type_kw)
     return out.withColumn("daytype_direction",
                           F.concat_ws("_", F.col("daytype"), F.coalesce(F.col("direction_id").cast("string"),

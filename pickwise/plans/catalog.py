@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pickwise.operators import matching, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
-from pickwise.plans.materialize import checked_broadcast, materialize
+from pickwise.plans.materialize import materialize, scratch_folder
 from pickwise.session import session_key
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
@@ -33,12 +33,13 @@ _FIXTURES: dict[tuple[str, str], T.GtfsTables] = {}
 
 
 def _t(spark, sf_dir):
-    """The GTFS tables derived from ``sf_dir``, checkpointed once per session
-    (as if stored); every query then reads them like stored bundle tables."""
+    """The GTFS tables derived from ``sf_dir``, stored once per session as
+    Parquet partitioned by bundle; every query scans those."""
     key = (session_key(spark), sf_dir)
     if key not in _FIXTURES:
-        t = star_to_gtfs(spark, sf_dir)
-        _FIXTURES[key] = T.GtfsTables(**{n: materialize(df) for n, df in t.items()})
+        root = scratch_folder(spark, "bundles")
+        T.write_tables(star_to_gtfs(spark, sf_dir), root)
+        _FIXTURES[key] = T.load_tables(spark, root)
     return _FIXTURES[key]
 
 
@@ -50,7 +51,7 @@ def _services(spark, sf_dir):
     key = (session_key(spark), sf_dir)
     if key not in _SERVICES:
         t = _t(spark, sf_dir)
-        _SERVICES[key] = checked_broadcast(service.active_services(t.calendar, t.calendar_dates, _days(t)))
+        _SERVICES[key] = materialize(service.active_services(t.calendar, t.calendar_dates, _days(t)))
     return _SERVICES[key]
 
 
@@ -229,8 +230,7 @@ def _variant_table(spark, sf_dir):
     if key not in _VT:
         t = _t(spark, sf_dir)
         _VT[key] = materialize(variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates,
-                                                      services=_services(spark, sf_dir),
-                                                      broadcast_max_rows=1_000_000))
+                                                      services=_services(spark, sf_dir)))
     return _VT[key]
 
 
@@ -265,15 +265,13 @@ def q_variant_pairs_v2(spark, sf_dir):
 
 @register("variant_matches", O.variant_matches(2))
 def q_variant_matches(spark, sf_dir):
-    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=2,
-                                 broadcast_max_rows=1_000_000)
+    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=2)
     return m.withColumn("score", F.bround("score", 4))
 
 
 @register("variant_matches_v1", O.variant_matches(1))
 def q_variant_matches_v1(spark, sf_dir):
-    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=1,
-                                 broadcast_max_rows=1_000_000)
+    m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=1)
     return m.withColumn("score", F.bround("score", 4))
 
 
@@ -407,7 +405,7 @@ def q_variant_school(spark, sf_dir):
 @register("variant_stop_pattern", O.VARIANT_STOP_PATTERN)
 def q_variant_stop_pattern(spark, sf_dir):
     t = _t(spark, sf_dir)
-    stats = checked_broadcast(variants.variant_trip_stats(_kept_trips(spark, sf_dir), t.calendar))
+    stats = materialize(variants.variant_trip_stats(_kept_trips(spark, sf_dir), t.calendar))
     p = variants.variant_stop_pattern(stats, t.stop_times, t.stops)
     return p.select("bundle", "shape_id", "stop_count", "start_stop", "end_stop",
                     F.bround("length_ft", 1).alias("length_ft"),

@@ -2,31 +2,35 @@
 
 Representative days and the services running on them are tiny (bundles x
 days x services) but feed every operator; without a cut, each branch
-re-runs their chain of small shuffles. ``materialize`` writes a reliable
-checkpoint into the cluster's shared ``spark.checkpoint.dir`` (never a local
-checkpoint), so a lost executor recomputes nothing and loses nothing.
+re-runs their chain of small shuffles. ``materialize`` writes Parquet into
+the cluster's shared ``spark.checkpoint.dir`` and reads it back, so a lost
+executor recomputes nothing and loses nothing, later scans are pruned and
+filtered like any stored table, and the planner knows the table's measured
+size in bytes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from pickwise.session import ensure_checkpoint_dir
+from pickwise.session import scratch_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared checkpoint folder, removed when the application ends."""
+    path = scratch_dir(spark, f"{name}-")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast a join side only after measuring it.
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` as a stored table. Runs a job.
 
-    ``small`` is materialized (reliable checkpoint) and counted; at or under
-    ``max_rows`` it is returned with a broadcast hint, above it unchanged so
-    the join falls back to a shuffle join (with AQE skew splitting).
+    No join hint is needed (or given) on the result: the planner broadcasts it
+    only while the bytes written are under ``spark.sql.autoBroadcastJoinThreshold``
+    and otherwise shuffles, with AQE skew splitting.
     """
-    from pyspark.sql import functions as F
-
-    m = materialize(small)
-    return F.broadcast(m) if m.count() <= max_rows else m
+    path = scratch_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

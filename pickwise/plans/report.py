@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from pickwise.operators import routes, schedule, service, stops
 from pickwise.operators.trips import trip_profile
-from pickwise.plans.materialize import checked_broadcast, materialize
+from pickwise.plans.materialize import materialize
 from pickwise.sources.sinks import with_bundle_titles, write_dataset
 from pickwise.sources.tables import GtfsTables
 
@@ -19,15 +19,15 @@ def report(tables: GtfsTables, bundle_a: str, bundle_b: str, dates: DataFrame |
     t = tables.for_bundles([bundle_a, bundle_b])
     if dates is None:
         dates = service.representative_days(t.bundle_dates, t.calendar, t.calendar_dates)
-    # Small and reused by all parts: materialized once. stop_times is
-    # shuffled once, into one row per trip, shared by the three parts.
-    services = checked_broadcast(service.active_services(t.calendar, t.calendar_dates, dates))
-    profile = materialize(trip_profile(t.stop_times, with_stops=True))
+    # Reused by the parts and so stored once: the services (small) and the
+    # fixed-width profile of each trip. The stop list reads stop_times itself.
+    services = materialize(service.active_services(t.calendar, t.calendar_dates, dates))
+    profile = materialize(trip_profile(t.stop_times))
     summary = routes.route_summary(t.trips, t.stop_times, t.routes, t.calendar, t.calendar_dates,
                                    services=services, profile=profile)
     sched = schedule.schedule(t.trips, t.stop_times, t.calendar, t.calendar_dates,
                               services=services, profile=profile)
-    listed = stops.stop_list(t.trips, t.stop_times, t.stops, profile=profile)
+    listed = stops.stop_list(t.trips, t.stop_times, t.stops)
     return {
         "route_summary": with_bundle_titles(routes.compare_route_summaries(summary, bundle_a, bundle_b), bundle_a, bundle_b),
         "stop_list": with_bundle_titles(stops.compare_stop_lists(listed, bundle_a, bundle_b), bundle_a, bundle_b),

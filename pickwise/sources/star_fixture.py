@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from pickwise.functions.dates import date_to_int, idiv
+from pickwise.operators.ridership import OVERRIDE_RULES, RENAME_RULES
 from pickwise.sources.tables import GtfsTables
 
 PICK_A, PICK_B = "pick_a", "pick_b"
@@ -192,7 +193,23 @@ def _routes(trips: DataFrame, base: DataFrame) -> DataFrame:
                     F.col("n_name").alias("route_long_name")))
 
 
-def _ridership(lines: DataFrame, parts: DataFrame) -> DataFrame:
+def _rule_cases(spark: SparkSession) -> tuple[DataFrame, int]:
+    """One row per rule of the ridership repair and stop name it lists: what a
+    ridership row needs to meet that rule."""
+    def text(v) -> str:
+        return "CAST(NULL AS STRING)" if v is None else f"'{v}'"
+
+    def first(values):
+        return values[0] if values else None
+
+    rows = [(name, None if kind == 0 else r.value, first(r.route_names), first(r.routes), r.milepost)
+            for kind, rules in enumerate((OVERRIDE_RULES, RENAME_RULES)) for r in rules for name in r.stop_names]
+    values = ", ".join(f"({j}L, {text(stop)}, {text(new)}, {text(rn)}, {text(route)}, CAST({'NULL' if at is None else repr(at)} AS DOUBLE))"
+                       for j, (stop, new, rn, route, at) in enumerate(rows))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS c(j, case_stop, case_new, case_route_name, case_route, case_at)"), len(rows)
+
+
+def _ridership(spark: SparkSession, lines: DataFrame, parts: DataFrame) -> DataFrame:
     ok, seq = F.col("ok"), F.col("seq")
     year = F.year("l_shipdate").cast("string")
     month = F.month("l_shipdate").cast("string")
@@ -200,23 +217,27 @@ def _ridership(lines: DataFrame, parts: DataFrame) -> DataFrame:
     dir_ = F.when(F.col("direction_id") == 0, F.lit("N")).otherwise(F.lit("S"))
     route = F.concat(F.lit("R"), F.col("nk").cast("string"))
     stop_id = F.concat(F.lit("ST"), F.lpad(F.col("stop_key").cast("string"), 9, "0"))
-    named = lines.join(parts, F.col("stop_key") == F.col("p_partkey"), "left").withColumn("p_name", F.coalesce("p_name", stop_id))
+    cases, n = _rule_cases(spark)
+    # every fifth order meets a rule of the repair
+    named = lines.withColumn("_case", F.when(ok % 5 == 0, idiv(ok, 5) % n))
+    named = named.join(cases, F.col("_case") == F.col("j"), "left").join(parts, F.col("stop_key") == F.col("p_partkey"), "left")
+    plain = F.concat(F.coalesce("p_name", stop_id), F.when(~in_ref & ((ok + seq) % 11 == 0), F.lit(" (Local)")).otherwise(F.lit("")))
     return named.select(
         F.when(ok % 13 == 0, F.lit("0"))
-         .when(~in_ref & (ok % 7 == 0), F.lit(None).cast("string"))
+         .when(~in_ref & ((ok % 7 == 0) | F.col("case_new").isNotNull()), F.lit(None).cast("string"))
          .otherwise(F.concat(stop_id, dir_)).alias("gtfsid"),
         F.concat(F.lit("RUN"), year, F.lit("-"), month).alias("ridership_run_id"),
         year.alias("run_year"),
         month.alias("run_month"),
         F.when(F.weekday("l_shipdate") >= 5, F.lit(1)).otherwise(F.lit(0)).alias("weekend"),
         (idiv(F.col("arr_min"), 60) % 24).alias("hour"),
-        F.concat(route, F.lit(".."), dir_).alias("route_name"),
-        route.alias("route"),
+        F.coalesce("case_route_name", F.concat(route, F.lit(".."), dir_)).alias("route_name"),
+        F.coalesce("case_route", route).alias("route"),
         dir_.alias("dir"),
-        F.when(~in_ref & ((ok + seq) % 11 == 0), F.concat("p_name", F.lit(" (Local)")))
-         .otherwise(F.col("p_name")).alias("stop_name"),
+        F.when(F.col("case_stop").isNull(), plain).when(in_ref, F.coalesce("case_new", "case_stop"))
+         .otherwise(F.col("case_stop")).alias("stop_name"),
         F.concat(route, F.lit(":"), stop_id).alias("lookup"),
-        (seq * 1.5).alias("milepost"),
+        F.coalesce("case_at", seq * 1.5).alias("milepost"),
         F.col("l_quantity").alias("ons"),
         F.col("l_discount").alias("offs"),
         F.col("l_extendedprice").alias("volume"),
@@ -246,7 +267,7 @@ def star_to_gtfs(spark: SparkSession, sf_dir: str) -> GtfsTables:
         shape_reference=_shape_reference(parts),
         stops=_stops(parts),
         stop_times=_stop_times(lines),
-        ridership=_ridership(lines, parts),
+        ridership=_ridership(spark, lines, parts),
     )
 
 

@@ -80,15 +80,15 @@ def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files:
     """Write each table partitioned by bundle (the layout ``load_tables`` reads).
 
     ``files``: spread each table over about this many files so a scan has at
-    least that many tasks (a small table is otherwise one row group). Tables
-    keyed by trip keep each trip's rows in one file, as GTFS feeds list a
-    trip's stop times together; the per-trip partial aggregate then
-    collapses a trip before the shuffle.
+    least that many tasks. Only tables keyed by trip are moved for it: they
+    keep each trip's rows in one file, as GTFS feeds list a trip's stop times
+    together; the per-trip partial aggregate then collapses a trip before the
+    shuffle. The others are written in files by size.
     """
     for name, df in tables.items():
         if files:
             df = (df.repartition(files, "bundle", "trip_id") if name in TRIP_KEYED
-                  else df.repartition(files))
+                  else df.hint("rebalance"))
         w = df.write.mode(mode)
         if "bundle" in df.columns:
             w = w.partitionBy("bundle")

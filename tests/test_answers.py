@@ -2,6 +2,9 @@
 
 import datetime
 
+from pyspark.sql import functions as F
+
+from conftest import SMALL
 from pickwise.operators import routes, schedule, service, variants
 from pickwise.sources.gtfs_text import read_gtfs_table
 
@@ -42,3 +45,15 @@ def test_repeated_stop_keeps_one_listed_point(spark):
 def test_signature_orders_ids_by_their_type(spark):
     daily = spark.createDataFrame([("p", datetime.date(2024, 1, 3), "Weekday", i) for i in (10, 2)], "bundle string, service_date date, daytype string, service_id int")
     assert service.daily_signature(daily).first().schedule == "2,10"
+
+
+def test_fixture_meets_every_ridership_rule(spark):
+    from pickwise.functions.rules import first_match
+    from pickwise.operators.ridership import OVERRIDE_RULES, RENAME_RULES
+    from pickwise.sources.star_fixture import star_to_gtfs
+
+    rows = star_to_gtfs(spark, SMALL).ridership.where("gtfsid IS NULL OR gtfsid <> '0'")
+    for rules, some in ((OVERRIDE_RULES, rows), (RENAME_RULES, rows.where("gtfsid IS NULL"))):
+        at = {id(r): n for n, r in enumerate(rules)}
+        met = some.select(first_match(rules, lambda r: F.lit(at[id(r)])).alias("n")).where("n IS NOT NULL").distinct()
+        assert {r["n"] for r in met.collect()} == set(range(len(rules)))

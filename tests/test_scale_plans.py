@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from pickwise.operators import ridership, schedule, service, stops
-from pickwise.plans.materialize import checked_broadcast, materialize
+from pickwise.plans.materialize import materialize
 from pickwise.sources.star_fixture import star_to_gtfs
 from pickwise.sources.tables import load_tables, write_tables
 
@@ -50,19 +50,51 @@ def test_fill_ids_never_shuffles_ridership(spark, stored):
     assert "hashpartitioning(stop_name" not in plan
 
 
-def test_checked_broadcast_falls_back_above_bound(spark):
-    small = spark.range(100).withColumn("k", F.col("id") % 7)
-    big = spark.range(10000).withColumn("k", F.col("id") % 7)
-    hinted = big.join(checked_broadcast(small.select("k").distinct(), max_rows=10), "k")
-    assert "BroadcastHashJoin" in _plan(hinted)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_broadcast_is_decided_by_the_bytes_stored(spark):
+    small = materialize(spark.range(1000).withColumn("k", F.col("id") % 7))
+    big = materialize(spark.range(100000).withColumn("k", F.col("id") % 7))
+    assert "BroadcastHashJoin" in _plan(big.join(small, "k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000b")
     try:
-        plain = big.join(checked_broadcast(small.select("k", "id"), max_rows=10), "k")
-        assert "BroadcastHashJoin" not in _plan(plain)
+        assert "BroadcastHashJoin" not in _plan(big.join(small, "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def _sorts_before_first_exchange(plan: str, table: str) -> list[str]:
+    """Sort and SortAggregate lines between the scans of ``table`` and the exchange above each."""
+    lines, found = plan.splitlines(), []
+    for i, line in enumerate(lines):
+        if "FileScan parquet" in line and f"/{table}" in line:
+            for above in reversed(lines[:i]):
+                if "Exchange" in above:
+                    break
+                if "Sort" in above and "SortMergeJoin" not in above:
+                    found.append(above)
+    return found
+
+
+def test_big_tables_are_not_sorted_before_their_first_exchange(spark, stored):
+    t = stored
+    pre = ridership.ridership_overrides(t.ridership)
+    good = ridership.reference_ids(pre, "2000", ("9", "10", "11", "12"))
+    assert _sorts_before_first_exchange(_plan(good), "ridership") == []
+    assert _sorts_before_first_exchange(_plan(stops.stop_list(t.trips, t.stop_times, t.stops)), "stop_times") == []
+    sched = schedule.schedule(t.trips, t.stop_times, t.calendar, t.calendar_dates,
+                              services=materialize(service.active_services(
+                                  t.calendar, t.calendar_dates,
+                                  service.representative_days(t.bundle_dates, t.calendar, t.calendar_dates))))
+    assert _sorts_before_first_exchange(_plan(sched), "stop_times") == []
+
+
+def test_registered_queries_scan_stored_tables(spark):
+    from pickwise.plans.catalog import REGISTRY
+    plan = _plan(REGISTRY["stop_list"][0](spark, SMALL))
+    assert "ExistingRDD" not in plan and "FileScan parquet" in plan
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "/stop_times" in ln][0]
+    assert "departure_time" not in scan
+
+
 def test_no_localcheckpoint_anywhere():
     import pathlib
     src = "\n".join(p.read_text() for p in pathlib.Path(__file__).parents[1].joinpath("pickwise").rglob("*.py"))
