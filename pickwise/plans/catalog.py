@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pickwise.operators import matching, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
 from pickwise.plans.materialize import materialize, scratch_folder
+from pickwise.plans.report import report
 from pickwise.session import session_key
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
@@ -70,6 +71,11 @@ def q_bundle_stops(spark, sf_dir):
     return T.bundle_stops(t.stops, t.shape_reference)
 
 
+@register("bundle_tables", O.BUNDLE_TABLES)
+def q_bundle_tables(spark, sf_dir):
+    return T.bundle_tables(_t(spark, sf_dir), ["pick_a"]).stop_times
+
+
 # ---- service calendar and representative days (C04-C09) ----------------------
 
 @register("calendar_dates_fixed", O.calendar_fixed(literal=False))
@@ -173,6 +179,11 @@ def q_compare_schedules(spark, sf_dir):
     return schedule.compare_schedules(_schedule(spark, sf_dir), "pick_a", "pick_b")
 
 
+@register("compare_schedules_literal", O.COMPARE_SCHEDULES_LITERAL)
+def q_compare_schedules_literal(spark, sf_dir):
+    return schedule.compare_schedules(_schedule(spark, sf_dir), "pick_a", "pick_b", literal=True)
+
+
 # ---- stop lists (C20-C21) -----------------------------------------------------
 
 @register("stop_list", O.STOP_LIST)
@@ -275,6 +286,25 @@ def q_variant_matches_v1(spark, sf_dir):
     return m.withColumn("score", F.bround("score", 4))
 
 
+@register("variant_table_of_routes", O.VARIANT_TABLE_OF_ROUTES)
+def q_variant_table_of_routes(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    vt = variants.variant_table(t.trips, t.stop_times, t.stops, t.calendar, t.calendar_dates,
+                                services=_services(spark, sf_dir), route_filter="^R1")
+    return vt.withColumn("length_ft", F.bround("length_ft", 1)).select(*VARIANT_COLUMNS)
+
+
+# ---- the report of two bundles (C55, IO7) ----------------------------------------------
+
+def _report(part: str):
+    return lambda spark, sf_dir: report(_t(spark, sf_dir), "pick_a", "pick_b")[part]
+
+
+for _part, _sql in (("route_summary", O.COMPARE_ROUTE_SUMMARIES), ("stop_list", O.COMPARE_STOP_LISTS),
+                    ("schedule", O.COMPARE_SCHEDULES)):
+    register(f"report_{_part}", O.titled(_sql))(_report(_part))
+
+
 # ---- ridership id repair (C48-C54) ---------------------------------------------------
 
 REF_YEAR, REF_MONTHS = "2000", ("9", "10", "11", "12")
