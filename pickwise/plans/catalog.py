@@ -258,10 +258,15 @@ def q_variant_type_counts(spark, sf_dir):
 
 # ---- similarity and matching (C40-C47) ------------------------------------------------
 
+def _shown(score: str):
+    """Four decimals; the last bits of a sum, which depend on its order, go first."""
+    return F.bround(F.bround(score, 9), 4)
+
+
 def _pairs(spark, sf_dir, version):
     p = matching.variant_pairs(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=version)
     comps = [c for c in p.columns if c not in ("route_id", "direction_id", "daytype", "shape_id_a", "shape_id_b")]
-    return p.withColumns({c: F.bround(c, 4) for c in comps})
+    return p.withColumns({c: _shown(c) for c in comps})
 
 
 @register("variant_pairs_v1", O.variant_pairs(1))
@@ -277,13 +282,13 @@ def q_variant_pairs_v2(spark, sf_dir):
 @register("variant_matches", O.variant_matches(2))
 def q_variant_matches(spark, sf_dir):
     m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=2)
-    return m.withColumn("score", F.bround("score", 4))
+    return m.withColumn("score", _shown("score"))
 
 
 @register("variant_matches_v1", O.variant_matches(1))
 def q_variant_matches_v1(spark, sf_dir):
     m = matching.variant_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=1)
-    return m.withColumn("score", F.bround("score", 4))
+    return m.withColumn("score", _shown("score"))
 
 
 @register("variant_table_of_routes", O.VARIANT_TABLE_OF_ROUTES)
