@@ -7,6 +7,7 @@ partition pruning and every operator handles many bundles in one plan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 # Tables keyed by trip: clustered or bucketed on trip_id they meet without a shuffle.
 TRIP_KEYED = ("trips", "stop_times")
+# Tables written at a time.
+WRITERS = 4
 
 TABLE_NAMES = ["bundle_dates", "calendar", "calendar_dates", "routes", "trips", "shapes",
                "shape_reference", "stops", "stop_times", "ridership"]
@@ -85,7 +88,7 @@ def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files:
     together; the per-trip partial aggregate then collapses a trip before the
     shuffle. The others are written in files by size.
     """
-    for name, df in tables.items():
+    def write(name: str, df: DataFrame) -> None:
         if files:
             df = (df.repartition(files, "bundle", "trip_id") if name in TRIP_KEYED
                   else df.hint("rebalance"))
@@ -94,6 +97,11 @@ def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files:
             w = w.partitionBy("bundle")
         w.parquet(f"{root}/{name}")
 
+    # independent jobs: the small tables fill the cores that a larger one leaves idle
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for done in [pool.submit(write, name, df) for name, df in tables.items()]:
+            done.result()
+
 
 def save_bucketed_tables(tables: GtfsTables, root: str, prefix: str = "gtfs", buckets: int = 64,
                          mode: str = "overwrite") -> None:
