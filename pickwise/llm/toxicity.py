@@ -177,17 +177,17 @@ def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_terms:
             held, alike = [], []
             for text in text_bytes(batch.column("text")):
                 found = Counter(text.translate(_CLEAN).split()) if text else Counter()
-                alike.append(min((xxhash.xxh3_64_intdigest(w) >> 1 for w in found), default=-1))
                 held.append(sorted(found.items()))
+                alike.append(xxhash.xxh3_64_intdigest(b" ".join(b"%s %d" % x for x in held[-1])) >> 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"), pa.array(alike, pa.int64()),
                  pa.array([[w for w, _ in x] for x in held], pa.list_(pa.binary())), pa.array([[n for _, n in x] for x in held], pa.list_(pa.int32()))],
                 ["doc_id", "toxic", "alike", "words", "counts"])
 
     rows = stored(texts.mapInArrow(examples, "doc_id long, toxic int, alike long, words array<binary>, counts array<int>"), "toxicity-examples")
-    # near copies mostly share their smallest word hash; one of them speaks for all
+    # copies have the same words as often; one of them speaks for all
     first = rows.groupBy("alike", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    rows = rows.join(F.broadcast(first.select("doc_id").distinct()), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rows = rows.join(F.broadcast(first), ["alike", "toxic", "doc_id"], "left_semi").dropDuplicates(["doc_id", "alike"])
 
     word = F.col("word")
     star = [F.when(F.octet_length(word) > n, F.concat(F.expr(f"substring(word, 1, {n})"), F.lit(b"*"))) for n in (4, 5)]

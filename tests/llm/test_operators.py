@@ -289,3 +289,12 @@ def test_toxicity(spark, odd):
     assert {r.held_out for r in rows if r.doc_id is None} == {False}
     assert {r.score for r in toxicity.score(odd, known.limit(0)).collect()} == {0.0}
     assert toxicity.score(df.limit(0), known).count() == 0
+
+
+def test_toxicity_learns_from_texts_that_share_a_word(spark):
+    shared = min(VOCABULARY, key=lambda w: xxhash.xxh3_64_intdigest(w.encode()))
+    docs = [(i, f"{shared} {prose(40)}" + (" vilest" if i % 4 == 0 else "")) for i in range(200)]
+    known = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    rows = toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), known).collect()
+    assert all(r.predicted == int(r.doc_id % 4 == 0) for r in rows)
+    assert all(len({e.doc_id for e in r.evidence}) == 15 for r in rows if r.predicted)
