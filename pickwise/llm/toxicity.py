@@ -1,117 +1,136 @@
 """Toxicity by nearest labelled examples.
 
-Examples are TF-IDF vectors over terms that mark the toxic class. A document's
-nearest examples by exact cosine come from a block-max inverted index: examples
-lie in blocks, a term has its largest weight per block, blocks are visited by
-descending bound and the search ends when no block left can beat the k-th best.
-Similarity-weighted votes give a raw score, which a logistic curve fitted on
-leave-one-out votes of the examples turns into a probability; the voters are
-the evidence. A document without any term gets the toxic share of the examples
-without any.
-
-Terms are words (A-Z lower-cased; ASCII digits and punctuation separate) and
-their leading 4 and 5 bytes, which finds word families.
+Examples and documents are whole TF-IDF vectors: every word counts, and words
+that mark the toxic class weigh more the surer they do. A document's nearest
+examples by exact cosine come from an inverted index: rare terms by their
+postings, terms in many examples by one matrix product for a batch of
+documents; the best of these sums are computed again from the examples' own
+vectors. Similarity-weighted votes give a raw score, which a logistic curve
+fitted on leave-one-out votes of the examples turns into a probability; the
+voters are the evidence. A document that shares no term with any example gets
+the toxic share of the examples without any.
+
+Terms are words (A-Z lower-cased; ASCII digits and punctuation separate), and
+beside them word families that mark the toxic class: leading 4 and 5 bytes.
+Words in no example count in a document's length as the rarest ones.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.llm.shared import crc_fold, row_schema, slices, stored, text_bytes, with_row
 
-BLOCK = 64
+BATCH = 64
+FREQUENT = 0.05  # terms in a larger share of the examples are multiplied, others looked up
 _CLEAN = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
-def terms_of(word: bytes) -> list[bytes]:
-    """The word, and as families its first 4 and 5 bytes with a star."""
-    return [word, *(word[:n] + b"*" for n in (4, 5) if len(word) > n)]
-
-
 class Terms:
-    """Counts a text's terms; words without a known term are remembered, up to ``limit``."""
+    """Counts a text's terms."""
 
-    def __init__(self, vocabulary: dict[bytes, int], limit: int = 300_000):
-        self.vocabulary, self.limit = vocabulary, limit
-        self.ids: dict[bytes, tuple[int, ...]] = {}
-        self.plain: set[bytes] = set()
+    def __init__(self, vocabulary: dict[bytes, int]):
+        self.vocabulary = vocabulary
+        self.families = [(n, {t[:n]: i for t, i in vocabulary.items() if len(t) == n + 1 and t.endswith(b"*")}) for n in (4, 5)]
 
-    def count(self, text: bytes | None) -> dict[int, int]:
-        """Occurrences of each known term (by number) in the whole text."""
-        counts = Counter(text.translate(_CLEAN).split()) if text else Counter()
+    def count(self, text: bytes | None) -> tuple[dict[int, int], float]:
+        """Occurrences of each known term (by number) in the whole text, and
+        the squared length of the words unknown, without their idf."""
+        return self.add(Counter(text.translate(_CLEAN).split()) if text else {})
+
+    def add(self, words: dict[bytes, int]) -> tuple[dict[int, int], float]:
         out: dict[int, int] = {}
-        for w in counts.keys() - self.plain:
-            ids = self.ids.get(w)
-            if ids is None:
-                ids = tuple(self.vocabulary[t] for t in terms_of(w) if t in self.vocabulary)
-                if not ids:
-                    self.plain.add(w)
-                    continue
-                self.ids[w] = ids
-            for i in ids:
-                out[i] = out.get(i, 0) + counts[w]
-        for known in (self.plain, self.ids):
-            if len(known) > self.limit:
-                known.clear()
-        return out
+        unknown = 0.0
+        for w, n in words.items():
+            i = self.vocabulary.get(w)
+            if i is None:
+                unknown += (1 + log(n)) ** 2
+            else:
+                out[i] = n
+            for size, known in self.families:
+                if len(w) > size and (i := known.get(w[:size])) is not None:
+                    out[i] = out.get(i, 0) + n
+        return out, unknown
 
 
 class Index:
-    """Block-max inverted index over the examples' unit TF-IDF vectors."""
-
-    def __init__(self, ids: np.ndarray, toxic: np.ndarray, weights: np.ndarray, counts: list[dict[int, int]], idf: np.ndarray):
-        self.idf = idf
-        vectors = [self.vector(c) for c in counts]
-        some = [k for k, (t, _) in enumerate(vectors) if len(t)]
-        some.sort(key=lambda k: (int(vectors[k][0][vectors[k][1].argmax()]), int(toxic[k]), int(ids[k])))  # examples alike lie in one block
-        none = np.ones(len(ids), bool)
-        none[some] = False
+    """Inverted index over the examples' unit TF-IDF vectors. ``counts``: each
+    example's terms and their counts, or (terms an example, terms, counts)."""
+
+    def __init__(self, ids: np.ndarray, toxic: np.ndarray, weights: np.ndarray, counts: list[dict[int, int]] | tuple[np.ndarray, np.ndarray, np.ndarray], idf: np.ndarray, unknown: float = 1.0):
+        self.idf, self.unknown = idf, unknown
+        if not isinstance(counts, tuple):
+            counts = np.array([len(c) for c in counts], int), np.array([t for c in counts for t in c], int), np.array([n for c in counts for n in c.values()], float)
+        sizes, term, number = counts
+        none = sizes == 0
         base = (weights * toxic).sum() / max(weights.sum(), 1e-12)
         self.without = float(((weights * toxic)[none].sum() + base) / (weights[none].sum() + 1.0))
-        self.ids, self.toxic, self.weights = ids[some], toxic[some].astype(float), weights[some]
-        self.blocks = -(-len(some) // BLOCK)
-        rows = np.repeat(np.arange(len(some)), [len(vectors[k][0]) for k in some]) if some else np.zeros(0, int)
-        term = np.concatenate([vectors[k][0] for k in some]) if some else np.zeros(0, int)
-        value = np.concatenate([vectors[k][1] for k in some]) if some else np.zeros(0)
-        order = np.lexsort((rows, term))
-        self.rows, self.values, term = rows[order], value[order], term[order]
-        block = self.rows // BLOCK
-        # postings of term t in block b: starts[t, b] to starts[t, b + 1]
-        flat = np.searchsorted(term * (self.blocks + 1) + block, np.arange(len(idf) * (self.blocks + 1)), "left")
-        self.starts = flat.reshape(len(idf), self.blocks + 1) if self.blocks else np.zeros((len(idf), 1), int)
-        self.most = np.zeros((len(idf), self.blocks), np.float64)
-        np.maximum.at(self.most, (term, block), self.values)
+        self.ids, self.toxic, self.weights = ids[~none], toxic[~none].astype(float), weights[~none]
+        size = len(self.ids)
+        self.at = np.concatenate([[0], np.cumsum(sizes[~none])])
+        rows = np.repeat(np.arange(size), sizes[~none])
+        value = (1 + np.log(number)) * idf[term]
+        value = value / np.sqrt(np.bincount(rows, value**2, size))[rows]
+        self.term, self.value = term.astype(np.int32), value.astype(np.float32)
+        held = np.bincount(term, minlength=len(idf))
+        frequent = np.flatnonzero(held > FREQUENT * size)
+        self.column = np.full(len(idf), -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), size), np.float32)
+        often = self.column[term] >= 0
+        self.dense[self.column[term[often]], rows[often]] = value[often]
+        order = np.flatnonzero(~often)[np.argsort(term[~often], kind="stable")]
+        # postings of a rare term: starts[t] to starts[t + 1]
+        self.rows, self.values = rows[order].astype(np.int32), self.value[order]
+        held[frequent] = 0
+        self.starts = np.concatenate([[0], np.cumsum(held)])
         self.curve = (0.0, 1.0)
+        self.whole: np.ndarray | None = None
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, counts: dict[int, int], unknown: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a unit vector; ``unknown`` as Terms counts it."""
         t = np.array(sorted(counts), int)
         v = (1 + np.log([counts[k] for k in t])) * self.idf[t] if len(t) else np.zeros(0)
-        return t, v / np.linalg.norm(v) if len(t) else v
+        return t, v / np.sqrt(v @ v + unknown * self.unknown**2) if len(t) else v
 
     def nearest(self, t: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k nearest examples, nearest first, ties by
         row; examples that share no term are left out."""
-        bound = v @ self.most[t]
-        sims, rows = np.zeros(0), np.zeros(0, int)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(sims) >= k and bound[b] < sims[k - 1] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for term, weight in zip(t, v, strict=True):
-                own = slice(self.starts[term, b], self.starts[term, b + 1])
-                score[self.rows[own] - b * BLOCK] += weight * self.values[own]
-            hit = np.flatnonzero(score > 0)
-            sims, rows = np.concatenate([sims, score[hit]]), np.concatenate([rows, hit + b * BLOCK])
-            best = np.lexsort((rows, -sims))
-            sims, rows = sims[best], rows[best]
-        return rows[:k], sims[:k]
+        return self.nearest_each([(t, v)], k)[0]
+
+    def nearest_each(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for each of a batch of vectors."""
+        if self.whole is None:
+            self.whole = np.zeros(len(self.idf))
+        near, size = np.zeros((len(vectors), len(self.dense)), np.float32), len(self.ids)
+        for i, (t, v) in enumerate(vectors):
+            often = self.column[t] >= 0
+            near[i, self.column[t[often]]] = v[often]
+        out = []
+        for (t, v), score in zip(vectors, near @ self.dense, strict=True):
+            rare = self.column[t] < 0
+            first = self.starts[t[rare]]
+            sizes = self.starts[t[rare] + 1] - first
+            own = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            score = score + np.bincount(self.rows[own], self.values[own] * np.repeat(v[rare], sizes), size)
+            # sums in single precision are off by far less than 1e-5
+            least = np.partition(score, size - k)[size - k] - 1e-5 if size > k else 0.0
+            hit = np.flatnonzero((score >= least) & (score > 0))
+            self.whole[t] = v
+            sims = np.array([self.whole[self.term[a:b]] @ self.value[a:b] for a, b in zip(self.at[hit], self.at[hit + 1], strict=True)])
+            self.whole[t] = 0
+            best = np.lexsort((hit, -sims))[:k]
+            out.append((hit[best], sims[best]))
+        return out
 
     def vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
         """Log-odds of the similarity-weighted votes, with one vote at the share of all examples."""
@@ -120,20 +139,16 @@ class Index:
         p = ((w * self.toxic[rows]).sum() + 0.1 * prior) / (w.sum() + 0.1)
         return float(np.log(p + 1e-6) - np.log(1 - p + 1e-6))
 
-    def fit_curve(self, counts: list[dict[int, int]], ids: np.ndarray, k: int) -> None:
+    def fit_curve(self, k: int) -> None:
         """Logistic curve of leave-one-out votes, by weighted Newton steps."""
-        at = {int(i): n for n, i in enumerate(self.ids)}
-        x, y, w = [], [], []
-        for c, i in zip(counts, ids, strict=True):
-            if not c:
-                continue
-            row = at[int(i)]
-            rows, sims = self.nearest(*self.vector(c), k + 1)
-            other = rows != row
-            x.append(self.vote(rows[other][:k], sims[other][:k]))
-            y.append(self.toxic[row])
-            w.append(self.weights[row])
-        x, y, w = np.array(x), np.array(y), np.array(w)
+        x = []
+        for at in range(0, len(self.ids), BATCH):
+            own = range(at, min(at + BATCH, len(self.ids)))
+            vectors = [(self.term[a:b], self.value[a:b].astype(float)) for a, b in zip(self.at[own], self.at[at + 1 :], strict=False)]
+            for row, (rows, sims) in zip(own, self.nearest_each(vectors, k + 1), strict=True):
+                other = rows != row
+                x.append(self.vote(rows[other][:k], sims[other][:k]))
+        x, y, w = np.array(x), self.toxic, self.weights
         if len(x) < 10 or y.min() == y.max():
             return
         X, beta = np.stack([np.ones_like(x), x], axis=1), np.array([0.0, 1.0])
@@ -146,22 +161,25 @@ class Index:
         if np.isfinite(beta).all() and beta[1] > 0:
             self.curve = (float(beta[0]), float(beta[1]))
 
-    def score(self, counts: dict[int, int], k: int) -> tuple[float, list[tuple[int, float, int]]]:
-        """Calibrated score, and the evidence as (doc_id, cosine, label)."""
-        if not counts or not self.blocks:
-            return self.without, []
-        rows, sims = self.nearest(*self.vector(counts), k)
-        if not len(rows):
-            return self.without, []
+    def score_each(self, counts: list[tuple[dict[int, int], float]], k: int) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        """Calibrated score, and the evidence as (doc_id, cosine, label), of
+        each text as Terms counts it."""
+        out: list[tuple[float, list[tuple[int, float, int]]]] = [(self.without, [])] * len(counts)
         a, b = self.curve
-        p = 1 / (1 + np.exp(-np.clip(a + b * self.vote(rows, sims), -50, 50)))
-        return float(p), [(int(self.ids[r]), float(s), int(self.toxic[r])) for r, s in zip(rows, sims, strict=True)]
+        for at in range(0, len(counts), BATCH):
+            some = [i for i in range(at, min(at + BATCH, len(counts))) if counts[i][0]]
+            for i, (rows, sims) in zip(some, self.nearest_each([self.vector(*counts[i]) for i in some], k), strict=True):
+                if len(rows):
+                    p = 1 / (1 + np.exp(-np.clip(a + b * self.vote(rows, sims), -50, 50)))
+                    out[i] = float(p), list(zip(self.ids[rows].tolist(), sims.tolist(), self.toxic[rows].astype(int).tolist(), strict=True))
+        return out
 
 
 def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_terms: int, min_docs: int, k: int) -> Index | None:
     """Learn from at most about ``max_examples`` labelled rows of each label,
     chosen by a hash of the id. Term counts are summed on Spark; the driver
-    gets ``max_terms`` terms and the examples' counts of those terms."""
+    gets all words of the examples, at most ``max_terms`` families held by
+    ``min_docs`` toxic examples, and the examples' counts of those terms."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -191,43 +209,47 @@ def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_terms:
 
     word = F.col("word")
     star = [F.when(F.octet_length(word) > n, F.concat(F.expr(f"substring(word, 1, {n})"), F.lit(b"*"))) for n in (4, 5)]
-    held = rows.select("doc_id", "toxic", F.explode("words").alias("word")).select("doc_id", "toxic", F.explode(F.array(word, *star)).alias("term"))
-    held = held.filter("term is not null").distinct().groupBy("term").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
+    kinds = F.array(F.struct(word.alias("term"), F.lit(False).alias("family")), *[F.struct(x.alias("term"), F.lit(True).alias("family")) for x in star])
+    held = rows.select("doc_id", "alike", "toxic", F.explode("words").alias("word")).select("doc_id", "alike", "toxic", F.explode(kinds).alias("x"))
+    held = held.select("doc_id", "alike", "toxic", "x.*").filter("term is not null").distinct()
+    held = held.groupBy("term", "family").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = max(sizes.get(1, 0), 1), max(sizes.get(0, 0), 1)
     mean = F.col("n") / (bad + good)
     lift = F.col("bad") / bad - (F.col("n") - F.col("bad")) / good
     z = lift / F.sqrt(mean * (1 - mean) * (1 / bad + 1 / good) + 1e-12)
     odds = (F.col("bad") + 0.5) / (bad + 1) / ((F.col("n") - F.col("bad") + 0.5) / (good + 1))
-    # chance alone gives a handful of terms beyond z = 5 among a million
-    chosen = held.filter(F.col("bad") >= min_docs).withColumn("z", z).filter((F.col("z") >= 5) & (odds >= 4)).orderBy(F.desc("z"), "term").limit(max_terms).collect()
-    vocabulary = {bytes(r["term"]): i for i, r in enumerate(chosen)}
-    idf = np.array([np.log((1 + bad + good) / (1 + r["n"])) + 1 for r in chosen])
+    # chance alone gives a handful of families beyond z = 5 among a million
+    marks = (F.col("bad") >= min_docs) & (F.col("z") >= 5) & (odds >= 4)
+    chosen = held.withColumn("z", z).filter(~F.col("family") | marks).select("term", "family", "n", "z").toArrow().sort_by([("family", "ascending"), ("z", "descending"), ("term", "ascending")])
+    chosen = chosen.slice(0, pc.sum(pc.invert(chosen["family"])).as_py() + max_terms if len(chosen) else 0)
+    vocabulary = {t: i for i, t in enumerate(chosen["term"].to_pylist())}
+    marker = 1 + np.maximum(chosen["z"].to_numpy() - 3, 0)
+    idf = (np.log((1 + bad + good) / (1 + chosen["n"].to_numpy())) + 1) * marker
+    sent = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def restrict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms(sent.value)
         for batch in batches:
-            out = []
-            for ws, ns in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                found: dict[int, int] = {}
-                for w, n in zip(ws, ns, strict=True):
-                    for t in terms_of(w):
-                        if t in vocabulary:
-                            found[vocabulary[t]] = found.get(vocabulary[t], 0) + n
-                out.append(list(found.items()))
-            pairs = pa.list_(pa.struct([("t", pa.int32()), ("n", pa.int32())]))
+            out = [sorted(terms.add(dict(zip(ws, ns, strict=True)))[0].items()) for ws, ns in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array([[{"t": t, "n": n} for t, n in x] for x in out], pairs)], ["doc_id", "toxic", "found"])
+                [batch.column("doc_id"), batch.column("alike"), batch.column("toxic"),
+                 pa.array([[t for t, _ in x] for x in out], pa.list_(pa.int32())), pa.array([[n for _, n in x] for x in out], pa.list_(pa.int32()))],
+                ["doc_id", "alike", "toxic", "terms", "counts"])
 
-    got = rows.mapInArrow(restrict, "doc_id long, toxic int, found array<struct<t: int, n: int>>").orderBy("doc_id").collect()
-    if not got:
+    got = rows.select("doc_id", "alike", "toxic", "words", "counts").mapInArrow(restrict, "doc_id long, alike long, toxic int, terms array<int>, counts array<int>").toArrow()
+    sent.unpersist()
+    if not len(got):
         return None
-    ids, toxic = np.array([r["doc_id"] for r in got]), np.array([r["toxic"] for r in got])
-    counts = [{p["t"]: p["n"] for p in r["found"]} for r in got]
+    got = got.take(pc.sort_indices(got.select(["doc_id", "alike", "toxic"]), [("doc_id", "ascending"), ("alike", "ascending")]))
+    ids, toxic = got["doc_id"].to_numpy(), got["toxic"].to_numpy()
+    counts = pc.list_value_length(got["terms"]).to_numpy(), pc.list_flatten(got["terms"]).to_numpy(), pc.list_flatten(got["counts"]).to_numpy()
     weights = np.where(toxic == 1, totals.get(1, 0) / bad, totals.get(0, 0) / good)
     weights = weights / weights.mean()
-    index = Index(ids, toxic, weights, counts, idf)
+    index = Index(ids, toxic, weights, counts, idf, np.log(1 + bad + good) + 1)
     index.vocabulary = vocabulary
-    index.fit_curve(counts, ids, k)
+    index.fit_curve(k)
+    index.whole = None
     return index
 
 
@@ -242,8 +264,9 @@ def score(
 
     Learns from ``labels`` (doc_id, toxic) of documents whose crc32(id) mod
     ``folds`` isn't ``held_out``, at most about ``max_examples`` of each label.
-    Null, empty and termless texts get the toxic share of the examples without
-    terms; without any label the score is 0. Rows with a null id aren't held
+    Null, empty and wordless texts and those without a word of any example get
+    the toxic share of the examples without words; without any label the score
+    is 0. Rows with a null id aren't held
     out and never examples. Labels other than 0 and 1 are ignored, of repeated
     ones the largest counts. Repeated documents are scored each; other columns
     are ignored; an empty table gives no rows.
@@ -255,23 +278,17 @@ def score(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         terms = Terms(model.vocabulary) if model is not None else None
-        seen: dict[tuple, tuple] = {}
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for batch in slices(batches):
-            scores, why = [], []
-            for text in text_bytes(batch.column("text")):
-                if model is None:
-                    got = (0.0, [])
-                else:
-                    counts = terms.count(text)
-                    key = tuple(sorted(counts.items()))
-                    got = seen.get(key)
-                    if got is None:
-                        got = model.score(counts, k)
-                        if len(seen) < 20_000:
-                            seen[key] = got
-                scores.append(got[0])
-                why.append([{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in got[1]])
+            if model is None:
+                found = [(0.0, [])] * batch.num_rows
+            else:
+                texts = text_bytes(batch.column("text"))
+                each = list(dict.fromkeys(texts))
+                known = dict(zip(each, model.score_each([terms.count(t) for t in each], k), strict=True))
+                found = [known[t] for t in texts]
+            scores = [p for p, _ in found]
+            why = [[{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in x] for _, x in found]
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, kind)]
             names = ["doc_id", "held_out", "score", "predicted", "evidence"]
             yield pa.RecordBatch.from_arrays(columns + [batch.column(c) for c in ["row"] * carry], names + ["row"] * carry)

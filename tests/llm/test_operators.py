@@ -298,3 +298,15 @@ def test_toxicity_learns_from_texts_that_share_a_word(spark):
     rows = toxicity.score(spark.createDataFrame(docs, "doc_id long, text string"), known).collect()
     assert all(r.predicted == int(r.doc_id % 4 == 0) for r in rows)
     assert all(len({e.doc_id for e in r.evidence}) == 15 for r in rows if r.predicted)
+
+
+def test_toxicity_cosines_are_over_whole_texts(spark):
+    docs = [(i, prose(40) + (" vilest" if i % 4 == 0 else "")) for i in range(200)] + [(1000 + i, f"zq{chr(97 + i)}x " * 3 + prose(20)) for i in range(8)]
+    labels = [(i, int(i % 4 == 0)) for i in range(200)] + [(1000 + i, 1) for i in range(8)]
+    new = [(-1, "zqcx zqcx"), (-2, f"vilest {prose(200)}"), (-3, "vilest"), (-4, "neverseen")]
+    df = spark.createDataFrame(docs + new, "doc_id long, text string")
+    rows = {r.doc_id: r for r in toxicity.score(df, spark.createDataFrame(labels, "doc_id long, toxic int"), folds=1, held_out=1).collect()}
+    assert all(r.evidence for i, r in rows.items() if i != -4)  # texts without a marker have neighbours too
+    assert rows[-1].evidence[0].doc_id == 1002  # a word of one example counts
+    assert max(e.cosine for e in rows[-2].evidence) < max(e.cosine for e in rows[-3].evidence)  # so do the words beside a marker
+    assert rows[-4].evidence == []
