@@ -11,7 +11,10 @@ once, and a node must be on ``MIN_PAGES`` pages to be judged.
 Menus and notices whose text differs on each page look important to entropies.
 So elements whose tag, role, class or id says what they are go first, and where
 a page marks its article, the text is what remains inside; there only branches
-with a class or id are judged, and the article itself and what holds it stay.
+with a class or id are judged, and the article itself and what holds it stay. Names
+are whole classes and ids; where no other article has text, they don't drop
+what holds the one with most of the text, and never an outermost article; ids
+of headings and sections inside don't count.
 """
 
 from __future__ import annotations
@@ -41,12 +44,13 @@ BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"body", "html"}
-DROPPED = set("head nav footer aside form button select menu dialog template svg math object canvas audio video".split()) | RAW
+DROPPED = set("head nav footer aside form button select menu dialog template svg annotation annotation-xml object canvas audio video".split()) | RAW
 ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NAMES = set(
     "ad ads adv advert adverts advertisement adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert"
     " sidebar nav navbar navigation menu breadcrumb breadcrumbs header masthead footer comment comments disqus reply replies respond share sharing"
     " social related recommended newsletter subscribe subscription signup popup modal overlay pagination pager widget login search toolbar".split())
+SECTIONS = set("section hgroup h1 h2 h3 h4 h5 h6".split())
 # A start tag closes the open element of its group inside the nearest of the group's containers.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"})}
 
@@ -54,14 +58,13 @@ TOKEN = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I) for tag in RAW}
-NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
 class Element:
-    __slots__ = ("children", "dropped", "first", "judged", "main", "path", "tag")
+    __slots__ = ("children", "dropped", "first", "judged", "main", "named", "path", "tag")
 
-    def __init__(self, tag: str, path: int, dropped: bool, main: bool, judged: bool, first: int):
-        self.tag, self.path, self.dropped, self.main, self.judged, self.first = tag, path, dropped, main, judged, first
+    def __init__(self, tag: str, path: int, dropped: bool, main: bool, judged: bool, first: int, named: bool = False):
+        self.tag, self.path, self.dropped, self.main, self.judged, self.first, self.named = tag, path, dropped, main, judged, first, named
         self.children: list[str] = []
 
 
@@ -74,25 +77,36 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _says_boilerplate(tag: str, has: dict[str, str], in_main: bool) -> bool:
+    """By its tag, role or style."""
     if tag in DROPPED or tag == "header" and not in_main:
         return True
     if not has or tag in ("html", "body"):
         return False
     if has.get("role", "").lower() in ROLES or "hidden" in has or has.get("aria-hidden", "").lower() == "true":
         return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", has.get("style", "").lower()):
-        return True
-    named = {x.lower() for key in ("class", "id") if key in has for x in NAME.findall(has[key])}
-    return bool(named & NAMES)
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", has.get("style", "").lower()))
+
+
+def _named_boilerplate(tag: str, has: dict[str, str], in_main: bool) -> bool:
+    """By a whole class or the id."""
+    if not has or tag in ("html", "body"):
+        return False
+    named = set(has.get("class", "").lower().split())
+    if not (in_main and tag in SECTIONS):
+        named.add(has.get("id", "").strip().lower())
+    return bool(named & (NAMES - {"header"} if in_main else NAMES))
 
 
 class Page:
     """One pass over a page. ``blocks``: (text, inside a marked article, judged
     nodes it is under) in page order, without branches that say they are
     boilerplate; ``nodes``: (node, style of its children, content) of each
-    judged element."""
+    judged element; ``article``: an article tag has text; ``lost``: one lies in
+    a branch dropped by its name.
+    With ``spare`` names count inside an article only."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, spare: bool = False):
+        self.spare, self.lost, self.article = spare, False, False
         self.blocks: list[tuple[str, bool, list[int]]] = []
         self.nodes: list[tuple[int, int, int]] = []
         self.parts: list[str] = []
@@ -103,6 +117,7 @@ class Page:
     def _flush(self) -> None:
         if self.parts:
             if text := " ".join("".join(self.parts).split()):
+                self.article |= self.open["article"] > 0
                 self.blocks.append((text, self.stack[-1].main, [e.path for e in self.stack if e.judged]))
             self.parts.clear()
 
@@ -134,7 +149,10 @@ class Page:
         up = self.stack[-1]
         self.open[tag] += 1
         if up.dropped:
-            self.stack.append(Element(tag, 0, True, False, False, 0))
+            has = _attributes(attributes) if up.named else {}
+            named = up.named and not _says_boilerplate(tag, has, True)
+            self.lost |= named and (tag in ("article", "main") or has.get("role", "").lower() == "main")
+            self.stack.append(Element(tag, 0, True, False, False, 0, named))
             return
         if tag in BLOCK:
             self._flush()
@@ -142,10 +160,12 @@ class Page:
         style = tag + "".join(f".{c}" for c in sorted(has.get("class", "").split())) + (f"#{has['id']}" if "id" in has else "") if has else tag
         up.children.append(style)
         holds = tag in ("article", "main") or has.get("role", "").lower() == "main"
-        dropped = _says_boilerplate(tag, has, up.main or holds)
+        says, in_article = _says_boilerplate(tag, has, up.main or holds), self.open["article"] > (tag == "article")
+        named = not says and (in_article or not (holds or self.spare)) and _named_boilerplate(tag, has, up.main)
+        dropped = says or named
         judged = tag in BLOCK and not (dropped or holds or tag in ("html", "body")) and (not up.main or "class" in has or "id" in has)
         path = _hash(f"{up.path}/{style}") if tag in BLOCK else up.path
-        self.stack.append(Element(tag, path, dropped, not dropped and (up.main or holds), judged, len(self.blocks)))
+        self.stack.append(Element(tag, path, dropped, not dropped and (up.main or holds), judged, len(self.blocks), named))
 
     def _read(self, html: str) -> None:
         at, size = 0, len(html)
@@ -181,6 +201,18 @@ class Page:
         self._flush()
 
 
+def read_page(html: str) -> Page:
+    """The page; where its only article lies in a branch dropped by its name
+    and has most of the text, with that branch."""
+    page = Page(html)
+    if page.lost and not page.article:
+        spared = Page(html, spare=True)
+        size, other = (sum(len(b[0]) for b in chosen_blocks(p)) for p in (page, spared))
+        if other - (size if any(b[1] for b in page.blocks) else 0) > size and any(b[1] for b in spared.blocks):
+            return spared
+    return page
+
+
 def chosen_blocks(page: Page) -> list[tuple[str, bool, list[int]]]:
     """The blocks inside the marked article; all where none is marked."""
     return [b for b in page.blocks if b[1]] or page.blocks
@@ -188,7 +220,7 @@ def chosen_blocks(page: Page) -> list[tuple[str, bool, list[int]]]:
 
 def main_text(html: str | None, low: frozenset[int] = frozenset()) -> str:
     """Blocks of the main text joined by newlines, without nodes in ``low``."""
-    return "\n".join(text for text, _, under in chosen_blocks(Page(html or "")) if low.isdisjoint(under))
+    return "\n".join(text for text, _, under in chosen_blocks(read_page(html or "")) if low.isdisjoint(under))
 
 
 PARSED = "page_id long, url string, text string, under array<array<long>>, page long, nodes array<struct<node: long, style: long, content: long>>"
@@ -204,7 +236,7 @@ def parse(pages: DataFrame) -> DataFrame:
         for batch in slices(batches, rows=256):
             texts, unders, hashes, nodes = [], [], [], []
             for html in batch.column("html").to_pylist():
-                page = Page(html or "")
+                page = read_page(html or "")
                 blocks = chosen_blocks(page)
                 texts.append("\n".join(b[0] for b in blocks))
                 unders.append([b[2] for b in blocks] if any(b[2] for b in blocks) else None)

@@ -310,3 +310,19 @@ def test_toxicity_cosines_are_over_whole_texts(spark):
     assert rows[-1].evidence[0].doc_id == 1002  # a word of one example counts
     assert max(e.cosine for e in rows[-2].evidence) < max(e.cosine for e in rows[-3].evidence)  # so do the words beside a marker
     assert rows[-4].evidence == []
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ('<article class="post has-sidebar"><p>Body.</p></article>', "Body."),
+    ('<main class="with-comments comments"><p>Body.</p></main>', "Body."),
+    ('<div class="content no-sidebar"><article><p>Body.</p></article></div><p>Out.</p>', "Body."),
+    ('<p>Out.</p><div class="widget"><div><article><p>The long body.</p></article></div></div>', "The long body."),
+    ('<article><p>Body.</p></article><div class="related"><article><p>A teaser longer than the body.</p></article></div>', "Body."),
+    ('<main><p>The body itself.</p><div class="comments"><article>Me too</article></div></main>', "The body itself."),
+    ('<main><article class="post sponsored"><p>Body.</p><article class="comment">No</article></article></main>', "Body."),
+    ('<article><div class="header"><h2 id="social-impact">One</h2></div><section id="related"><p>Two</p></section><div class="share">No</div></article>', "One\nTwo"),
+    ('<article><div class="article-header"><h1>One</h1></div><section id="search-methods">Two</section></article>', "One\nTwo"),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be.</p></article>", "Let x=1 be."),
+])
+def test_names_keep_the_article(html, want):
+    assert main_text.main_text(html) == want
