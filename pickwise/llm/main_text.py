@@ -10,8 +10,8 @@ once, and a node must be on ``MIN_PAGES`` pages to be judged.
 
 Menus and notices whose text differs on each page look important to entropies.
 So elements whose tag, role, class or id says what they are go first, and where
-a page marks its article, the text is what remains inside; there only branches
-with a class or id are judged, and the article itself and what holds it stay. Names
+a page marks its article and most of what remains lies inside, the text is
+that, else all that remains; inside an article only branches with a class or id are judged, and the article itself and what holds it stay. Names
 are whole classes and ids; where no other article has text, they don't drop
 what holds the one with most of the text, and never an outermost article; ids
 of headings and sections inside don't count.
@@ -203,48 +203,55 @@ class Page:
 
 def read_page(html: str) -> Page:
     """The page; where its only article lies in a branch dropped by its name
-    and has most of the text, with that branch."""
+    and has most of the text, the blocks in that branch."""
     page = Page(html)
     if page.lost and not page.article:
         spared = Page(html, spare=True)
-        size, other = (sum(len(b[0]) for b in chosen_blocks(p)) for p in (page, spared))
-        if other - (size if any(b[1] for b in page.blocks) else 0) > size and any(b[1] for b in spared.blocks):
+        marked = [b for b in spared.blocks if b[1]]
+        inside = [b for b in page.blocks if b[1]]
+        size = sum(len(b[0]) for b in inside or page.blocks)
+        if marked and sum(len(b[0]) for b in marked) - (size if inside else 0) > size:
+            spared.blocks = marked
             return spared
     return page
 
 
-def chosen_blocks(page: Page) -> list[tuple[str, bool, list[int]]]:
-    """The blocks inside the marked article; all where none is marked."""
-    return [b for b in page.blocks if b[1]] or page.blocks
+def chosen_blocks(blocks: list[tuple[str, bool, list[int]]]) -> list[tuple[str, bool, list[int]]]:
+    """The blocks inside marked articles where they hold most of the text, else all."""
+    marked = [b for b in blocks if b[1]]
+    return marked if 2 * sum(len(b[0]) for b in marked) > sum(len(b[0]) for b in blocks) else blocks
 
 
 def main_text(html: str | None, low: frozenset[int] = frozenset()) -> str:
     """Blocks of the main text joined by newlines, without nodes in ``low``."""
-    return "\n".join(text for text, _, under in chosen_blocks(read_page(html or "")) if low.isdisjoint(under))
+    return "\n".join(text for text, _, _ in chosen_blocks([b for b in read_page(html or "").blocks if low.isdisjoint(b[2])]))
 
 
-PARSED = "page_id long, url string, text string, under array<array<long>>, page long, nodes array<struct<node: long, style: long, content: long>>"
+PARSED = "page_id long, url string, text string, under array<array<long>>, marked array<boolean>, page long, nodes array<struct<node: long, style: long, content: long>>"
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """Each page once: its chosen blocks joined by newlines, for each block the
-    judged nodes it is under (null where no block is under any), a hash of the
-    html, and the judged elements."""
+    """Each page once: its blocks joined by newlines, for each block the judged
+    nodes it is under and whether it is inside a marked article (null where
+    all blocks stay whatever is judged), a hash of the html, and the judged
+    elements."""
     node = pa.struct([("node", pa.int64()), ("style", pa.int64()), ("content", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=256):
-            texts, unders, hashes, nodes = [], [], [], []
+            texts, unders, marked, hashes, nodes = [], [], [], [], []
             for html in batch.column("html").to_pylist():
                 page = read_page(html or "")
-                blocks = chosen_blocks(page)
+                blocks = page.blocks
+                judged = any(b[2] for b in blocks) or len({b[1] for b in blocks}) > 1
                 texts.append("\n".join(b[0] for b in blocks))
-                unders.append([b[2] for b in blocks] if any(b[2] for b in blocks) else None)
+                unders.append([b[2] for b in blocks] if judged else None)
+                marked.append([b[1] for b in blocks] if judged else None)
                 hashes.append(_hash(html or ""))
                 nodes.append([{"node": n, "style": s, "content": c} for n, s, c in set(page.nodes)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(unders, pa.list_(pa.list_(pa.int64()))), pa.array(hashes, pa.int64()), pa.array(nodes, pa.list_(node))],
-                ["page_id", "url", "text", "under", "page", "nodes"])
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(unders, pa.list_(pa.list_(pa.int64()))), pa.array(marked, pa.list_(pa.bool_())), pa.array(hashes, pa.int64()), pa.array(nodes, pa.list_(node))],
+                ["page_id", "url", "text", "under", "marked", "page", "nodes"])
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(run, PARSED)
 
@@ -284,7 +291,11 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> D
     weak = importance(nodes).filter((F.col("pages") >= min_pages) & (F.col("importance") < low))
     # written first, so the planner knows their size and need not move pages to join them
     removed = stored(weak.groupBy("host").agg(F.collect_set("node").alias("low")), "style-tree")
-    kept = F.filter(F.arrays_zip(F.split("text", "\n").alias("block"), F.col("under").alias("at")), lambda x: ~F.arrays_overlap(x["at"], F.col("low")))
-    text = F.when(F.col("low").isNull() | F.col("under").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda x: x["block"]), "\n"))
-    return parsed.drop("page", "nodes").join(removed, "host", "left").select("page_id", "url", text.alias("text")).withColumn(
+    blocks = F.arrays_zip(F.split("text", "\n").alias("block"), F.col("under").alias("at"), F.col("marked").alias("inside"))
+    kept = F.when(F.col("low").isNull(), blocks).otherwise(F.filter(blocks, lambda x: ~F.arrays_overlap(x["at"], F.col("low"))))
+    size = lambda found: F.aggregate(found, F.lit(0), lambda n, x: n + F.length(x["block"]))
+    marked = F.filter("kept", lambda x: x["inside"])
+    chosen = F.when(2 * size(marked) > size(F.col("kept")), marked).otherwise(F.col("kept"))
+    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join(F.transform(chosen, lambda x: x["block"]), "\n"))
+    return parsed.drop("page", "nodes").join(removed, "host", "left").withColumn("kept", kept).select("page_id", "url", text.alias("text")).withColumn(
         "n_chars", F.length("text").cast("long"))

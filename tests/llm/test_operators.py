@@ -326,3 +326,11 @@ def test_toxicity_cosines_are_over_whole_texts(spark):
 ])
 def test_names_keep_the_article(html, want):
     assert main_text.main_text(html) == want
+
+
+def test_marked_part_must_hold_most_of_the_text(spark):
+    body, teasers = prose(80), "".join(f"<article class='card'><p>{prose(4)}</p></article>" for _ in range(3))
+    pages = [(1, "http://a.com/1", f"<div><p>{body}</p></div>{teasers}"), (2, "http://a.com/2", f"<p>Short.</p><article><p>{body}</p></article>")]
+    got = {r.page_id: r.text for r in main_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert body in got[1] and got[2] == body
+    assert all(got[i] == main_text.main_text(html) for i, _, html in pages)
