@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pickwise.llm import decontaminate, langid, main_text, mixing, ngram_lm, oracle, shared, simhash, toxicity, url_filter, vector_dedup, warc
+from pickwise.llm import decontaminate, langid, main_text, mixing, ngram_lm, oracle, runs, shared, simhash, toxicity, url_filter, vector_dedup, warc
 
 #: Rules of the registered URL query (host, path, verdict).
 URL_RULES = [
@@ -72,9 +73,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+#: The words of a text, then those of the contract of op11: from word a on, p words repeat.
+PLANTED = r"""transform(array(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)), w -> array_join(
+  transform(sequence(0, size(w) - 1), i -> w[int(if(i < g % size(w), i,
+    g % size(w) + (i - g % size(w)) % (1 + (size(w) - g % size(w)) div (3 + g % 8))))]), ' '))[0]"""
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    docs = docs.withColumn("g", F.expr("h div 10")).select("doc_id", F.expr(rf"if(h % 10 = 0 and text rlike '[^\\x20\\x09-\\x0D]', {PLANTED}, text)").alias("text"))
+    found = runs.periodic_runs(docs).withColumn("longest", F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))"))
+    lines = F.expr(r"array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.expr("-longest.start").alias("start"), F.col("longest.length").alias("length"), F.expr("-longest.period").alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op6_lm_scoring, op7_language_id, op8_benchmark_leaks, op9_main_text, op10_toxicity)
+    for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op6_lm_scoring, op7_language_id, op8_benchmark_leaks, op9_main_text, op10_toxicity,
+              op11_periodic_runs)
 }
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracle.MIX,
