@@ -117,3 +117,16 @@ SELECT d.doc_id, s.item_id, s.n_shingles, count(*) AS n_shared, count(*) / s.n_s
 FROM doc_shingles d JOIN item_shingles i USING (shingle) JOIN sizes s ON s.item_id = i.item_id
 GROUP BY d.rid, d.doc_id, s.item_id, s.n_shingles HAVING count(*) >= 0.8 * s.n_shingles
 """
+
+TOP_K = """
+WITH whole AS (
+  SELECT row_number() OVER () AS rid, vec_id, [floor(CAST(x AS DOUBLE) * 1024) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.rid <> c.rid AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.llm import decontaminate, langid, main_text, mixing, ngram_lm, oracle, runs, shared, simhash, toxicity, url_filter, vector_dedup, warc
+from pickwise.llm import decontaminate, langid, main_text, mixing, ngram_lm, oracle, runs, shared, simhash, topk, toxicity, url_filter, vector_dedup, warc, whitening
 
 #: Rules of the registered URL query (host, path, verdict).
 URL_RULES = [
@@ -90,10 +90,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
 
 
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024.0)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256.0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_mix_sources, op2_url_filter, op3_embedding_near_dedup, op4_simhash_near_dedup, op5_warc_round_trip, op6_lm_scoring, op7_language_id, op8_benchmark_leaks, op9_main_text, op10_toxicity,
-              op11_periodic_runs)
+              op11_periodic_runs, op12_exact_top_k, op13_embedding_whitening)
 }
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracle.MIX,
@@ -101,4 +109,5 @@ ORACLES: dict[str, str] = {
     "op3_embedding_near_dedup": oracle.VECTORS,
     "op5_warc_round_trip": oracle.WARC,
     "op8_benchmark_leaks": oracle.LEAKS,
+    "op12_exact_top_k": oracle.TOP_K,
 }
