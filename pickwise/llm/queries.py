@@ -70,7 +70,7 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return scored.select("doc_id", "held_out", "score", "predicted", F.col("evidence.doc_id").alias("evidence"))
 
 
 #: The words of a text, then those of the contract of op11: from word a on, p words repeat.

@@ -1,25 +1,28 @@
 """Toxicity by nearest labelled examples.
 
-Examples and documents are whole TF-IDF vectors: every word counts, and words
-that mark the toxic class weigh more the surer they do. A document's nearest
-examples by exact cosine come from an inverted index: rare terms by their
-postings, terms in many examples by one matrix product for a batch of
-documents; the best of these sums are computed again from the examples' own
-vectors. Similarity-weighted votes give a raw score, which a logistic curve
-fitted on leave-one-out votes of the examples turns into a probability; the
-voters are the evidence. A document that shares no term with any example gets
-the toxic share of the examples without any.
-
-Terms are words (A-Z lower-cased; ASCII digits and punctuation separate), and
-beside them word families that mark the toxic class: leading 4 and 5 bytes.
-Words in no example count in a document's length as the rarest ones.
+Examples and documents are whole plain TF-IDF vectors, (1 + ln count) * idf at
+unit length: every word counts. A document's nearest examples by exact cosine
+come from a block-max inverted index: examples are dealt into blocks of similar
+ones; rare terms have postings, frequent ones a matrix and a maximum in each
+block. A block's best sum of rare terms and the maxima of the frequent ones
+bound what any of its examples can reach; blocks that can't reach the k-th best
+so far are never scored.
+
+Neighbours vote with the square of their cosine, and more the more of it comes
+from words (or word families, leading 4 and 5 bytes) that mark the toxic class;
+this moves votes alone, never a cosine or who is a neighbour. A logistic curve
+fitted on leave-one-out votes of the examples turns the vote into a
+probability; the strongest voters are the evidence.
+
+Words: A-Z lower-cased, ASCII digits and punctuation separate; each is known by
+64 bits of hash. Words in no example count in a document's length as the rarest
+ones.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -31,264 +34,345 @@ from pyspark.sql import functions as F
 from pickwise.llm.shared import crc_fold, row_schema, slices, stored, text_bytes, with_row
 
 BATCH = 64
-FREQUENT = 0.05  # terms in a larger share of the examples are multiplied, others looked up
+BLOCK = 128
+FREQUENT = 0.05  # terms in a larger share of the examples are frequent
+PRIOR = 0.1  # weight of one vote at the share of all examples
 _CLEAN = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
-class Terms:
-    """Counts a text's terms."""
+def _hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
-    def __init__(self, vocabulary: dict[bytes, int]):
-        self.vocabulary = vocabulary
-        self.families = [(n, {t[:n]: i for t, i in vocabulary.items() if len(t) == n + 1 and t.endswith(b"*")}) for n in (4, 5)]
 
-    def count(self, text: bytes | None) -> tuple[dict[int, int], float]:
-        """Occurrences of each known term (by number) in the whole text, and
-        the squared length of the words unknown, without their idf."""
-        return self.add(Counter(text.translate(_CLEAN).split()) if text else {})
+def word_counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of a whole text as hashes, in order, and how often each occurs."""
+    found = Counter(text.translate(_CLEAN).split()) if text else {}
+    return _summed(np.fromiter(map(_hash, found), np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found)))
 
-    def add(self, words: dict[bytes, int]) -> tuple[dict[int, int], float]:
-        out: dict[int, int] = {}
-        unknown = 0.0
-        for w, n in words.items():
-            i = self.vocabulary.get(w)
-            if i is None:
-                unknown += (1 + log(n)) ** 2
-            else:
-                out[i] = n
-            for size, known in self.families:
-                if len(w) > size and (i := known.get(w[:size])) is not None:
-                    out[i] = out.get(i, 0) + n
-        return out, unknown
+
+def family_counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the leading 4 and 5 bytes of longer words."""
+    found: Counter[bytes] = Counter()
+    for word, n in Counter(text.translate(_CLEAN).split()).items() if text else ():
+        for size in (4, 5):
+            if len(word) > size:
+                found[word[:size] + b"*"] += n
+    return _summed(np.fromiter(map(_hash, found), np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found)))
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    return keys[order], counts[order]
+
+
+class Postings:
+    """Examples and weights by term, for terms numbered from 0."""
+
+    def __init__(self, term: np.ndarray, row: np.ndarray, value: np.ndarray, terms: int, size: int):
+        order = np.argsort(term, kind="stable")
+        self.row, self.value, self.size = row[order].astype(np.int32), value[order], size
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
+
+    def sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """For each example the sum of weight * value over the terms."""
+        first = self.starts[terms]
+        sizes = self.starts[terms + 1] - first
+        own = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        return np.bincount(self.row[own], self.value[own] * np.repeat(weights, sizes), self.size)
 
 
 class Index:
-    """Inverted index over the examples' unit TF-IDF vectors. ``counts``: each
-    example's terms and their counts, or (terms an example, terms, counts)."""
-
-    def __init__(self, ids: np.ndarray, toxic: np.ndarray, weights: np.ndarray, counts: list[dict[int, int]] | tuple[np.ndarray, np.ndarray, np.ndarray], idf: np.ndarray, unknown: float = 1.0):
-        self.idf, self.unknown = idf, unknown
-        if not isinstance(counts, tuple):
-            counts = np.array([len(c) for c in counts], int), np.array([t for c in counts for t in c], int), np.array([n for c in counts for n in c.values()], float)
-        sizes, term, number = counts
+    """Block-max inverted index over the examples' unit TF-IDF vectors.
+
+    ``words``: each example's word hashes (ordered) and counts; ``families``: the
+    same for families. ``toxic`` and ``weights`` are by example. Fewer than 10
+    examples with words, or such of one label alone, leave the curve as it is:
+    the score is then the votes' own share."""
+
+    def __init__(self, ids: np.ndarray, toxic: np.ndarray, weights: np.ndarray, words: list[tuple[np.ndarray, np.ndarray]], families: list[tuple[np.ndarray, np.ndarray]], least: int = 5):
+        sizes = np.array([len(k) for k, _ in words], np.int64)
         none = sizes == 0
-        base = (weights * toxic).sum() / max(weights.sum(), 1e-12)
+        base = float((weights * toxic).sum() / max(weights.sum(), 1e-12))
         self.without = float(((weights * toxic)[none].sum() + base) / (weights[none].sum() + 1.0))
-        self.ids, self.toxic, self.weights = ids[~none], toxic[~none].astype(float), weights[~none]
-        size = len(self.ids)
-        self.at = np.concatenate([[0], np.cumsum(sizes[~none])])
-        rows = np.repeat(np.arange(size), sizes[~none])
-        value = (1 + np.log(number)) * idf[term]
-        value = value / np.sqrt(np.bincount(rows, value**2, size))[rows]
-        self.term, self.value = term.astype(np.int32), value.astype(np.float32)
-        held = np.bincount(term, minlength=len(idf))
+        kept = np.flatnonzero(~none)
+        size = len(kept)
+        joined = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+        self.vocabulary, term = np.unique(joined([words[i][0] for i in kept], np.int64), return_inverse=True)
+        count = joined([words[i][1] for i in kept], np.int64)
+        row = np.repeat(np.arange(size), sizes[kept])
+        held = np.bincount(term, minlength=len(self.vocabulary))
+        self.unknown = float(np.log(1 + size) + 1)
+        self.idf = np.log((1 + size) / (1 + held)) + 1
+        value = (1 + np.log(count)) * self.idf[term]
+        length = np.sqrt(np.bincount(row, value**2, size))
+        value = value / length[row]
         frequent = np.flatnonzero(held > FREQUENT * size)
-        self.column = np.full(len(idf), -1, np.int32)
-        self.column[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((len(frequent), size), np.float32)
-        often = self.column[term] >= 0
-        self.dense[self.column[term[often]], rows[often]] = value[often]
-        order = np.flatnonzero(~often)[np.argsort(term[~often], kind="stable")]
-        # postings of a rare term: starts[t] to starts[t + 1]
-        self.rows, self.values = rows[order].astype(np.int32), self.value[order]
-        held[frequent] = 0
-        self.starts = np.concatenate([[0], np.cumsum(held)])
+        column = np.full(len(self.vocabulary), -1, np.int32)
+        column[frequent] = np.arange(len(frequent))
+        often = column[term] >= 0
+        dense = np.zeros((size, len(frequent)))
+        dense[row[often], column[term[often]]] = value[often]
+        # examples of one language or kind come together: by their weightiest frequent word
+        order = np.lexsort((-dense.max(axis=1), dense.argmax(axis=1))) if len(frequent) else np.arange(size)
+        place = np.empty(size, np.int64)
+        place[order] = np.arange(size)
+        self.ids, self.toxic, self.weights = ids[kept][order], toxic[kept][order].astype(float), weights[kept][order].astype(float)
+        self.column, self.cuts = column, np.arange(0, size, BLOCK)
+        dense = dense[order]
+        self.blocks = [np.ascontiguousarray(dense[a : a + BLOCK].T) for a in self.cuts]
+        self.most = np.stack([b.max(axis=1) for b in self.blocks], axis=1) if self.blocks else np.zeros((len(frequent), 0))
+        self.rare = Postings(term[~often], place[row[~often]], value[~often], len(self.vocabulary), size)
+        self.prior = float((self.weights * self.toxic).sum() / max(self.weights.sum(), 1e-12))
         self.curve = (0.0, 1.0)
-        self.whole: np.ndarray | None = None
-
-    def vector(self, counts: dict[int, int], unknown: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of a unit vector; ``unknown`` as Terms counts it."""
-        t = np.array(sorted(counts), int)
-        v = (1 + np.log([counts[k] for k in t])) * self.idf[t] if len(t) else np.zeros(0)
-        return t, v / np.sqrt(v @ v + unknown * self.unknown**2) if len(t) else v
-
-    def nearest(self, t: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, nearest first, ties by
-        row; examples that share no term are left out."""
-        return self.nearest_each([(t, v)], k)[0]
-
-    def nearest_each(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``nearest`` for each of a batch of vectors."""
-        if self.whole is None:
-            self.whole = np.zeros(len(self.idf))
-        near, size = np.zeros((len(vectors), len(self.dense)), np.float32), len(self.ids)
+
+        bad = max(int(toxic[kept].sum()), 1)
+        self._mark(term, toxic[kept], row, held, bad, max(size - bad, 1), least, value, place)
+        sums = np.array([len(families[i][0]) for i in kept], np.int64)
+        self.families, kin = np.unique(joined([families[i][0] for i in kept], np.int64), return_inverse=True)
+        kin_row, kin_count = np.repeat(np.arange(size), sums), joined([families[i][1] for i in kept], np.int64)
+        kin_held = np.bincount(kin, minlength=len(self.families))
+        z, marks = _marks(np.bincount(kin, toxic[kept][kin_row], len(self.families)), kin_held, bad, max(size - bad, 1), least)
+        number = np.full(len(self.families), -1)
+        number[marks] = np.arange(len(marks))
+        use = number[kin] >= 0
+        self.families, self.family_idf, self.family_mark = self.families[marks], np.log((1 + size) / (1 + kin_held[marks])) + 1, z[marks] - 3
+        own = (1 + np.log(kin_count[use])) * self.family_idf[number[kin[use]]] / length[kin_row[use]]
+        self.kin = Postings(number[kin[use]], place[kin_row[use]], own, len(marks), size)
+
+    def _mark(self, term, toxic, row, held, bad, good, least, value, place) -> None:
+        z, marks = _marks(np.bincount(term, toxic[row], len(held)), held, bad, good, least)
+        self.mark = np.zeros(len(held))
+        self.mark[marks] = z[marks] - 3
+        use = self.mark[term] > 0
+        self.marked = Postings(term[use], place[row[use]], value[use], len(held), len(place))
+
+    def vector(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Terms and weights of a text's unit vector, and its length before."""
+        at = np.searchsorted(self.vocabulary, keys)
+        known = np.zeros(len(keys), bool) if not len(self.vocabulary) else self.vocabulary[np.minimum(at, len(self.vocabulary) - 1)] == keys
+        t, tf = at[known], 1 + np.log(counts)
+        v = tf[known] * self.idf[t]
+        length = float(np.sqrt(v @ v + ((tf[~known] * self.unknown) ** 2).sum())) or 1.0
+        return t, v / length, length
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each unit vector (terms, weights): rows and cosines of the k nearest
+        examples, nearest first, ties by id; those that share no term are left out."""
+        size, n = len(self.ids), len(vectors)
+        if not size:
+            return [(np.zeros(0, int), np.zeros(0))] * n
+        asked = np.zeros((n, len(self.most)))
+        scores = np.empty((n, size))
         for i, (t, v) in enumerate(vectors):
             often = self.column[t] >= 0
-            near[i, self.column[t[often]]] = v[often]
+            asked[i, self.column[t[often]]] = v[often]
+            scores[i] = self.rare.sums(t[~often], v[~often])
+        # a block's examples reach at most its best sum of rare terms and the maxima of frequent ones
+        bounds = np.maximum.reduceat(scores, self.cuts, axis=1) + asked @ self.most + 1e-12
+        done = np.zeros(bounds.shape, bool)
+        first = min(-(-2 * k // BLOCK), len(self.cuts))
+        done[np.arange(n)[:, None], np.argpartition(-bounds, first - 1, axis=1)[:, :first]] = True
+        self._score(scores, asked, done)
+        floors = np.zeros(n)
+        if size > k:
+            for i in range(n):
+                some = scores[i][np.repeat(done[i], BLOCK)[:size]]
+                if len(some) > k:
+                    floors[i] = np.partition(some, len(some) - k)[len(some) - k]
+        more = ~done & (bounds >= floors[:, None])
+        self._score(scores, asked, more)
+        done |= more
         out = []
-        for (t, v), score in zip(vectors, near @ self.dense, strict=True):
-            rare = self.column[t] < 0
-            first = self.starts[t[rare]]
-            sizes = self.starts[t[rare] + 1] - first
-            own = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-            score = score + np.bincount(self.rows[own], self.values[own] * np.repeat(v[rare], sizes), size)
-            # sums in single precision are off by far less than 1e-5
-            least = np.partition(score, size - k)[size - k] - 1e-5 if size > k else 0.0
+        for i in range(n):
+            score = np.where(np.repeat(done[i], BLOCK)[:size], scores[i], 0.0)
+            least = np.partition(score, size - k)[size - k] if size > k else 0.0
             hit = np.flatnonzero((score >= least) & (score > 0))
-            self.whole[t] = v
-            sims = np.array([self.whole[self.term[a:b]] @ self.value[a:b] for a, b in zip(self.at[hit], self.at[hit + 1], strict=True)])
-            self.whole[t] = 0
-            best = np.lexsort((hit, -sims))[:k]
-            out.append((hit[best], sims[best]))
+            top = hit[np.lexsort((self.ids[hit], -score[hit]))[:k]]
+            out.append((top, score[top]))
         return out
 
-    def vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
-        """Log-odds of the similarity-weighted votes, with one vote at the share of all examples."""
-        w = sims**2 * self.weights[rows]
-        prior = (self.weights * self.toxic).sum() / self.weights.sum()
-        p = ((w * self.toxic[rows]).sum() + 0.1 * prior) / (w.sum() + 0.1)
+    def _score(self, scores: np.ndarray, asked: np.ndarray, wanted: np.ndarray) -> None:
+        """Add the frequent terms in the blocks wanted of each row."""
+        for b in np.flatnonzero(wanted.any(axis=0)):
+            own = np.flatnonzero(wanted[:, b])
+            scores[own, self.cuts[b] : self.cuts[b] + BLOCK] += asked[own] @ self.blocks[b]
+
+    def marked_part(self, t: np.ndarray, v: np.ndarray, length: float, text: bytes | None) -> np.ndarray | None:
+        """For each example what marking words and families add to its cosine, times their mark."""
+        use = self.mark[t] > 0
+        out = self.marked.sums(t[use], v[use] * self.mark[t[use]]) if use.any() else None
+        if len(self.families):
+            keys, counts = family_counts(text)
+            at = np.minimum(np.searchsorted(self.families, keys), len(self.families) - 1)
+            known = self.families[at] == keys
+            if known.any():
+                at = at[known]
+                kin = self.kin.sums(at, (1 + np.log(counts[known])) * self.family_idf[at] / length * self.family_mark[at])
+                out = kin if out is None else out + kin
+        return out
+
+    def vote(self, rows: np.ndarray, power: np.ndarray) -> float:
+        """Log-odds of votes of this power, with one vote at the share of all examples."""
+        w = power * self.weights[rows]
+        p = ((w * self.toxic[rows]).sum() + PRIOR * self.prior) / (w.sum() + PRIOR)
         return float(np.log(p + 1e-6) - np.log(1 - p + 1e-6))
 
-    def fit_curve(self, k: int) -> None:
-        """Logistic curve of leave-one-out votes, by weighted Newton steps."""
-        x = []
-        for at in range(0, len(self.ids), BATCH):
-            own = range(at, min(at + BATCH, len(self.ids)))
-            vectors = [(self.term[a:b], self.value[a:b].astype(float)) for a, b in zip(self.at[own], self.at[at + 1 :], strict=False)]
-            for row, (rows, sims) in zip(own, self.nearest_each(vectors, k + 1), strict=True):
-                other = rows != row
-                x.append(self.vote(rows[other][:k], sims[other][:k]))
-        x, y, w = np.array(x), self.toxic, self.weights
-        if len(x) < 10 or y.min() == y.max():
-            return
-        X, beta = np.stack([np.ones_like(x), x], axis=1), np.array([0.0, 1.0])
-        for _ in range(25):
-            p = 1 / (1 + np.exp(-X @ beta))
-            grad = X.T @ (w * (y - p)) - 0.1 * (beta - [0.0, 1.0])
-            beta = beta + np.linalg.solve((X * (w * p * (1 - p))[:, None]).T @ X + 0.1 * np.eye(2), grad)
-            if np.abs(grad).max() < 1e-9:
-                break
-        if np.isfinite(beta).all() and beta[1] > 0:
-            self.curve = (float(beta[0]), float(beta[1]))
-
-    def score_each(self, counts: list[tuple[dict[int, int], float]], k: int) -> list[tuple[float, list[tuple[int, float, int]]]]:
-        """Calibrated score, and the evidence as (doc_id, cosine, label), of
-        each text as Terms counts it."""
-        out: list[tuple[float, list[tuple[int, float, int]]]] = [(self.without, [])] * len(counts)
-        a, b = self.curve
-        for at in range(0, len(counts), BATCH):
-            some = [i for i in range(at, min(at + BATCH, len(counts))) if counts[i][0]]
-            for i, (rows, sims) in zip(some, self.nearest_each([self.vector(*counts[i]) for i in some], k), strict=True):
-                if len(rows):
-                    p = 1 / (1 + np.exp(-np.clip(a + b * self.vote(rows, sims), -50, 50)))
-                    out[i] = float(p), list(zip(self.ids[rows].tolist(), sims.tolist(), self.toxic[rows].astype(int).tolist(), strict=True))
+    def votes(self, texts: list[bytes | None], k: int, without: list[int | None] | None = None) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray] | None]:
+        """The vote, and rows, cosines and powers of the voters, strongest first,
+        for each text; None where it has no neighbour. ``without``: ids to leave out."""
+        out: list[tuple[float, np.ndarray, np.ndarray, np.ndarray] | None] = []
+        for at in range(0, len(texts), BATCH):
+            some = texts[at : at + BATCH]
+            vectors = [self.vector(*word_counts(x)) for x in some]
+            near = self.nearest([(t, v) for t, v, _ in vectors], k + (without is not None))
+            for i, ((t, v, length), (rows, cosines)) in enumerate(zip(vectors, near, strict=True)):
+                if without is not None:
+                    other = self.ids[rows] != without[at + i]
+                    rows, cosines = rows[other][:k], cosines[other][:k]
+                if not len(rows):
+                    out.append(None)
+                    continue
+                power, marked = cosines**2, self.marked_part(t, v, length, some[i])
+                if marked is not None:
+                    power = power + marked[rows]
+                order = np.lexsort((self.ids[rows], -power))
+                rows, cosines, power = rows[order], cosines[order], power[order]
+                out.append((self.vote(rows, power), rows, cosines, power))
         return out
 
-
-def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_terms: int, min_docs: int, k: int) -> Index | None:
-    """Learn from at most about ``max_examples`` labelled rows of each label,
-    chosen by a hash of the id. Term counts are summed on Spark; the driver
-    gets all words of the examples, at most ``max_terms`` families held by
-    ``min_docs`` toxic examples, and the examples' counts of those terms."""
+    def probability(self, vote: float) -> float:
+        a, b = self.curve
+        return float(1 / (1 + np.exp(-np.clip(a + b * vote, -50, 50))))
+
+
+def _marks(toxic: np.ndarray, held: np.ndarray, bad: int, good: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """z of each term, and the terms that mark the toxic class: in ``least`` toxic
+    examples at least, with z of 5 or more (of a million terms, chance alone makes a
+    handful) and odds of 4 or more."""
+    mean = held / (bad + good)
+    z = (toxic / bad - (held - toxic) / good) / np.sqrt(mean * (1 - mean) * (1 / bad + 1 / good) + 1e-12)
+    odds = (toxic + 0.5) / (bad + 1) / ((held - toxic + 0.5) / (good + 1))
+    return z, np.flatnonzero((toxic >= least) & (z >= 5) & (odds >= 4))
+
+
+def fit_curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
+    """Logistic curve of votes x, by weighted Newton steps; (0, 1) for under 10 votes or one label alone."""
+    if len(x) < 10 or y.min() == y.max():
+        return 0.0, 1.0
+    X, beta = np.stack([np.ones_like(x), x], axis=1), np.array([0.0, 1.0])
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(X @ beta, -50, 50)))
+        grad = X.T @ (w * (y - p)) - 0.1 * (beta - [0.0, 1.0])
+        beta = beta + np.linalg.solve((X * (w * p * (1 - p))[:, None]).T @ X + 0.1 * np.eye(2), grad)
+        if np.abs(grad).max() < 1e-9:
+            break
+    return (float(beta[0]), float(beta[1])) if np.isfinite(beta).all() and beta[1] > 0 else (0.0, 1.0)
+
+
+def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_bytes: int, least: int, k: int) -> Index | None:
+    """Learn from labelled rows drawn by a hash of the id: of each label about
+    ``max_examples`` rows and ``max_bytes`` of text at most. Only their word hashes
+    and counts reach the driver."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    lengths = texts.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(known, "doc_id")
+    totals = {r["toxic"]: (r["n"], r["size"]) for r in lengths.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).collect()}
     if not totals:
         return None
-    share = F.when(F.col("toxic") == 1, F.lit(max_examples / max(totals.get(1, 0), 1))).otherwise(F.lit(max_examples / max(totals.get(0, 0), 1)))
-    drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    texts = texts.join(F.broadcast(drawn), "doc_id")  # two max_examples rows of 12 bytes
+    share = {t: min(max_examples / n, max_bytes / max(size, 1)) for t, (n, size) in totals.items()}
+    drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)) * (1 << 20))
+    drawn = stored(texts.join(drawn, "doc_id"), "toxicity-drawn")
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=64):
-            held, alike = [], []
-            for text in text_bytes(batch.column("text")):
-                found = Counter(text.translate(_CLEAN).split()) if text else Counter()
-                held.append(sorted(found.items()))
-                alike.append(xxhash.xxh3_64_intdigest(b" ".join(b"%s %d" % x for x in held[-1])) >> 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array(alike, pa.int64()),
-                 pa.array([[w for w, _ in x] for x in held], pa.list_(pa.binary())), pa.array([[n for _, n in x] for x in held], pa.list_(pa.int32()))],
-                ["doc_id", "toxic", "alike", "words", "counts"])
-
-    rows = stored(texts.mapInArrow(examples, "doc_id long, toxic int, alike long, words array<binary>, counts array<int>"), "toxicity-examples")
-    # copies have the same words as often; one of them speaks for all
-    first = rows.groupBy("alike", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    rows = rows.join(F.broadcast(first), ["alike", "toxic", "doc_id"], "left_semi").dropDuplicates(["doc_id", "alike"])
-
-    word = F.col("word")
-    star = [F.when(F.octet_length(word) > n, F.concat(F.expr(f"substring(word, 1, {n})"), F.lit(b"*"))) for n in (4, 5)]
-    kinds = F.array(F.struct(word.alias("term"), F.lit(False).alias("family")), *[F.struct(x.alias("term"), F.lit(True).alias("family")) for x in star])
-    held = rows.select("doc_id", "alike", "toxic", F.explode("words").alias("word")).select("doc_id", "alike", "toxic", F.explode(kinds).alias("x"))
-    held = held.select("doc_id", "alike", "toxic", "x.*").filter("term is not null").distinct()
-    held = held.groupBy("term", "family").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad, good = max(sizes.get(1, 0), 1), max(sizes.get(0, 0), 1)
-    mean = F.col("n") / (bad + good)
-    lift = F.col("bad") / bad - (F.col("n") - F.col("bad")) / good
-    z = lift / F.sqrt(mean * (1 - mean) * (1 / bad + 1 / good) + 1e-12)
-    odds = (F.col("bad") + 0.5) / (bad + 1) / ((F.col("n") - F.col("bad") + 0.5) / (good + 1))
-    # chance alone gives a handful of families beyond z = 5 among a million
-    marks = (F.col("bad") >= min_docs) & (F.col("z") >= 5) & (odds >= 4)
-    chosen = held.withColumn("z", z).filter(~F.col("family") | marks).select("term", "family", "n", "z").toArrow().sort_by([("family", "ascending"), ("z", "descending"), ("term", "ascending")])
-    chosen = chosen.slice(0, pc.sum(pc.invert(chosen["family"])).as_py() + max_terms if len(chosen) else 0)
-    vocabulary = {t: i for i, t in enumerate(chosen["term"].to_pylist())}
-    marker = 1 + np.maximum(chosen["z"].to_numpy() - 3, 0)
-    idf = (np.log((1 + bad + good) / (1 + chosen["n"].to_numpy())) + 1) * marker
-    sent = documents.sparkSession.sparkContext.broadcast(vocabulary)
-
-    def restrict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(sent.value)
-        for batch in batches:
-            out = [sorted(terms.add(dict(zip(ws, ns, strict=True)))[0].items()) for ws, ns in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("alike"), batch.column("toxic"),
-                 pa.array([[t for t, _ in x] for x in out], pa.list_(pa.int32())), pa.array([[n for _, n in x] for x in out], pa.list_(pa.int32()))],
-                ["doc_id", "alike", "toxic", "terms", "counts"])
-
-    got = rows.select("doc_id", "alike", "toxic", "words", "counts").mapInArrow(restrict, "doc_id long, alike long, toxic int, terms array<int>, counts array<int>").toArrow()
-    sent.unpersist()
-    if not len(got):
+            found = [(*word_counts(t), *family_counts(t)) for t in text_bytes(batch.column("text"))]
+            lists = [pa.array([x[i] for x in found], pa.list_(kind)) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *lists], ["doc_id", "toxic", "words", "counts", "families", "sums"])
+
+    got = drawn.mapInArrow(examples, "doc_id long, toxic int, words array<long>, counts array<int>, families array<long>, sums array<int>").toArrow()
+    if not got.num_rows:
         return None
-    got = got.take(pc.sort_indices(got.select(["doc_id", "alike", "toxic"]), [("doc_id", "ascending"), ("alike", "ascending")]))
-    ids, toxic = got["doc_id"].to_numpy(), got["toxic"].to_numpy()
-    counts = pc.list_value_length(got["terms"]).to_numpy(), pc.list_flatten(got["terms"]).to_numpy(), pc.list_flatten(got["counts"]).to_numpy()
-    weights = np.where(toxic == 1, totals.get(1, 0) / bad, totals.get(0, 0) / good)
-    weights = weights / weights.mean()
-    index = Index(ids, toxic, weights, counts, idf, np.log(1 + bad + good) + 1)
-    index.vocabulary = vocabulary
-    index.fit_curve(k)
-    index.whole = None
+    numbers = [_lists(got.column(a), got.column(b)) for a, b in (("words", "counts"), ("families", "sums"))]
+    ids, toxic = got.column("doc_id").to_numpy(), got.column("toxic").to_numpy()
+    # copies have the same words as often: of each label, the one of least id speaks for all
+    alike = [xxhash.xxh3_64_intdigest(a.tobytes() + b.tobytes()) for a, b in numbers[0]]
+    first: dict[tuple[int, int], int] = {}
+    for i in np.lexsort((alike, ids)).tolist():
+        first.setdefault((alike[i], int(toxic[i])), i)
+    use = sorted(first.values(), key=lambda i: (ids[i], alike[i]))
+    ids, toxic = ids[use], toxic[use]
+    sizes = np.bincount(toxic, minlength=2)
+    weights = np.array([totals[int(t)][0] / sizes[t] for t in toxic])
+    index = Index(ids, toxic, weights / weights.mean(), [numbers[0][i] for i in use], [numbers[1][i] for i in use], least)
+    sent = documents.sparkSession.sparkContext.broadcast(index)
+    spoken = documents.sparkSession.sparkContext.broadcast(np.unique(index.ids))
+
+    def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, rows=256):
+            batch = batch.filter(pa.array(np.isin(batch.column("doc_id").to_numpy(), spoken.value)))
+            found = sent.value.votes(text_bytes(batch.column("text")), k, batch.column("doc_id").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([v[0] if v else None for v in found], pa.float64())], ["doc_id", "toxic", "vote"])
+
+    # at most the drawn rows; repeats of an id vote once
+    votes = drawn.mapInArrow(own_votes, "doc_id long, toxic int, vote double").filter("vote is not null").groupBy("doc_id", "toxic").agg(F.min("vote").alias("vote")).orderBy("doc_id").toArrow()
+    sent.unpersist()
+    toxic = votes.column("toxic").to_numpy()
+    scale = {t: totals[t][0] / max(sizes[t], 1) for t in totals}
+    w = np.array([scale[int(t)] for t in toxic])
+    index.curve = fit_curve(votes.column("vote").to_numpy(), toxic.astype(float), w / w.mean() if len(w) else w)
     return index
 
 
+def _lists(keys: pa.ChunkedArray, counts: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    ends = np.cumsum(pc.list_value_length(keys).to_numpy())
+    a, b = (pc.list_flatten(x).to_numpy() for x in (keys, counts))
+    return [(a[s:e], b[s:e]) for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def score(
     documents: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
-    max_examples: int = 8000, max_terms: int = 2000, min_docs: int = 5, k: int = 15, carry: bool = False,
+    max_examples: int = 8000, max_bytes: int = 64 << 20, least: int = 5, k: int = 200, evidence: int = 15, carry: bool = False,
 ) -> DataFrame:
     """Score every whole text of ``documents`` (doc_id, text): doc_id,
     held_out, score (0 to 1), predicted (1 from a score of 0.5), evidence (the
-    nearest examples: doc_id, cosine, toxic); with ``carry`` also ``row``, the
-    whole input row.
+    strongest ``evidence`` of the ``k`` nearest examples: doc_id, cosine, toxic);
+    with ``carry`` also ``row``, the whole input row.
 
     Learns from ``labels`` (doc_id, toxic) of documents whose crc32(id) mod
-    ``folds`` isn't ``held_out``, at most about ``max_examples`` of each label.
+    ``folds`` isn't ``held_out``, of each label at most about ``max_examples``
+    rows and ``max_bytes`` of text, drawn by a hash of the id. Words mark the toxic
+    class from ``least`` toxic examples on.
+
     Null, empty and wordless texts and those without a word of any example get
     the toxic share of the examples without words; without any label the score
-    is 0. Rows with a null id aren't held
-    out and never examples. Labels other than 0 and 1 are ignored, of repeated
-    ones the largest counts. Repeated documents are scored each; other columns
-    are ignored; an empty table gives no rows.
+    is 0. With fewer than 10 examples or one label alone no curve is fitted: the
+    score is the votes' share. Very long texts count whole. Of examples at one
+    cosine those of smaller ids are nearer. Rows with a null id aren't held out
+    and never examples. Labels other than 0 and 1 are ignored, of repeated ones
+    the largest counts. Repeated documents are scored each; other columns are
+    ignored; an empty table gives no rows.
     """
     learn = labels.filter(crc_fold(F.col("doc_id"), folds) != held_out)
-    index = train(documents, learn, max_examples, max_terms, min_docs, k)
+    index = train(documents, learn, max_examples, max_bytes, least, k)
     sent = documents.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        terms = Terms(model.vocabulary) if model is not None else None
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for batch in slices(batches):
-            if model is None:
-                found = [(0.0, [])] * batch.num_rows
-            else:
-                texts = text_bytes(batch.column("text"))
-                each = list(dict.fromkeys(texts))
-                known = dict(zip(each, model.score_each([terms.count(t) for t in each], k), strict=True))
-                found = [known[t] for t in texts]
-            scores = [p for p, _ in found]
-            why = [[{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in x] for _, x in found]
+            texts = text_bytes(batch.column("text"))
+            each = list(dict.fromkeys(texts))
+            found = dict(zip(each, model.votes(each, k) if model is not None else [None] * len(each), strict=True))
+            scores, why = [], []
+            for text in texts:
+                if (vote := found[text]) is None:
+                    scores.append(model.without if model is not None else 0.0)
+                    why.append([])
+                else:
+                    scores.append(model.probability(vote[0]))
+                    rows, cosines = vote[1][:evidence], vote[2][:evidence]
+                    why.append([{"doc_id": d, "cosine": c, "toxic": t} for d, c, t in zip(model.ids[rows].tolist(), cosines.tolist(), model.toxic[rows].astype(int).tolist(), strict=True)])
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, kind)]
             names = ["doc_id", "held_out", "score", "predicted", "evidence"]
             yield pa.RecordBatch.from_arrays(columns + [batch.column(c) for c in ["row"] * carry], names + ["row"] * carry)

@@ -258,24 +258,6 @@ def test_style_tree_removes_what_a_host_repeats(spark):
     assert got[20].text == got[21].text == "" and got[0].n_chars == len(got[0].text)
 
 
-def test_toxicity_index_is_exact():
-    r = random.Random(5)
-    counts = [{t: r.randint(1, 4) for t in r.sample(range(30), r.randint(0, 5))} for _ in range(400)]
-    ids, toxic = np.arange(400), np.array([r.randint(0, 1) for _ in range(400)])
-    index = toxicity.Index(ids, toxic, np.ones(400), counts, np.linspace(1, 3, 30))
-    dense = np.zeros((400, 30))
-    for k, c in enumerate(counts):
-        t, v = index.vector(c)
-        dense[k, t] = v
-    for c in counts[:80]:
-        if c:
-            t, v = index.vector(c)
-            rows, sims = index.nearest(t, v, 10)
-            want = np.sort(dense[:, t] @ v)[::-1][:10]
-            assert np.allclose(sims, want[want > 0][: len(sims)]) and len(sims) == (want > 0).sum()
-            assert np.allclose([dense[index.ids[i], t] @ v for i in rows], sims)
-
-
 def test_toxicity(spark, odd):
     labels = [(i, int(i % 4 == 0)) for i in range(400)] + [(None, 1), (401, None), (402, 7), (0, 0)]
     docs = [(i, prose(60) + (" vilest" if i % 4 == 0 else "")) for i in range(500)] + [(600, None), (601, ""), (None, "vilest"), (499, "x")]
@@ -303,7 +285,7 @@ def test_toxicity_learns_from_texts_that_share_a_word(spark):
 def test_toxicity_cosines_are_over_whole_texts(spark):
     docs = [(i, prose(40) + (" vilest" if i % 4 == 0 else "")) for i in range(200)] + [(1000 + i, f"zq{chr(97 + i)}x " * 3 + prose(20)) for i in range(8)]
     labels = [(i, int(i % 4 == 0)) for i in range(200)] + [(1000 + i, 1) for i in range(8)]
-    new = [(-1, "zqcx zqcx"), (-2, f"vilest {prose(200)}"), (-3, "vilest"), (-4, "neverseen")]
+    new = [(-1, "zqcx zqcx"), (-2, "vilest " + " ".join(f"qq{w}qq" for w in VOCABULARY[:200])), (-3, "vilest"), (-4, "neverseen")]
     df = spark.createDataFrame(docs + new, "doc_id long, text string")
     rows = {r.doc_id: r for r in toxicity.score(df, spark.createDataFrame(labels, "doc_id long, toxic int"), folds=1, held_out=1).collect()}
     assert all(r.evidence for i, r in rows.items() if i != -4)  # texts without a marker have neighbours too
