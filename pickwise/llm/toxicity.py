@@ -21,6 +21,7 @@ ones.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,29 +37,36 @@ from pickwise.llm.shared import crc_fold, row_schema, slices, stored, text_bytes
 
 BATCH = 64
 BLOCK = 128
-FREQUENT = 0.05  # terms in a larger share of the examples are frequent
+PART = 4 << 20  # bytes of the packed index in a row
+FREQUENT = 0.25  # terms in a larger share of the examples are frequent
 PRIOR = 0.1  # weight of one vote at the share of all examples
 _CLEAN = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+def counted(text: bytes | None) -> Counter[bytes]:
+    """The distinct words of a whole text and how often each occurs."""
+    return Counter(text.translate(_CLEAN).split()) if text else Counter()
 
 
-def word_counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct words of a whole text as hashes, in order, and how often each occurs."""
-    found = Counter(text.translate(_CLEAN).split()) if text else {}
-    return _summed(np.fromiter(map(_hash, found), np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found)))
+def word_counts(words: Counter[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The words as hashes, in order, and how often each occurs."""
+    keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return _summed(keys.view(np.int64), np.fromiter(words.values(), np.int64, len(words)))
 
 
-def family_counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """The same for the leading 4 and 5 bytes of longer words."""
-    found: Counter[bytes] = Counter()
-    for word, n in Counter(text.translate(_CLEAN).split()).items() if text else ():
+def family_counts(words: Counter[bytes], known: dict[bytes, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the leading 4 and 5 bytes of longer words, as a number that
+    holds them (or of the ``known`` ones alone, by their numbers)."""
+    found: dict[int, int] = {}
+    # a known family of 5 bytes counts only words whose first 4 bytes some known family has
+    stems = None if known is None else {f[:4] for f in known}
+    for word, n in words.items() if stems is None else [x for x in words.items() if x[0][:4] in stems]:
         for size in (4, 5):
             if len(word) > size:
-                found[word[:size] + b"*"] += n
-    return _summed(np.fromiter(map(_hash, found), np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found)))
+                key = int.from_bytes(word[:size]) | size << 40 if known is None else known.get(word[:size])
+                if key is not None:
+                    found[key] = found.get(key, 0) + n
+    return _summed(np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found)))
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,20 +74,28 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[order], counts[order]
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The same whole numbers from 0 on in as few bytes as hold them."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
+
+
 class Postings:
     """Examples and weights by term, for terms numbered from 0."""
 
     def __init__(self, term: np.ndarray, row: np.ndarray, value: np.ndarray, terms: int, size: int):
         order = np.argsort(term, kind="stable")
-        self.row, self.value, self.size = row[order].astype(np.int32), value[order], size
+        self.row, self.value, self.size = row[order], value[order], size
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
 
     def sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """For each example the sum of weight * value over the terms."""
-        first = self.starts[terms]
-        sizes = self.starts[terms + 1] - first
-        own = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        return np.bincount(self.row[own], self.value[own] * np.repeat(weights, sizes), self.size)
+        first, last = self.starts[terms], self.starts[terms + 1]
+        spans = list(zip(first.tolist(), last.tolist(), strict=True))
+        if not spans:
+            return np.zeros(self.size)
+        value = np.concatenate([self.value[a:b] for a, b in spans])
+        value *= np.repeat(weights, last - first)
+        return np.bincount(np.concatenate([self.row[a:b] for a, b in spans]), value, self.size)
 
 
 class Index:
@@ -93,17 +110,38 @@ class Index:
         sizes = np.array([len(k) for k, _ in words], np.int64)
         none = sizes == 0
         base = float((weights * toxic).sum() / max(weights.sum(), 1e-12))
-        self.without = float(((weights * toxic)[none].sum() + base) / (weights[none].sum() + 1.0))
+        without = float(((weights * toxic)[none].sum() + base) / (weights[none].sum() + 1.0))
         kept = np.flatnonzero(~none)
-        size = len(kept)
         joined = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        self.vocabulary, term = np.unique(joined([words[i][0] for i in kept], np.int64), return_inverse=True)
-        count = joined([words[i][1] for i in kept], np.int64)
-        row = np.repeat(np.arange(size), sizes[kept])
+        vocabulary, term = np.unique(joined([words[i][0] for i in kept], np.int64), return_inverse=True)
+        found, kin = np.unique(joined([families[i][0] for i in kept], np.int64), return_inverse=True)
+        kin_row = np.repeat(np.arange(len(kept)), [len(families[i][0]) for i in kept])
+        # of the families only those that mark the toxic class are of use
+        bad = max(int(toxic[kept].sum()), 1)
+        kin_held = np.bincount(kin, minlength=len(found))
+        z, marks = _marks(np.bincount(kin, toxic[kept][kin_row], len(found)), kin_held, bad, max(len(kept) - bad, 1), least)
+        number = np.full(len(found), -1)
+        number[marks] = np.arange(len(marks))
+        use = number[kin] >= 0
+        self.__setstate__({
+            "without": without, "least": least, "ids": ids[kept], "toxic": toxic[kept].astype(np.int8), "weights": weights[kept].astype(float),
+            "vocabulary": vocabulary, "sizes": sizes[kept].astype(np.int32), "term": term.astype(np.int32), "count": _narrow(joined([words[i][1] for i in kept], np.int64)),
+            "families": found[marks], "family_held": kin_held[marks], "family_mark": z[marks] - 3,
+            "kin": _narrow(number[kin[use]]), "kin_row": kin_row[use].astype(np.int32), "kin_count": _narrow(joined([families[i][1] for i in kept], np.int64)[use])})
+
+    def __getstate__(self) -> dict:
+        """The examples' terms and counts; what follows from them is worked out where they arrive."""
+        return self.state
+
+    def __setstate__(self, state: dict) -> None:
+        self.state = state
+        ids, toxic, weights, sizes, term, count = (state[k] for k in ("ids", "toxic", "weights", "sizes", "term", "count"))
+        self.without, self.vocabulary, size = state["without"], state["vocabulary"], len(ids)
+        row = np.repeat(np.arange(size), sizes)
         held = np.bincount(term, minlength=len(self.vocabulary))
         self.unknown = float(np.log(1 + size) + 1)
         self.idf = np.log((1 + size) / (1 + held)) + 1
-        value = (1 + np.log(count)) * self.idf[term]
+        value = (1 + np.log(count.astype(float))) * self.idf[term]
         length = np.sqrt(np.bincount(row, value**2, size))
         value = value / length[row]
         frequent = np.flatnonzero(held > FREQUENT * size)
@@ -116,35 +154,24 @@ class Index:
         order = np.lexsort((-dense.max(axis=1), dense.argmax(axis=1))) if len(frequent) else np.arange(size)
         place = np.empty(size, np.int64)
         place[order] = np.arange(size)
-        self.ids, self.toxic, self.weights = ids[kept][order], toxic[kept][order].astype(float), weights[kept][order].astype(float)
+        self.ids, self.toxic, self.weights = ids[order], toxic[order].astype(float), weights[order]
         self.column, self.cuts = column, np.arange(0, size, BLOCK)
         dense = dense[order]
         self.blocks = [np.ascontiguousarray(dense[a : a + BLOCK].T) for a in self.cuts]
         self.most = np.stack([b.max(axis=1) for b in self.blocks], axis=1) if self.blocks else np.zeros((len(frequent), 0))
         self.rare = Postings(term[~often], place[row[~often]], value[~often], len(self.vocabulary), size)
         self.prior = float((self.weights * self.toxic).sum() / max(self.weights.sum(), 1e-12))
-        self.curve = (0.0, 1.0)
-
-        bad = max(int(toxic[kept].sum()), 1)
-        self._mark(term, toxic[kept], row, held, bad, max(size - bad, 1), least, value, place)
-        sums = np.array([len(families[i][0]) for i in kept], np.int64)
-        self.families, kin = np.unique(joined([families[i][0] for i in kept], np.int64), return_inverse=True)
-        kin_row, kin_count = np.repeat(np.arange(size), sums), joined([families[i][1] for i in kept], np.int64)
-        kin_held = np.bincount(kin, minlength=len(self.families))
-        z, marks = _marks(np.bincount(kin, toxic[kept][kin_row], len(self.families)), kin_held, bad, max(size - bad, 1), least)
-        number = np.full(len(self.families), -1)
-        number[marks] = np.arange(len(marks))
-        use = number[kin] >= 0
-        self.families, self.family_idf, self.family_mark = self.families[marks], np.log((1 + size) / (1 + kin_held[marks])) + 1, z[marks] - 3
-        own = (1 + np.log(kin_count[use])) * self.family_idf[number[kin[use]]] / length[kin_row[use]]
-        self.kin = Postings(number[kin[use]], place[kin_row[use]], own, len(marks), size)
-
-    def _mark(self, term, toxic, row, held, bad, good, least, value, place) -> None:
-        z, marks = _marks(np.bincount(term, toxic[row], len(held)), held, bad, good, least)
+        bad = max(int(toxic.sum()), 1)
+        z, marks = _marks(np.bincount(term, toxic[row], len(held)), held, bad, max(size - bad, 1), state["least"])
         self.mark = np.zeros(len(held))
         self.mark[marks] = z[marks] - 3
         use = self.mark[term] > 0
-        self.marked = Postings(term[use], place[row[use]], value[use], len(held), len(place))
+        self.marked = Postings(term[use], place[row[use]], value[use], len(held), size)
+        self.families = {(f & (1 << 40) - 1).to_bytes(f >> 40): i for i, f in enumerate(state["families"].tolist())}
+        self.family_mark = state["family_mark"]
+        self.family_idf = np.log((1 + size) / (1 + state["family_held"])) + 1
+        own = (1 + np.log(state["kin_count"].astype(float))) * self.family_idf[state["kin"]] / length[state["kin_row"]]
+        self.kin = Postings(state["kin"], place[state["kin_row"]], own, len(self.families), size)
 
     def vector(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """Terms and weights of a text's unit vector, and its length before."""
@@ -169,26 +196,26 @@ class Index:
             scores[i] = self.rare.sums(t[~often], v[~often])
         # a block's examples reach at most its best sum of rare terms and the maxima of frequent ones
         bounds = np.maximum.reduceat(scores, self.cuts, axis=1) + asked @ self.most + 1e-12
-        done = np.zeros(bounds.shape, bool)
         first = min(-(-2 * k // BLOCK), len(self.cuts))
-        done[np.arange(n)[:, None], np.argpartition(-bounds, first - 1, axis=1)[:, :first]] = True
+        start = np.argpartition(-bounds, first - 1, axis=1)[:, :first]
+        done = np.zeros(bounds.shape, bool)
+        done[np.arange(n)[:, None], start] = True
         self._score(scores, asked, done)
-        floors = np.zeros(n)
+        floors = np.full(n, np.finfo(float).tiny)  # what the k-th best can't be below
         if size > k:
             for i in range(n):
-                some = scores[i][np.repeat(done[i], BLOCK)[:size]]
+                some = np.concatenate([scores[i, c : c + BLOCK] for c in self.cuts[start[i]]])
                 if len(some) > k:
-                    floors[i] = np.partition(some, len(some) - k)[len(some) - k]
-        more = ~done & (bounds >= floors[:, None])
-        self._score(scores, asked, more)
-        done |= more
+                    floors[i] = max(floors[i], np.partition(some, len(some) - k)[len(some) - k])
+        self._score(scores, asked, ~done & (bounds >= floors[:, None]))
         out = []
         for i in range(n):
-            score = np.where(np.repeat(done[i], BLOCK)[:size], scores[i], 0.0)
-            least = np.partition(score, size - k)[size - k] if size > k else 0.0
-            hit = np.flatnonzero((score >= least) & (score > 0))
-            top = hit[np.lexsort((self.ids[hit], -score[hit]))[:k]]
-            out.append((top, score[top]))
+            hit = np.flatnonzero(scores[i] >= floors[i])  # none of a block left out: its bound is lower
+            if len(hit) > k:
+                some = scores[i, hit]
+                hit = hit[some >= np.partition(some, len(some) - k)[len(some) - k]]
+            top = hit[np.lexsort((self.ids[hit], -scores[i, hit]))[:k]]
+            out.append((top, scores[i, top]))
         return out
 
     def _score(self, scores: np.ndarray, asked: np.ndarray, wanted: np.ndarray) -> None:
@@ -197,18 +224,14 @@ class Index:
             own = np.flatnonzero(wanted[:, b])
             scores[own, self.cuts[b] : self.cuts[b] + BLOCK] += asked[own] @ self.blocks[b]
 
-    def marked_part(self, t: np.ndarray, v: np.ndarray, length: float, text: bytes | None) -> np.ndarray | None:
+    def marked_part(self, t: np.ndarray, v: np.ndarray, length: float, words: Counter[bytes]) -> np.ndarray | None:
         """For each example what marking words and families add to its cosine, times their mark."""
         use = self.mark[t] > 0
         out = self.marked.sums(t[use], v[use] * self.mark[t[use]]) if use.any() else None
-        if len(self.families):
-            keys, counts = family_counts(text)
-            at = np.minimum(np.searchsorted(self.families, keys), len(self.families) - 1)
-            known = self.families[at] == keys
-            if known.any():
-                at = at[known]
-                kin = self.kin.sums(at, (1 + np.log(counts[known])) * self.family_idf[at] / length * self.family_mark[at])
-                out = kin if out is None else out + kin
+        at, counts = family_counts(words, self.families)
+        if len(at):
+            kin = self.kin.sums(at, (1 + np.log(counts)) * self.family_idf[at] / length * self.family_mark[at])
+            out = kin if out is None else out + kin
         return out
 
     def vote(self, rows: np.ndarray, power: np.ndarray) -> float:
@@ -222,7 +245,7 @@ class Index:
         for each text; None where it has no neighbour. ``without``: ids to leave out."""
         out: list[tuple[float, np.ndarray, np.ndarray, np.ndarray] | None] = []
         for at in range(0, len(texts), BATCH):
-            some = texts[at : at + BATCH]
+            some = [counted(x) for x in texts[at : at + BATCH]]
             vectors = [self.vector(*word_counts(x)) for x in some]
             near = self.nearest([(t, v) for t, v, _ in vectors], k + (without is not None))
             for i, ((t, v, length), (rows, cosines)) in enumerate(zip(vectors, near, strict=True)):
@@ -240,10 +263,6 @@ class Index:
                 out.append((self.vote(rows, power), rows, cosines, power))
         return out
 
-    def probability(self, vote: float) -> float:
-        a, b = self.curve
-        return float(1 / (1 + np.exp(-np.clip(a + b * vote, -50, 50))))
-
 
 def _marks(toxic: np.ndarray, held: np.ndarray, bad: int, good: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """z of each term, and the terms that mark the toxic class: in ``least`` toxic
@@ -269,59 +288,79 @@ def fit_curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
     return (float(beta[0]), float(beta[1])) if np.isfinite(beta).all() and beta[1] > 0 else (0.0, 1.0)
 
 
-def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_bytes: int, least: int, k: int) -> Index | None:
-    """Learn from labelled rows drawn by a hash of the id: of each label about
-    ``max_examples`` rows and ``max_bytes`` of text at most. Only their word hashes
-    and counts reach the driver."""
+def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_bytes: int, least: int, k: int) -> tuple[Broadcast | None, tuple[float, float]]:
+    """The index, sent out, and the curve of its votes. Learn from labelled rows drawn by a hash of the id: of each label about
+    ``max_examples`` rows and ``max_bytes`` of text at most. One task makes the
+    index of their word hashes and counts; the driver hands it on packed."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     lengths = texts.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(known, "doc_id")
     totals = {r["toxic"]: (r["n"], r["size"]) for r in lengths.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).collect()}
     if not totals:
-        return None
+        return None, (0.0, 1.0)
     share = {t: min(max_examples / n, max_bytes / max(size, 1)) for t, (n, size) in totals.items()}
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)) * (1 << 20))
-    drawn = stored(texts.join(drawn, "doc_id"), "toxicity-drawn")
+    drawn = stored(texts.join(F.broadcast(drawn), "doc_id"), "toxicity-drawn")  # two times max_examples rows of 12 bytes
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=64):
-            found = [(*word_counts(t), *family_counts(t)) for t in text_bytes(batch.column("text"))]
+            found = [(*word_counts(w), *family_counts(w)) for w in map(counted, text_bytes(batch.column("text")))]
             lists = [pa.array([x[i] for x in found], pa.list_(kind)) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *lists], ["doc_id", "toxic", "words", "counts", "families", "sums"])
 
-    got = drawn.mapInArrow(examples, "doc_id long, toxic int, words array<long>, counts array<int>, families array<long>, sums array<int>").toArrow()
-    if not got.num_rows:
-        return None
-    numbers = [_lists(got.column(a), got.column(b)) for a, b in (("words", "counts"), ("families", "sums"))]
-    ids, toxic = got.column("doc_id").to_numpy(), got.column("toxic").to_numpy()
-    # copies have the same words as often: of each label, the one of least id speaks for all
-    alike = [xxhash.xxh3_64_intdigest(a.tobytes() + b.tobytes()) for a, b in numbers[0]]
-    first: dict[tuple[int, int], int] = {}
-    for i in np.lexsort((alike, ids)).tolist():
-        first.setdefault((alike[i], int(toxic[i])), i)
-    use = sorted(first.values(), key=lambda i: (ids[i], alike[i]))
-    ids, toxic = ids[use], toxic[use]
-    sizes = np.bincount(toxic, minlength=2)
-    weights = np.array([totals[int(t)][0] / sizes[t] for t in toxic])
-    index = Index(ids, toxic, weights / weights.mean(), [numbers[0][i] for i in use], [numbers[1][i] for i in use], least)
-    sent = documents.sparkSession.sparkContext.broadcast(index)
-    spoken = documents.sparkSession.sparkContext.broadcast(np.unique(index.ids))
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(batches)
+        words, families = (_lists(got.column(a), got.column(b)) for a, b in (("words", "counts"), ("families", "sums")))
+        ids, toxic = got.column("doc_id").to_numpy(), got.column("toxic").to_numpy()
+        # copies have the same words as often: of each label, the one of least id speaks for all
+        alike = [xxhash.xxh3_64_intdigest(a.tobytes() + b.tobytes()) for a, b in words]
+        first: dict[tuple[int, int], int] = {}
+        for i in np.lexsort((alike, ids)).tolist():
+            first.setdefault((alike[i], int(toxic[i])), i)
+        use = sorted(first.values(), key=lambda i: (ids[i], alike[i]))
+        sizes = np.bincount(toxic[use], minlength=2)
+        weights = np.array([totals[int(t)][0] / sizes[t] for t in toxic[use]])
+        index = Index(ids[use], toxic[use], weights / weights.mean(), [words[i] for i in use], [families[i] for i in use], least)
+        state = pickle.dumps(index.state, protocol=5)
+        yield pa.RecordBatch.from_pydict({"part": pa.array(range(0, len(state), PART), pa.int64()), "state": pa.array([state[i : i + PART] for i in range(0, len(state), PART)], pa.binary())})
+
+    # the drawn rows are few, whatever the input: one task makes the index of their counts
+    rows = drawn.mapInArrow(examples, "doc_id long, toxic int, words array<long>, counts array<int>, families array<long>, sums array<int>")
+    parts = rows.repartition(1).mapInArrow(build, "part long, state binary").toArrow().sort_by("part")
+    if not parts.num_rows:
+        return None, (0.0, 1.0)
+    sent = documents.sparkSession.sparkContext.broadcast(Sent(b"".join(parts.column("state").to_pylist())))
+    del parts
 
     def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = sent.value.index
         for batch in slices(batches, rows=256):
-            batch = batch.filter(pa.array(np.isin(batch.column("doc_id").to_numpy(), spoken.value)))
-            found = sent.value.votes(text_bytes(batch.column("text")), k, batch.column("doc_id").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array([v[0] if v else None for v in found], pa.float64())], ["doc_id", "toxic", "vote"])
+            batch = batch.filter(pa.array(np.isin(batch.column("doc_id").to_numpy(), index.ids)))
+            found = index.votes(text_bytes(batch.column("text")), k, batch.column("doc_id").to_pylist())
+            weight = dict(zip(index.ids.tolist(), index.weights.tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"), pa.array([weight[i] for i in batch.column("doc_id").to_pylist()], pa.float64()), pa.array([v[0] if v else None for v in found], pa.float64())],
+                ["doc_id", "toxic", "weight", "vote"])
+
+    votes = drawn.mapInArrow(own_votes, "doc_id long, toxic int, weight double, vote double").filter("vote is not null")
+    votes = votes.groupBy("doc_id", "toxic").agg(F.min("weight").alias("weight"), F.min("vote").alias("vote")).orderBy("doc_id").toArrow()
+    w = votes.column("weight").to_numpy()
+    return sent, fit_curve(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy().astype(float), w / w.mean() if len(w) else w)
+
+
+class Sent:
+    """An index on its way to the tasks: made there, once a Python worker."""
+
+    def __init__(self, state: bytes):
+        self.state = state
+
+    def __getstate__(self) -> bytes:
+        return self.state
 
-    # at most the drawn rows; repeats of an id vote once
-    votes = drawn.mapInArrow(own_votes, "doc_id long, toxic int, vote double").filter("vote is not null").groupBy("doc_id", "toxic").agg(F.min("vote").alias("vote")).orderBy("doc_id").toArrow()
-    sent.unpersist()
-    toxic = votes.column("toxic").to_numpy()
-    scale = {t: totals[t][0] / max(sizes[t], 1) for t in totals}
-    w = np.array([scale[int(t)] for t in toxic])
-    index.curve = fit_curve(votes.column("vote").to_numpy(), toxic.astype(float), w / w.mean() if len(w) else w)
-    return index
+    def __setstate__(self, state: bytes) -> None:
+        self.index = Index.__new__(Index)
+        self.index.__setstate__(pickle.loads(state))
 
 
 def _lists(keys: pa.ChunkedArray, counts: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -354,11 +393,10 @@ def score(
     ignored; an empty table gives no rows.
     """
     learn = labels.filter(crc_fold(F.col("doc_id"), folds) != held_out)
-    index = train(documents, learn, max_examples, max_bytes, least, k)
-    sent = documents.sparkSession.sparkContext.broadcast(index)
+    sent, (level, slope) = train(documents, learn, max_examples, max_bytes, least, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = sent.value.index if sent is not None else None
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for batch in slices(batches):
             texts = text_bytes(batch.column("text"))
@@ -370,7 +408,7 @@ def score(
                     scores.append(model.without if model is not None else 0.0)
                     why.append([])
                 else:
-                    scores.append(model.probability(vote[0]))
+                    scores.append(float(1 / (1 + np.exp(-np.clip(level + slope * vote[0], -50, 50)))))
                     rows, cosines = vote[1][:evidence], vote[2][:evidence]
                     why.append([{"doc_id": d, "cosine": c, "toxic": t} for d, c, t in zip(model.ids[rows].tolist(), cosines.tolist(), model.toxic[rows].astype(int).tolist(), strict=True)])
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(why, kind)]

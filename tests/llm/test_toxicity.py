@@ -88,7 +88,7 @@ def corpus(n, marked="vilest"):
 
 def index_of(examples):
     ids, toxic, weights, texts = zip(*examples, strict=True)
-    data = [t.encode() for t in texts]
+    data = [toxicity.counted(t.encode()) for t in texts]
     return toxicity.Index(np.array(ids), np.array(toxic), np.array(weights), [toxicity.word_counts(t) for t in data], [toxicity.family_counts(t) for t in data])
 
 
@@ -170,5 +170,5 @@ def test_held_out_quality(spark):
 def test_bounds_of_the_sample_hold(spark):
     docs = spark.createDataFrame([(i, " ".join(word() for _ in range(50)) + (" vilest" if i % 2 else "")) for i in range(400)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
-    sizes = [len(toxicity.train(docs, labels, *bound, 5, 20).ids) for bound in ((8000, 1 << 20), (50, 1 << 20), (8000, 50 * 300))]
+    sizes = [len(toxicity.train(docs, labels, *bound, 5, 20)[0].value.index.ids) for bound in ((8000, 1 << 20), (50, 1 << 20), (8000, 50 * 300))]
     assert sizes[0] == 400 and 60 <= sizes[1] <= 140 and 60 <= sizes[2] <= 140
