@@ -38,7 +38,8 @@ from pickwise.llm.shared import crc_fold, row_schema, slices, stored, text_bytes
 BATCH = 64
 BLOCK = 128
 PART = 4 << 20  # bytes of the packed index in a row
-FREQUENT = 0.25  # terms in a larger share of the examples are frequent
+FREQUENT = 0.1  # terms in a larger share of the examples are frequent
+SHARED = 0.02  # words in a larger share of the examples tell kinds of them
 PRIOR = 0.1  # weight of one vote at the share of all examples
 _CLEAN = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -80,22 +81,26 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 
 class Postings:
-    """Examples and weights by term, for terms numbered from 0."""
+    """Examples by term (numbered from 0) and how often each holds it. An
+    example's weight for a term is (1 + ln count) * idf / its length."""
 
-    def __init__(self, term: np.ndarray, row: np.ndarray, value: np.ndarray, terms: int, size: int):
+    def __init__(self, term: np.ndarray, row: np.ndarray, count: np.ndarray, idf: np.ndarray, length: np.ndarray):
         order = np.argsort(term, kind="stable")
-        self.row, self.value, self.size = row[order], value[order], size
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
+        # few bytes an entry: looking entries up takes most of the time
+        self.row, self.count = row[order].astype(np.int32), _narrow(count[order])
+        self.weight = 1 + np.log(np.maximum(np.arange(int(count.max()) + 1 if len(count) else 1), 1))
+        self.idf, self.length = idf, length
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(idf)))])
 
     def sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """For each example the sum of weight * value over the terms."""
+        """For each example the sum of its weights times those given, over the terms."""
         first, last = self.starts[terms], self.starts[terms + 1]
         spans = list(zip(first.tolist(), last.tolist(), strict=True))
         if not spans:
-            return np.zeros(self.size)
-        value = np.concatenate([self.value[a:b] for a, b in spans])
-        value *= np.repeat(weights, last - first)
-        return np.bincount(np.concatenate([self.row[a:b] for a, b in spans]), value, self.size)
+            return np.zeros(len(self.length))
+        value = self.weight[np.concatenate([self.count[a:b] for a, b in spans])]
+        value *= np.repeat(weights * self.idf[terms], last - first)
+        return np.bincount(np.concatenate([self.row[a:b] for a, b in spans]), value, len(self.length)) / self.length
 
 
 class Index:
@@ -150,8 +155,12 @@ class Index:
         often = column[term] >= 0
         dense = np.zeros((size, len(frequent)))
         dense[row[often], column[term[often]]] = value[often]
-        # examples of one language or kind come together: by their weightiest frequent word
-        order = np.lexsort((-dense.max(axis=1), dense.argmax(axis=1))) if len(frequent) else np.arange(size)
+        # examples of one language or kind come together: by their weightiest word that several of them share
+        shared = np.flatnonzero(held[term] > SHARED * size)
+        shared = shared[np.lexsort((value[shared], row[shared]))]
+        kind, weight = np.full(size, -1), np.zeros(size)
+        kind[row[shared]], weight[row[shared]] = term[shared], value[shared]  # the last, the weightiest, stays
+        order = np.lexsort((-weight, kind))
         place = np.empty(size, np.int64)
         place[order] = np.arange(size)
         self.ids, self.toxic, self.weights = ids[order], toxic[order].astype(float), weights[order]
@@ -159,19 +168,18 @@ class Index:
         dense = dense[order]
         self.blocks = [np.ascontiguousarray(dense[a : a + BLOCK].T) for a in self.cuts]
         self.most = np.stack([b.max(axis=1) for b in self.blocks], axis=1) if self.blocks else np.zeros((len(frequent), 0))
-        self.rare = Postings(term[~often], place[row[~often]], value[~often], len(self.vocabulary), size)
+        self.rare = Postings(term[~often], place[row[~often]], count[~often], self.idf, length[order])
         self.prior = float((self.weights * self.toxic).sum() / max(self.weights.sum(), 1e-12))
         bad = max(int(toxic.sum()), 1)
         z, marks = _marks(np.bincount(term, toxic[row], len(held)), held, bad, max(size - bad, 1), state["least"])
         self.mark = np.zeros(len(held))
         self.mark[marks] = z[marks] - 3
         use = self.mark[term] > 0
-        self.marked = Postings(term[use], place[row[use]], value[use], len(held), size)
+        self.marked = Postings(term[use], place[row[use]], count[use], self.idf, length[order])
         self.families = {(f & (1 << 40) - 1).to_bytes(f >> 40): i for i, f in enumerate(state["families"].tolist())}
         self.family_mark = state["family_mark"]
         self.family_idf = np.log((1 + size) / (1 + state["family_held"])) + 1
-        own = (1 + np.log(state["kin_count"].astype(float))) * self.family_idf[state["kin"]] / length[state["kin_row"]]
-        self.kin = Postings(state["kin"], place[state["kin_row"]], own, len(self.families), size)
+        self.kin = Postings(state["kin"], place[state["kin_row"]], state["kin_count"], self.family_idf, length[order])
 
     def vector(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """Terms and weights of a text's unit vector, and its length before."""
