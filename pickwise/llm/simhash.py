@@ -92,42 +92,48 @@ def spanning_links(fp: np.ndarray, table: np.ndarray, max_bits: int) -> list[tup
 
 
 def links(prints: DataFrame, max_bits: int, segments: int, tile: int) -> DataFrame:
-    """Edges (u, v) between ``rep`` of near fingerprints: as many as connect
-    what is linked. ``prints``: one row (fp, rep) per distinct fingerprint."""
+    """Edges (u, v) between near fingerprints: as many as connect what is
+    linked. ``prints``: one row (fp) per distinct fingerprint."""
     masks = np.array(bucket_masks(max_bits, segments), np.uint64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         refs, odd = pivots(), np.uint64(0x9E3779B97F4A7C15)
         for batch in slices(batches, rows=4096):
             fp = batch.column("fp").to_numpy().view(np.uint64)
-            rep = batch.column("rep").to_numpy()
             table = np.bitwise_count(fp[:, None] ^ refs).astype(np.uint8)
             table = pa.array([row.tobytes() for row in table], pa.binary())
             for t, mask in enumerate(masks):
                 key = (fp & mask) * odd + np.uint64(t)  # odd factor: equal keys of a table are equal bits
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("fp"), pa.array(rep), table], ["key", "fp", "rep", "table"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("fp"), table], ["key", "fp", "table"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, "tile"):
             if group.num_rows < 2:
                 continue
             fp = group.column("fp").to_numpy().view(np.uint64)
-            rep = group.column("rep").to_numpy()
             table = np.frombuffer(b"".join(group.column("table").to_pylist()), np.uint8).reshape(-1, PIVOTS).astype(np.int16)
             found = spanning_links(fp, table, max_bits)
             if found:
-                u = np.repeat([rep[i] for i, _ in found], [len(j) for _, j in found])
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(rep[np.concatenate([j for _, j in found])])], ["u", "v"])
+                own = fp.view(np.int64)
+                u = np.repeat([own[i] for i, _ in found], [len(j) for _, j in found])
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(own[np.concatenate([j for _, j in found])])], ["u", "v"])
 
-    dealt = prints.filter("rep is not null").mapInArrow(deal, "key long, fp long, rep long, table binary")
+    dealt = prints.select("fp").mapInArrow(deal, "key long, fp long, table binary")
     counts = dealt.groupBy("key").count().filter("count > 1")
     tiles = F.expr(f"cast((count + {tile - 1}) div {tile} as int)")
     placed = dealt.join(counts, "key").withColumn("tiles", tiles).withColumn("own", F.pmod(F.hash("fp"), F.col("tiles")))
-    placed = placed.select("key", "fp", "rep", "table", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    placed = placed.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("tile"), "fp", "rep", "table")
+    placed = placed.select("key", "fp", "table", "own", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    placed = placed.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("tile"), "fp", "table")
     return placed.repartition("tile").sortWithinPartitions("tile").mapInArrow(link, "u long, v long")
 
 
+def _unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 def near_duplicates(documents: DataFrame, shingle_words: int = 3, max_bits: int = 3, segments: int = 5, tile: int = 16384) -> DataFrame:
     """Group documents (doc_id, text; other columns are ignored) whose SimHash
     fingerprints are linked by ``max_bits`` or fewer differing bits.
@@ -137,14 +143,17 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 3, max_bits: int
     ``tile`` fingerprints are split into tiles that meet pairwise.
 
     Null, empty and blank texts have fingerprint 0 and are linked like any
-    other. Repeated rows share fingerprint and component. A document with a
-    null id never names a component: it gets that of equal fingerprints with
-    an id, else null. An empty table gives no rows.
+    other. Very long texts count whole. Repeated rows share fingerprint and
+    component. A document with a null id links others like any, but never names
+    a component: where no document of it has an id, that is null. An empty table
+    gives no rows.
     """
     docs = stored(fingerprints(documents, shingle_words), "simhash")
     prints = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
     roots = components(links(prints, max_bits, segments, tile))
-    named = prints.join(roots, prints["rep"] == roots["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = rooted.join(least, "root").select("fp", "component_id")
     return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -156,9 +165,10 @@ def keep_one(documents: DataFrame, shingle_words: int = 3, max_bits: int = 3) ->
     named = stored(near_duplicates(documents, shingle_words, max_bits).select("doc_id", "component_id"), "simhash-groups")
     ids = named.filter("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"), F.count(F.lit(1)).alias("n"))
     ids = stored(ids.filter("stays = 0 or n > 1"), "simhash-removed")
-    key = F.col("doc_id").cast("long")
-    single = documents.withColumn("_key", key).join(ids.select(F.col("doc_id").alias("_key")), "_key", "left_anti").drop("_key")
-    again = documents.withColumn("_key", key).join(ids.filter("stays = 1").select(F.col("doc_id").alias("_key")), "_key", "left_semi")
-    first = Window.partitionBy("_key").orderBy(F.col("text").asc_nulls_first())
-    again = again.withColumn("_turn", F.row_number().over(first)).filter("_turn = 1").drop("_key", "_turn")
+    key, turn = _unused(documents, "id_of_row"), _unused(documents, "turn_of_row")
+    keyed = documents.withColumn(key, F.col("doc_id").cast("long"))
+    removed, repeated = (x.select(F.col("doc_id").alias(key)) for x in (ids, ids.filter("stays = 1")))
+    single = keyed.join(removed, key, "left_anti").drop(key)
+    first = Window.partitionBy(key).orderBy(F.col("text").asc_nulls_first())
+    again = keyed.join(repeated, key, "left_semi").withColumn(turn, F.row_number().over(first)).filter(F.col(turn) == 1).drop(key, turn)
     return single.unionByName(again)

@@ -146,6 +146,25 @@ def test_simhash_matches_brute_force(spark, odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_simhash_links_through_rows_without_an_id(spark, monkeypatch):
+    prints = {1: 0xDB3DB18888D8A39A, None: 0xDB1DB18888D8839A, 2: 0xDB1DB18A88C8839A, 3: 0}
+    rows = [(i, p - (1 << 64) if p >> 63 else p) for i, p in prints.items()]
+    monkeypatch.setattr(simhash, "fingerprints", lambda documents, words: documents)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, fp long")).collect()}
+    assert got == {i: (f"{p:016x}", 3 if i == 3 else 1) for i, p in prints.items()}
+    alone = spark.createDataFrame([(None, 7), (None, 6), (5, -1)], "doc_id long, fp long")
+    assert sorted(str(r.component_id) for r in simhash.near_duplicates(alone).collect()) == ["5", "None", "None"]
+
+
+def test_simhash_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, BASE), (1, BASE + " x"), (2, BASE), (3, "other text"), (None, BASE)], "doc_id long, text string")
+    names = ["_key", "_turn", "id_of_row", "Turn_Of_Row", "key", "fp", "rep", "root", "component_id"]
+    kept = simhash.keep_one(df.selectExpr("*", *[f"'{n}' AS {n}" for n in names]))
+    assert kept.columns == ["doc_id", "text", *names]
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("1", BASE), ("3", "other text"), ("None", BASE)]
+    assert all(tuple(r)[2:] == tuple(names) for r in kept.collect())
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     pairs = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5), (2000, 1001)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
