@@ -154,12 +154,18 @@ class Model:
         return out
 
     def calibrate(self, own: list[tuple[str, float]]) -> None:
-        """``own``: (language, cross-entropy under it) of documents not counted."""
-        for lang in self.languages:
-            h = np.array([x for name, x in own if name == lang])
-            if len(h) >= 20:
-                mean, spread = float(np.median(h)), float(max(np.percentile(h, 84) - np.median(h), 0.01 * np.median(h)))
-                self.usual[lang] = (mean, spread, 2 * max(4.0, float((np.percentile(h, 99.5) - mean) / spread)))
+        """``own``: (language, cross-entropy under it) of documents not counted.
+        A language with under 20 of them has their own median (without any, that of
+        all), and spread and limit from all languages' distances from their medians."""
+        by = {lang: np.array([x for name, x in own if name == lang]) for lang in self.languages}
+        pooled = np.concatenate([h - np.median(h) for h in by.values() if len(h)]) if own else np.zeros(0)
+        for lang, h in by.items():
+            if not own:
+                continue
+            mean = float(np.median(h if len(h) else [x for _, x in own]))
+            away = h - mean if len(h) >= 20 else pooled
+            spread = float(max(np.percentile(away, 84), 0.01 * abs(mean), 1e-6))
+            self.usual[lang] = (mean, spread, 2 * max(4.0, float(np.percentile(away, 99.5) / spread)))
 
 
 def grams_of(text: str | None) -> Counter[str]:
@@ -219,7 +225,10 @@ def identify(documents: DataFrame, folds: int = 5, held_out: int = 0, max_docs:
     rejection); with ``carry`` also ``row``, the whole input row.
 
     Learns from documents with non-null lang and text whose crc32(id) mod
-    ``folds`` isn't ``held_out``. Texts that are null or hold no letter, and
+    ``folds`` isn't ``held_out``; one in eight of them calibrates rejection, for
+    languages with under 20 such documents together with those of all languages
+    (without any, nothing is rejected). Of languages at one entropy the first by
+    name is predicted; very long texts count whole. Texts that are null or hold no letter, and
     all texts where there is nothing to learn from, are ``und`` with score 0.
     Rows with a null id are predicted but not learned from and not held out;
     repeated rows are predicted each; other columns are ignored; an empty table

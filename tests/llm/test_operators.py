@@ -228,6 +228,17 @@ def test_language_models_are_distributions():
         assert np.allclose(np.exp(m._log_probability(grams, langid.ORDER)).sum(axis=0), 1, atol=1e-4)
 
 
+def test_small_languages_reject_foreign_text(spark):
+    alphabets = {"x": "abcdefgh", "y": "mnopqrst"}
+    r = random.Random(3)
+    text = lambda letters: " ".join("".join(r.choices(letters, weights=range(len(letters), 0, -1), k=r.randint(2, 7))) for _ in range(60))
+    docs = [(i, text(alphabets["xy"[i % 2]]), "xy"[i % 2]) for i in range(60)]
+    foreign = [(1000 + i, text("abMNwvzuéü"), None) for i in range(20)]
+    rows = {r.doc_id: r for r in langid.identify(spark.createDataFrame(docs + foreign, "doc_id long, text string, lang string")).collect()}
+    assert all(rows[i].lang_pred == lang and rows[i].score > 0.5 for i, _, lang in docs)
+    assert all(rows[i].score < 0.01 for i, _, _ in foreign)
+
+
 def test_language_id(spark, odd):
     rows = langid.identify(odd, max_docs=100).collect()
     assert len(rows) == len(ODD)
