@@ -7,6 +7,7 @@ Every query derives the GTFS-shaped bundle tables from the star tables at
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pickwise.plans import oracle_sql as O
 from pickwise.plans.materialize import materialize, scratch_folder
 from pickwise.plans.report import report
 from pickwise.session import session_key
+from pickwise.sources import store
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
 
@@ -76,6 +78,32 @@ def q_bundle_tables(spark, sf_dir):
     return T.bundle_tables(_t(spark, sf_dir), ["pick_a"]).stop_times
 
 
+# ---- the bundle store --------------------------------------------------------
+
+@register("store_two_bundles", O.STORE_TWO_BUNDLES)
+def q_store_two_bundles(spark, sf_dir):
+    """pick_b, a first pick_a without its odd services, then pick_a as it is, each
+    written to the store; what the store then holds, checked against its manifests."""
+    t = _t(spark, sf_dir)
+    root = scratch_folder(spark, "store")
+    store.write_bundle(t, root, "pick_b")
+    store.write_bundle(replace(t, trips=t.trips.where("service_id not in ('S1', 'S3', 'S5')"), ridership=None), root, "pick_a")
+    store.write_bundle(t, root, "pick_a")
+    return store.verify(spark, root)
+
+
+@register("store_trips_by_service", O.STORE_TRIPS_BY_SERVICE)
+def q_store_trips_by_service(spark, sf_dir):
+    """Trips and stop times a service of a store in which pick_a was written before
+    pick_b and only pick_b is asked for."""
+    t = _t(spark, sf_dir)
+    root = scratch_folder(spark, "store")
+    store.write_bundles(t, root, ["pick_a", "pick_b"])
+    b = store.load_bundles(spark, root, ["pick_b"], ["trips", "stop_times"])
+    return (b.trips.join(b.stop_times, ["bundle", "trip_id"]).groupBy("bundle", "service_id")
+            .agg(F.count_distinct("trip_id").alias("n_trips"), F.count(F.lit(1)).alias("n_stop_times")))
+
+
 # ---- service calendar and representative days (C04-C09) ----------------------
 
 @register("calendar_dates_fixed", O.calendar_fixed(literal=False))

@@ -82,6 +82,7 @@ def load_tables(spark: SparkSession, root: str, bundles=None, names=None) -> Gtf
 def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files: int | None = None) -> None:
     """Write each table partitioned by bundle (the layout ``load_tables`` reads).
 
+    ``overwrite`` replaces the bundles that ``tables`` hold and no others.
     ``files``: spread each table over about this many files so a scan has at
     least that many tasks. Only tables keyed by trip are moved for it: they
     keep each trip's rows in one file, as GTFS feeds list a trip's stop times
@@ -94,7 +95,7 @@ def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files:
                   else df.hint("rebalance"))
         w = df.write.mode(mode)
         if "bundle" in df.columns:
-            w = w.partitionBy("bundle")
+            w = w.partitionBy("bundle").option("partitionOverwriteMode", "dynamic")
         w.parquet(f"{root}/{name}")
 
     # independent jobs: the small tables fill the cores that a larger one leaves idle
