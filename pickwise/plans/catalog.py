@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pickwise.plans import oracle_sql as O
 from pickwise.plans.materialize import materialize, scratch_folder
 from pickwise.plans.report import report
 from pickwise.session import session_key
-from pickwise.sources import store
+from pickwise.sources import gtfs_text, store
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
 
@@ -104,6 +105,47 @@ def q_store_trips_by_service(spark, sf_dir):
             .agg(F.count_distinct("trip_id").alias("n_trips"), F.count(F.lit(1)).alias("n_stop_times")))
 
 
+# ---- text feeds ------------------------------------------------------------------
+
+def _feeds(spark, sf_dir):
+    """The fixture written as text feeds and read back. pick_b lists its columns in
+    another order, has no calendar_dates, and every fortieth order's first stop
+    time is malformed in one of four ways."""
+    t = _t(spark, sf_dir)
+    root = scratch_folder(spark, "feeds")
+    gtfs_text.write_feed(t, root, "pick_a")
+    backwards = {n: [c for c in reversed(cols) if c in df.columns] for n, cols in gtfs_text.TEXT_SCHEMAS.items() if (df := getattr(t, n)) is not None}
+    others = [n for n in gtfs_text.TEXT_SCHEMAS if n not in ("calendar_dates", "stop_times")]
+    gtfs_text.write_feed(t, root, "pick_b", others, backwards)
+    fault = F.when(F.col("stop_sequence") == 1, F.substring("trip_id", 2, 20).cast("long") % 40).otherwise(-1)
+    fields = {"trip_id": F.when(fault == 13, F.lit("")).otherwise(F.col("trip_id")),
+              "stop_sequence": F.when(fault == 11, F.lit("first")).otherwise(F.col("stop_sequence").cast("string"))}
+    line = F.concat_ws(",", *[F.coalesce(fields.get(c, F.col(c).cast("string")), F.lit("")) for c in backwards["stop_times"]])
+    line = F.when(fault == 3, F.concat(line, F.lit(",9"))).when(fault == 7, F.substring_index(line, ",", 3)).otherwise(line)
+    # one text column under the header's name, so that nothing is quoted
+    rows = t.stop_times.where("bundle = 'pick_b'").select(line.alias(",".join(backwards["stop_times"])))
+    rows.write.option("header", True).option("sep", "\u0001").csv(f"{root}/pick_b/stop_times.txt")
+    return gtfs_text.read_feeds(spark, root)
+
+
+@register("feed_tables", O.FEED_TABLES)
+def q_feed_tables(spark, sf_dir):
+    sizes = [df.groupBy("bundle").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                                      F.count_distinct(gtfs_text.TEXT_KEYS[name][0]).alias("n_keys"))
+             for name, df in _feeds(spark, sf_dir).tables.items()]
+    return reduce(DataFrame.unionByName, sizes).select("bundle", "table_name", "n_rows", "n_keys")
+
+
+@register("feed_stop_times", O.FEED_STOP_TIMES)
+def q_feed_stop_times(spark, sf_dir):
+    return _feeds(spark, sf_dir).tables.stop_times.select("bundle", "trip_id", "arrival_time", "departure_time", "stop_id", "stop_sequence", "timepoint")
+
+
+@register("feed_quarantine", O.FEED_QUARANTINE)
+def q_feed_quarantine(spark, sf_dir):
+    return _feeds(spark, sf_dir).quarantine.groupBy("bundle", "table_name", "reason", "column_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # ---- service calendar and representative days (C04-C09) ----------------------
 
 @register("calendar_dates_fixed", O.calendar_fixed(literal=False))
