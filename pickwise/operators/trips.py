@@ -8,7 +8,7 @@ trip's rows before the shuffle (feeds are usually clustered by trip).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions.clock import clock_minutes
@@ -29,18 +29,26 @@ def trip_profile(stop_times: DataFrame, with_stops: bool = False, with_text: boo
     Materialize it once (``plans.materialize``) when several operators run
     on the same bundles: they all read it instead of re-shuffling stop_times.
     """
-    seq = F.col("stop_sequence")
-    arr = F.col("arrival_time")
-    m = F.col("_arr_min")
-    first_order = F.when(arr.isNotNull(), seq)
-    aggs = [F.min(seq).alias("min_seq"), F.max(seq).alias("max_seq"),
+    aggs = profile_aggregates()
+    if with_text:
+        first_order = F.when(F.col("arrival_time").isNotNull(), F.col("stop_sequence"))
+        aggs.append(F.min_by("arrival_time", first_order).alias("first_arrival"))
+    if with_stops:
+        aggs.append(F.array_sort(F.collect_set("stop_id")).alias("stop_ids"))
+    return with_minutes(stop_times).groupBy("bundle", "trip_id").agg(*aggs)
+
+
+def with_minutes(stop_times: DataFrame) -> DataFrame:
+    """stop_times with ``_arr_min``: the clock text is parsed once per row, before the partial aggregate."""
+    return stop_times.withColumn("_arr_min", clock_minutes(F.col("arrival_time")))
+
+
+def profile_aggregates() -> list[Column]:
+    """The fixed-width columns of ``trip_profile``, over ``with_minutes`` rows of a trip."""
+    seq, m = F.col("stop_sequence"), F.col("_arr_min")
+    first_order = F.when(F.col("arrival_time").isNotNull(), seq)
+    return [F.min(seq).alias("min_seq"), F.max(seq).alias("max_seq"),
             F.min_by(m, seq).alias("start_min"),
             F.max_by(m, seq).alias("end_min"),
             F.min_by(m, first_order).alias("first_min"),
             F.count(F.lit(1)).alias("stop_rows")]
-    if with_text:
-        aggs.append(F.min_by(arr, first_order).alias("first_arrival"))
-    if with_stops:
-        aggs.append(F.array_sort(F.collect_set("stop_id")).alias("stop_ids"))
-    # the clock text is parsed once per row, before the partial aggregate
-    return stop_times.withColumn("_arr_min", clock_minutes(arr)).groupBy("bundle", "trip_id").agg(*aggs)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pickwise.operators import matching, ridership, routes, schedule, service, stops, variants
+from pickwise.operators import matching, patterns, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
 from pickwise.plans.materialize import materialize, scratch_folder
 from pickwise.plans.report import report
@@ -268,6 +268,31 @@ def q_compare_stop_lists(spark, sf_dir):
     return stops.compare_stop_lists(stops.stop_list(t.trips, t.stop_times, t.stops), "pick_a", "pick_b")
 
 
+# ---- the pattern dictionary ----------------------------------------------------
+
+@register("pattern_sizes", O.PATTERN_SIZES)
+def q_pattern_sizes(spark, sf_dir):
+    return patterns.fold(_t(spark, sf_dir).stop_times).sizes()
+
+
+@register("pattern_stops", O.PATTERN_STOPS)
+def q_pattern_stops(spark, sf_dir):
+    """The patterns spelled out: how many patterns hold a stop at a place."""
+    return (patterns.fold(_t(spark, sf_dir).stop_times).stops.groupBy("bundle", "stop_sequence", "stop_id")
+            .agg(F.count(F.lit(1)).alias("n_patterns")))
+
+
+@register("stop_list_from_patterns", O.STOP_LIST)
+def q_stop_list_from_patterns(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return patterns.stop_list_of_patterns(t.trips, patterns.fold(t.stop_times), t.stops)
+
+
+@register("report_stop_list_folded", O.titled(O.COMPARE_STOP_LISTS))
+def q_report_stop_list_folded(spark, sf_dir):
+    return report(_t(spark, sf_dir), "pick_a", "pick_b", folded=True)["stop_list"]
+
+
 # ---- route summary (C22-C28) ----------------------------------------------------
 
 def _route_summary(spark, sf_dir):
