@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pickwise.functions.rule_table import match_rules
 from pickwise.functions.rules import Rule, first_match
 from pickwise.plans.materialize import materialize
 
@@ -111,6 +112,15 @@ def ridership_overrides(ridership: DataFrame, rules=OVERRIDE_RULES, literal: boo
     return ridership.where(keep).withColumn("gtfsid", fixed)
 
 
+def override_by_table(ridership: DataFrame, rules: DataFrame, literal: bool = False, tolerance: float = 0.0) -> DataFrame:
+    """C48 with rules from a table (``functions.rule_table``) of any size, mileposts
+    within a tolerance: the columns and rows of ``ridership_overrides``."""
+    keep = (F.col("gtfsid") != "0") if literal else (F.col("gtfsid").isNull() | (F.col("gtfsid") != "0"))
+    found = match_rules(ridership.where(keep), rules, tolerance)
+    value = F.when(F.col("rule_value").isNotNull(), F.concat("rule_value", "dir")).otherwise(F.col("gtfsid"))
+    return found.withColumn("gtfsid", value).drop("rule_value")
+
+
 def reference_ids(precleaned: DataFrame, year: str = DEFAULT_YEAR, months=DEFAULT_MONTHS,
                   literal: bool = False) -> DataFrame:
     """Known ids of the reference period, per (stop_name, route, dir).

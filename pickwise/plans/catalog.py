@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pickwise.functions.rule_table import rule_table
 from pickwise.operators import matching, patterns, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
 from pickwise.plans.materialize import materialize, scratch_folder
@@ -20,7 +21,7 @@ from pickwise.plans.report import report
 from pickwise.session import session_key
 from pickwise.sources import gtfs_text, store
 from pickwise.sources import tables as T
-from pickwise.sources.star_fixture import fixture_rename_rules, star_to_gtfs
+from pickwise.sources.star_fixture import fixture_override_rules, fixture_rename_rules, star_to_gtfs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -423,6 +424,16 @@ def q_ridership_overrides(spark, sf_dir):
     return _pre(spark, sf_dir)
 
 
+@register("override_rule_table", O.OVERRIDE_RULE_TABLE)
+def q_override_rule_table(spark, sf_dir):
+    return ridership.override_by_table(_rid(spark, sf_dir), fixture_override_rules(spark, sf_dir), tolerance=0.05)
+
+
+@register("override_rules_as_table", O.RIDERSHIP_OVERRIDES)
+def q_override_rules_as_table(spark, sf_dir):
+    return ridership.override_by_table(_rid(spark, sf_dir), rule_table(spark, ridership.OVERRIDE_RULES))
+
+
 @register("reference_ids", O.REFERENCE_IDS)
 def q_reference_ids(spark, sf_dir):
     return ridership.reference_ids(_pre(spark, sf_dir), REF_YEAR, REF_MONTHS)

@@ -280,3 +280,21 @@ def fixture_rename_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.lit(1000).alias("priority"), "stop_name",
                     F.lit(None).cast("array<string>").alias("routes_in"),
                     F.lit(None).cast("array<string>").alias("routes_not_in"), "new_name"))
+
+
+def fixture_override_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data-derived override rules, over two for each part: by milepost within the
+    default tolerance, by route, and for every fifth part a wide one that goes first."""
+    k, name = F.col("p_partkey"), F.col("p_name")
+    none, number = F.lit(None).cast("array<string>"), F.lit(None).cast("double")
+    route = lambda c: F.concat(F.lit("R"), c.cast("string"))
+
+    def rules(parts, priority, names, routes, routes_not, milepost, tolerance, letter):
+        return parts.select(priority.cast("long").alias("priority"), names.alias("stop_names"), none.alias("route_names"), routes.alias("routes"), routes_not.alias("routes_not"),
+                            milepost.cast("double").alias("milepost"), tolerance.cast("double").alias("tolerance"), F.concat(F.lit(letter), k.cast("string")).alias("value"))
+
+    parts = _stop_parts(spark, sf_dir)
+    by_post = rules(parts, k * 3, F.array(name), none, none, F.lit(0.02) + (k % 6 + 1) * 1.5, number, "M")
+    by_route = rules(parts, k * 3 + 1, F.array(name), F.array(route(k % 25), route((k + 1) % 25)), none, number, number, "Q")
+    wide = rules(parts.where(k % 5 == 0), k - 1_000_000, F.array(name, F.concat(name, F.lit(" (Local)"))), none, F.array(route(k % 3)), F.lit(3.0), F.lit(1.6), "W")
+    return by_post.unionByName(by_route).unionByName(wide)
