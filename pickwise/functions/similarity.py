@@ -51,11 +51,20 @@ def sim_start_end(a_start, a_end, b_start, b_end) -> Column:
     return F.when(_c(a_start).eqNullSafe(_c(b_start)) & _c(a_end).eqNullSafe(_c(b_end)), F.lit(1.0)).otherwise(F.lit(0.0))
 
 
+# White space that goes at the ends of a headsign: blank, tab, line and page ends, separators, no-break space.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
+
+def folded_headsign(c) -> Column:
+    """A headsign without white space at its ends, in lower case."""
+    return F.lower(F.trim(_c(c), F.lit(BLANKS)))
+
+
 def sim_headsign(a, b) -> Column:
     """Trimmed, case-folded equality; a missing headsign scores 0."""
     a, b = _c(a), _c(b)
     return (F.when(a.isNull() | b.isNull(), F.lit(0.0))
-            .when(F.lower(F.trim(a)) == F.lower(F.trim(b)), F.lit(1.0)).otherwise(F.lit(0.0)))
+            .when(folded_headsign(a) == folded_headsign(b), F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
 def sim_ratio(a, b) -> Column:
@@ -73,3 +82,21 @@ def weighted(scores: dict[str, Column], weights: dict[str, float]) -> Column:
         term = F.lit(w) * scores[k]
         total = term if total is None else total + term
     return total
+
+
+def most_stop_set(n_a, n_b) -> Column:
+    """What ``sim_stop_set`` is at most, from the sizes of the two sets."""
+    a, b = _c(n_a), _c(n_b)
+    return F.when((a == 0) & (b == 0), F.lit(1.0)).otherwise(F.least(a, b) / F.greatest(a, b))
+
+
+def most_shape(length_a, length_b) -> Column:
+    """What ``sim_shape`` is at most, from the total lengths of the two lines."""
+    a, b = _c(length_a), _c(length_b)
+    return (F.when(a.isNull() | b.isNull(), F.lit(0.0))
+            .when(F.greatest(a, b) > 0, F.least(a, b) / F.greatest(a, b)).otherwise(F.lit(0.0)))
+
+
+def line_length(segments) -> Column:
+    """Total length of a line's segments; null without a line."""
+    return F.when(_c(segments).isNotNull(), _seg_total(_c(segments)))

@@ -387,6 +387,18 @@ def q_variant_matches_v1(spark, sf_dir):
     return m.withColumn("score", _shown("score"))
 
 
+@register("variant_matches_bounded", O.variant_matches(2))
+def q_variant_matches_bounded(spark, sf_dir):
+    m = matching.bounded_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=2)
+    return m.withColumn("score", _shown("score"))
+
+
+@register("variant_matches_bounded_v1", O.variant_matches(1))
+def q_variant_matches_bounded_v1(spark, sf_dir):
+    m = matching.bounded_matches(_variant_table(spark, sf_dir), "pick_a", "pick_b", version=1)
+    return m.withColumn("score", _shown("score"))
+
+
 @register("variant_table_of_routes", O.VARIANT_TABLE_OF_ROUTES)
 def q_variant_table_of_routes(spark, sf_dir):
     t = _t(spark, sf_dir)
