@@ -112,27 +112,36 @@ class Index:
     the score is then the votes' own share."""
 
     def __init__(self, ids: np.ndarray, toxic: np.ndarray, weights: np.ndarray, words: list[tuple[np.ndarray, np.ndarray]], families: list[tuple[np.ndarray, np.ndarray]], least: int = 5):
+        self.__setstate__(Index.packed(ids, toxic, weights, words, families, least))
+
+    @staticmethod
+    def packed(ids: np.ndarray, toxic: np.ndarray, weights: np.ndarray, words: list[tuple[np.ndarray, np.ndarray]], families: list[tuple[np.ndarray, np.ndarray]], least: int = 5) -> dict:
+        """The examples' terms and counts, from which an index is made."""
         sizes = np.array([len(k) for k, _ in words], np.int64)
         none = sizes == 0
         base = float((weights * toxic).sum() / max(weights.sum(), 1e-12))
         without = float(((weights * toxic)[none].sum() + base) / (weights[none].sum() + 1.0))
         kept = np.flatnonzero(~none)
-        joined = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        vocabulary, term = np.unique(joined([words[i][0] for i in kept], np.int64), return_inverse=True)
-        found, kin = np.unique(joined([families[i][0] for i in kept], np.int64), return_inverse=True)
-        kin_row = np.repeat(np.arange(len(kept)), [len(families[i][0]) for i in kept])
+        label, bad = toxic[kept].astype(np.int8), max(int(toxic[kept].sum()), 1)
+        joined = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         # of the families only those that mark the toxic class are of use
-        bad = max(int(toxic[kept].sum()), 1)
-        kin_held = np.bincount(kin, minlength=len(found))
-        z, marks = _marks(np.bincount(kin, toxic[kept][kin_row], len(found)), kin_held, bad, max(len(kept) - bad, 1), least)
-        number = np.full(len(found), -1)
-        number[marks] = np.arange(len(marks))
-        use = number[kin] >= 0
-        self.__setstate__({
-            "without": without, "least": least, "ids": ids[kept], "toxic": toxic[kept].astype(np.int8), "weights": weights[kept].astype(float),
-            "vocabulary": vocabulary, "sizes": sizes[kept].astype(np.int32), "term": term.astype(np.int32), "count": _narrow(joined([words[i][1] for i in kept], np.int64)),
-            "families": found[marks], "family_held": kin_held[marks], "family_mark": z[marks] - 3,
-            "kin": _narrow(number[kin[use]]), "kin_row": kin_row[use].astype(np.int32), "kin_count": _narrow(joined([families[i][1] for i in kept], np.int64)[use])})
+        kin = joined([families[i][0] for i in kept])
+        found, held = np.unique(kin, return_counts=True)
+        own = np.zeros(len(found), np.int64)
+        some, times = np.unique(joined([families[i][0] for i in kept[label == 1]]), return_counts=True)
+        own[np.searchsorted(found, some)] = times
+        z, marks = _marks(own, held, bad, max(len(kept) - bad, 1), least)
+        found, held, z = found[marks], held[marks], z[marks]
+        use = np.flatnonzero(np.isin(kin, found))
+        kin_row = np.searchsorted(np.cumsum([len(families[i][0]) for i in kept]), use, "right").astype(np.int32)
+        kin_count = joined([families[i][1] for i in kept])[use]
+        kin = np.searchsorted(found, kin[use])
+        vocabulary, term = np.unique(joined([words[i][0] for i in kept]), return_inverse=True)
+        return {
+            "without": without, "least": least, "ids": ids[kept], "toxic": label, "weights": weights[kept].astype(float),
+            "vocabulary": vocabulary, "sizes": sizes[kept].astype(np.int32), "term": term.astype(np.int32), "count": _narrow(joined([words[i][1] for i in kept])),
+            "families": found, "family_held": held, "family_mark": z - 3,
+            "kin": _narrow(kin), "kin_row": kin_row, "kin_count": _narrow(kin_count)}
 
     def __getstate__(self) -> dict:
         """The examples' terms and counts; what follows from them is worked out where they arrive."""
@@ -142,13 +151,14 @@ class Index:
         self.state = state
         ids, toxic, weights, sizes, term, count = (state[k] for k in ("ids", "toxic", "weights", "sizes", "term", "count"))
         self.without, self.vocabulary, size = state["without"], state["vocabulary"], len(ids)
-        row = np.repeat(np.arange(size), sizes)
+        row = np.repeat(np.arange(size, dtype=np.int32), sizes)
         held = np.bincount(term, minlength=len(self.vocabulary))
         self.unknown = float(np.log(1 + size) + 1)
         self.idf = np.log((1 + size) / (1 + held)) + 1
-        value = (1 + np.log(count.astype(float))) * self.idf[term]
-        length = np.sqrt(np.bincount(row, value**2, size))
-        value = value / length[row]
+        value = (1 + np.log(np.maximum(np.arange(int(count.max()) + 1 if len(count) else 1), 1)))[count]
+        value *= self.idf[term]
+        length = np.sqrt(np.bincount(row, value * value, size))
+        value /= length[row]
         frequent = np.flatnonzero(held > FREQUENT * size)
         column = np.full(len(self.vocabulary), -1, np.int32)
         column[frequent] = np.arange(len(frequent))
@@ -160,13 +170,15 @@ class Index:
         shared = shared[np.lexsort((value[shared], row[shared]))]
         kind, weight = np.full(size, -1), np.zeros(size)
         kind[row[shared]], weight[row[shared]] = term[shared], value[shared]  # the last, the weightiest, stays
+        del shared, value
         order = np.lexsort((-weight, kind))
-        place = np.empty(size, np.int64)
+        place = np.empty(size, np.int32)
         place[order] = np.arange(size)
         self.ids, self.toxic, self.weights = ids[order], toxic[order].astype(float), weights[order]
         self.column, self.cuts = column, np.arange(0, size, BLOCK)
         dense = dense[order]
         self.blocks = [np.ascontiguousarray(dense[a : a + BLOCK].T) for a in self.cuts]
+        del dense
         self.most = np.stack([b.max(axis=1) for b in self.blocks], axis=1) if self.blocks else np.zeros((len(frequent), 0))
         self.rare = Postings(term[~often], place[row[~often]], count[~often], self.idf, length[order])
         self.prior = float((self.weights * self.toxic).sum() / max(self.weights.sum(), 1e-12))
@@ -329,8 +341,9 @@ def train(documents: DataFrame, labels: DataFrame, max_examples: int, max_bytes:
         use = sorted(first.values(), key=lambda i: (ids[i], alike[i]))
         sizes = np.bincount(toxic[use], minlength=2)
         weights = np.array([totals[int(t)][0] / sizes[t] for t in toxic[use]])
-        index = Index(ids[use], toxic[use], weights / weights.mean(), [words[i] for i in use], [families[i] for i in use], least)
-        state = pickle.dumps(index.state, protocol=5)
+        state = Index.packed(ids[use], toxic[use], weights / weights.mean(), [words[i] for i in use], [families[i] for i in use], least)
+        del got, words, families
+        state = pickle.dumps(state, protocol=5)
         yield pa.RecordBatch.from_pydict({"part": pa.array(range(0, len(state), PART), pa.int64()), "state": pa.array([state[i : i + PART] for i in range(0, len(state), PART)], pa.binary())})
 
     # the drawn rows are few, whatever the input: one task makes the index of their counts
@@ -369,6 +382,7 @@ class Sent:
     def __setstate__(self, state: bytes) -> None:
         self.index = Index.__new__(Index)
         self.index.__setstate__(pickle.loads(state))
+        self.index.state = None  # not sent on from here
 
 
 def _lists(keys: pa.ChunkedArray, counts: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
