@@ -32,19 +32,38 @@ SHAPE_KEY = ["bundle", "shape_id"]
 GROUP_KEY = ["bundle", "route_id", "daytype", "direction_id"]
 
 
+def of_routes(df: DataFrame, route_filter=None) -> DataFrame:
+    """Rows of the wanted routes: None (all), a list of route ids, or a regular expression."""
+    if route_filter is None:
+        return df
+    if isinstance(route_filter, str):
+        return df.where(F.col("route_id").rlike(route_filter))
+    return df.where(F.col("route_id").isin(list(route_filter)))
+
+
 def variants(trips: DataFrame, route_filter=None) -> DataFrame:
     """Distinct (bundle, route_id, shape_id) with a shape.
 
     ``route_filter``: None, a list of route ids, or a regular expression.
     """
-    t = trips.where(F.col("shape_id").isNotNull())
-    if isinstance(route_filter, str):
-        t = t.where(F.col("route_id").rlike(route_filter))
-    elif route_filter is not None:
-        t = t.where(F.col("route_id").isin(list(route_filter)))
+    t = of_routes(trips.where(F.col("shape_id").isNotNull()), route_filter)
     return t.select("bundle", "route_id", "shape_id").distinct()
 
 
+def reduce_to_routes(trips: DataFrame, stop_times: DataFrame, route_filter) -> tuple[DataFrame, DataFrame]:
+    """The trips and stop times that profiling the wanted routes' shapes needs.
+
+    Routes to shapes to trips to stop times, a semi-join each. A shape's
+    numbers count its trips on any route, so trips of other routes on the
+    wanted shapes stay. Both reduced keys are stored first (a job each): the
+    planner then knows their bytes, broadcasts small ones and filters the
+    stop_times scan by them before anything is aggregated or moved.
+    """
+    shapes = materialize(variants(trips, route_filter).select(*SHAPE_KEY).distinct())
+    kept = materialize(trips.join(shapes, SHAPE_KEY, "left_semi"))
+    return kept, stop_times.join(kept.select("bundle", "trip_id"), ["bundle", "trip_id"], "left_semi")
+
+
 def first_stop_in_windows(stop_times: DataFrame, windows=SCHOOL_WINDOWS) -> DataFrame:
     """Per trip: are all its ``stop_sequence == 1`` departures inside the
     windows (seconds of day, hour modulo 24)? Only first-stop rows are read."""
@@ -199,18 +218,16 @@ def variant_metrics(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, c
     metric and the routes listing the shape; only the shapes' first trips
     meet stop_times for the stop pattern. The per-shape table is stored first
     (a job), so the planner knows its size in bytes and broadcasts a small one
-    into the stop_times join.
+    into the stop_times join. A ``route_filter`` narrows trips and stop times
+    before anything is profiled (``reduce_to_routes``).
     """
+    if route_filter is not None:
+        trips, stop_times = reduce_to_routes(trips, stop_times, route_filter)
     stats = materialize(variant_trip_stats(trips, calendar, first_stop_in_windows(stop_times, school_windows)))
     pattern = variant_stop_pattern(stats, stop_times, stops)
     per_shape = (stats.join(pattern, SHAPE_KEY, "left")
                  .withColumn("stop_count", F.coalesce("stop_count", F.lit(0).cast("long"))))
-    out = per_shape.withColumn("route_id", F.explode("route_ids")).drop("route_ids")
-    if isinstance(route_filter, str):
-        out = out.where(F.col("route_id").rlike(route_filter))
-    elif route_filter is not None:
-        out = out.where(F.col("route_id").isin(list(route_filter)))
-    return out
+    return of_routes(per_shape.withColumn("route_id", F.explode("route_ids")).drop("route_ids"), route_filter)
 
 
 def variant_table(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, calendar: DataFrame,
