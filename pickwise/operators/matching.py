@@ -20,7 +20,7 @@ METRICS = ["shape_id", "stop_ids", "segments", "start_stop", "end_stop", "headsi
 
 
 def variant_pairs(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2,
-                  weights: dict | None = None, salts: int = 8, carry: tuple = ()) -> DataFrame:
+                  weights: dict | None = None, salts: int = 8, carry: tuple = (), track: DataFrame | None = None) -> DataFrame:
     """Score every candidate pair (a in bundle_a, b in bundle_b) of a group.
 
     ``version=1`` is the first scorer (no geometry), ``version=2`` adds the
@@ -28,7 +28,9 @@ def variant_pairs(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2,
     are spread over ``salts`` parts of their group and meet a copy of
     bundle_b's in each, so a group holding a large share of all variants
     forms its pairs in that many tasks. ``carry`` names further columns of
-    bundle_b's variants to hand on (with the suffix ``_b``).
+    bundle_b's variants to hand on (with the suffix ``_b``). ``track``: the
+    pairs' shape overlap as of ``overlap.shared_track``, used instead of whole
+    shared segments.
     """
     def side(bundle, sfx, more=()):
         return vt.where(F.col("bundle") == bundle).select(
@@ -40,9 +42,17 @@ def variant_pairs(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2,
     cond = ((a["_salt_a"] == b["_salt_b"]) & (a["route_id_a"] == b["route_id_b"]) & a["direction_id_a"].eqNullSafe(b["direction_id_b"])
             & (a["daytype_a"] == b["daytype_b"]))
     p = a.join(b, cond)
+    overlap = sim_shape("segments_a", "segments_b")
+    if track is not None:
+        t = track.select(*[F.col(c).alias(f"{c}_t") for c in [*PAIR_KEY, "shape_id_a", "shape_id_b", "shape_similarity"]])
+        same = (F.col("shape_id_a") == F.col("shape_id_a_t")) & (F.col("shape_id_b") == F.col("shape_id_b_t"))
+        for k in PAIR_KEY:
+            same = same & F.col(f"{k}_a").eqNullSafe(F.col(f"{k}_t"))
+        p = p.join(t, same, "left")
+        overlap = F.coalesce("shape_similarity_t", F.lit(0.0))
     comps = {
         "stop_set_similarity": sim_stop_set("stop_ids_a", "stop_ids_b"),
-        "shape_similarity": sim_shape("segments_a", "segments_b"),
+        "shape_similarity": overlap,
         "startend": sim_start_end("start_stop_a", "end_stop_a", "start_stop_b", "end_stop_b"),
         "headsign": sim_headsign("headsign_a", "headsign_b"),
         "trip_ratio": sim_ratio("trip_count_a", "trip_count_b"),
@@ -57,18 +67,18 @@ def variant_pairs(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2,
 
 
 def variant_matches(vt: DataFrame, bundle_a: str, bundle_b: str, version: int = 2, min_score: float = 0.0,
-                    weights: dict | None = None, tie_digits: int = 6) -> DataFrame:
+                    weights: dict | None = None, tie_digits: int = 6, track: DataFrame | None = None) -> DataFrame:
     """Best counterpart in bundle_b of every bundle_a variant, plus the
     variants left over on either side.
 
     ``status``: ``matched``; ``removed`` (a variant of bundle_a with no
     candidate scoring at least ``min_score``); ``added`` (a bundle_b variant
     that is nobody's best match). Scores equal to ``tie_digits`` decimals (9 at
-    most) tie and go to the smallest shape id.
+    most) tie and go to the smallest shape id. ``track`` as in ``variant_pairs``.
     """
     by_shape = Window.partitionBy("bundle", *PAIR_KEY).orderBy("shape_id")
     ranked = vt.withColumn("rank", F.row_number().over(by_shape))
-    pairs = (variant_pairs(ranked, bundle_a, bundle_b, version, weights, carry=("rank",))
+    pairs = (variant_pairs(ranked, bundle_a, bundle_b, version, weights, carry=("rank",), track=track)
              .where(F.col("score") >= min_score))
     # Best candidate per variant as an aggregate, not a window: the pair rows
     # are folded map-side (partial min_by) right where the join produces them,
