@@ -10,16 +10,16 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pickwise.functions.rule_table import rule_table
-from pickwise.operators import matching, patterns, ridership, routes, schedule, service, stops, variants
+from pickwise.operators import matching, overlap, patterns, quality, ridership, routes, schedule, service, stops, variants
 from pickwise.plans import oracle_sql as O
 from pickwise.plans.materialize import materialize, scratch_folder
 from pickwise.plans.report import report
 from pickwise.session import session_key
-from pickwise.sources import gtfs_text, store
+from pickwise.sources import gtfs_text, sinks, store
 from pickwise.sources import tables as T
 from pickwise.sources.star_fixture import fixture_override_rules, fixture_rename_rules, star_to_gtfs
 
@@ -147,6 +147,38 @@ def q_feed_quarantine(spark, sf_dir):
     return _feeds(spark, sf_dir).quarantine.groupBy("bundle", "table_name", "reason", "column_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# ---- what loading loses or multiplies (Q31, Q32) ----------------------------------
+
+def _faulty(spark, sf_dir):
+    """The fixture with routes of two agencies and repeated routes, doubled stop
+    sequences at unknown stops, and a bundle of trips alone."""
+    t = _t(spark, sf_dir)
+    nk = F.substring("route_id", 2, 20).cast("long")
+    routes = t.routes.select("bundle", "route_id", "agency_id")
+    routes = routes.unionByName(routes.where(nk % 5 == 3).withColumn("agency_id", F.lit("AG9"))).unionByName(routes.where(nk % 4 == 3))
+    ok = F.substring("trip_id", 2, 20).cast("long")
+    times = t.stop_times.select("bundle", "trip_id", "stop_sequence", "stop_id")
+    times = times.unionByName(times.where((ok % 53 == 0) & (F.col("stop_sequence") <= 2)).withColumn("stop_id", F.lit("ST0")))
+    trips = t.trips.select("bundle", "route_id", "trip_id")
+    alone = trips.where(ok % 31 == 0).withColumns({"bundle": F.lit("pick_c"), "trip_id": F.concat(F.lit("U"), "trip_id")})
+    return trips.unionByName(alone), routes, times, t.stops
+
+
+@register("quality_counts", O.QUALITY_COUNTS)
+def q_quality_counts(spark, sf_dir):
+    return quality.quality_counts(*_faulty(spark, sf_dir))
+
+
+@register("load_losses", O.LOAD_LOSSES)
+def q_load_losses(spark, sf_dir):
+    """Counts that come with writing the loaded trips and stop times, without a job of their own."""
+    trips, routes, times, _ = _faulty(spark, sf_dir)
+    of_trips, of_times = Observation(), Observation()
+    materialize(quality.watched_trips(trips, routes, of_trips))
+    materialize(quality.watched_stop_times(times, trips, of_times))
+    return spark.createDataFrame(list((of_trips.get | of_times.get).items()), "metric string, n_rows long")
+
+
 # ---- service calendar and representative days (C04-C09) ----------------------
 
 @register("calendar_dates_fixed", O.calendar_fixed(literal=False))
@@ -399,6 +431,19 @@ def q_variant_matches_bounded_v1(spark, sf_dir):
     return m.withColumn("score", _shown("score"))
 
 
+@register("shared_track", O.SHARED_TRACK)
+def q_shared_track(spark, sf_dir):
+    t = overlap.shared_track(_variant_table(spark, sf_dir), "pick_a", "pick_b")
+    return t.withColumns({c: _shown(c) for c in ("shared", "length_a", "length_b", "shape_similarity")})
+
+
+@register("variant_pairs_track", O.VARIANT_PAIRS_TRACK)
+def q_variant_pairs_track(spark, sf_dir):
+    vt = _variant_table(spark, sf_dir)
+    p = matching.variant_pairs(vt, "pick_a", "pick_b", track=overlap.shared_track(vt, "pick_a", "pick_b"))
+    return p.withColumns({c: _shown(c) for c in [*matching.WEIGHTS_V2, "score"]})
+
+
 @register("variant_table_of_routes", O.VARIANT_TABLE_OF_ROUTES)
 def q_variant_table_of_routes(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -418,6 +463,34 @@ for _part, _sql in (("route_summary", O.COMPARE_ROUTE_SUMMARIES), ("stop_list",
     register(f"report_{_part}", O.titled(_sql))(_report(_part))
 
 
+# ---- sinks (IO5, IO8, O1, PF11) ----------------------------------------------------
+
+def _stop_lists(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return stops.stop_list(t.trips, t.stop_times, t.stops)
+
+
+@register("sink_csv_round_trip", O.SINK_CSV)
+def q_sink_csv_round_trip(spark, sf_dir):
+    """The compared stop lists written as sorted CSV with blanks for nulls, as read back from there."""
+    out = stops.compare_stop_lists(_stop_lists(spark, sf_dir), "pick_a", "pick_b")
+    path = scratch_folder(spark, "sink")
+    sinks.write_checked(out, path, "csv", order_by=["route_id", "direction_id", "stop_id"], fill_empty=True)
+    return sinks.read_dataset(out, path, "csv")
+
+
+@register("sink_receipts", O.SINK_RECEIPTS)
+def q_sink_receipts(spark, sf_dir):
+    """The stop lists in each format, sorted over all files or within a folder a bundle."""
+    out = materialize(_stop_lists(spark, sf_dir))
+    made = []
+    for fmt, layout in (("csv", "sorted"), ("csv", "folders"), ("parquet", "sorted"), ("parquet", "folders"), ("orc", "sorted")):
+        r = sinks.write_checked(out, scratch_folder(spark, "sink"), fmt, partition_by=["bundle"] if layout == "folders" else None,
+                                order_by=["route_id", "stop_id", "direction_id"])
+        made.append((fmt, layout, r.rows_written, r.rows_read, r.same_rows, r.disorder))
+    return spark.createDataFrame(made, "fmt string, layout string, rows_written long, rows_read long, same_rows boolean, disorder long")
+
+
 # ---- ridership id repair (C48-C54) ---------------------------------------------------
 
 REF_YEAR, REF_MONTHS = "2000", ("9", "10", "11", "12")
