@@ -15,6 +15,11 @@ that, else all that remains; inside an article only branches with a class or id
 are whole classes and ids; where no other article has text, they don't drop
 what holds the one with most of the text, and never an outermost article; ids
 of headings and sections inside don't count.
+
+A page is read in one pass whose work grows with its length, however deeply it
+is nested: a judged element points to the judged element it lies in, a block
+to the innermost one, and what is under an element is hashed as a stretch of a
+running hash of the blocks.
 """
 
 from __future__ import annotations
@@ -35,6 +40,9 @@ from pickwise.llm.url_filter import host_and_path
 MIN_PAGES = 4
 LOW = 0.2
 GAMMA = 0.9
+# The running hash of a page's blocks: a polynomial over a Mersenne prime.
+PRIME = (1 << 61) - 1
+BASE = 0x1F3A5C7E9B2D4F61 % PRIME
 
 # Element kinds of HTML, and names that mark boilerplate.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,7 +57,8 @@ ROLES = set("navigation banner contentinfo complementary search form dialog aler
 NAMES = set(
     "ad ads adv advert adverts advertisement adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert"
     " sidebar nav navbar navigation menu breadcrumb breadcrumbs header masthead footer comment comments disqus reply replies respond share sharing"
-    " social related recommended newsletter subscribe subscription signup popup modal overlay pagination pager widget login search toolbar".split())
+    " social related recommended newsletter subscribe subscription signup popup modal overlay pagination pager widget login search toolbar"
+    " site-header site-footer site-nav page-header page-footer main-nav comment-list comments-area comments-section commentlist".split())
 SECTIONS = set("section hgroup h1 h2 h3 h4 h5 h6".split())
 # A start tag closes the open element of its group inside the nearest of the group's containers.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"})}
@@ -61,10 +70,12 @@ RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I) for tag in RAW
 
 
 class Element:
-    __slots__ = ("children", "dropped", "first", "judged", "main", "named", "path", "tag")
+    """An open element. ``at``: the innermost judged element it is or lies in."""
+
+    __slots__ = ("at", "children", "dropped", "first", "judged", "main", "named", "path", "tag")
 
-    def __init__(self, tag: str, path: int, dropped: bool, main: bool, judged: bool, first: int, named: bool = False):
-        self.tag, self.path, self.dropped, self.main, self.judged, self.first, self.named = tag, path, dropped, main, judged, first, named
+    def __init__(self, tag: str, path: int, dropped: bool, main: bool, judged: bool, first: int, named: bool = False, at: int = -1):
+        self.tag, self.path, self.dropped, self.main, self.judged, self.first, self.named, self.at = tag, path, dropped, main, judged, first, named, at
         self.children: list[str] = []
 
 
@@ -98,16 +109,21 @@ def _named_boilerplate(tag: str, has: dict[str, str], in_main: bool) -> bool:
 
 
 class Page:
-    """One pass over a page. ``blocks``: (text, inside a marked article, judged
-    nodes it is under) in page order, without branches that say they are
-    boilerplate; ``nodes``: (node, style of its children, content) of each
-    judged element; ``article``: an article tag has text; ``lost``: one lies in
+    """One pass over a page. ``blocks``: (text, inside a marked article,
+    innermost judged element it is under or -1) in page order, without branches
+    that say they are boilerplate; ``paths`` and ``ups``: node of each judged
+    element and the judged element it lies in (or -1), outer ones first;
+    ``nodes``: (node, style of its children, content) of each of them that has
+    text; ``article``: an article tag has text; ``lost``: one lies in
     a branch dropped by its name.
     With ``spare`` names count inside an article only."""
 
     def __init__(self, html: str, spare: bool = False):
         self.spare, self.lost, self.article = spare, False, False
-        self.blocks: list[tuple[str, bool, list[int]]] = []
+        self.blocks: list[tuple[str, bool, int]] = []
+        self.paths: list[int] = []
+        self.ups: list[int] = []
+        self.sums = [0]
         self.nodes: list[tuple[int, int, int]] = []
         self.parts: list[str] = []
         self.stack = [Element("", 0, False, False, False, 0)]
@@ -118,9 +134,14 @@ class Page:
         if self.parts:
             if text := " ".join("".join(self.parts).split()):
                 self.article |= self.open["article"] > 0
-                self.blocks.append((text, self.stack[-1].main, [e.path for e in self.stack if e.judged]))
+                self.blocks.append((text, self.stack[-1].main, self.stack[-1].at))
+                self.sums.append((self.sums[-1] * BASE + _hash(text)) % PRIME)
             self.parts.clear()
 
+    def _content(self, first: int) -> int:
+        """Hash of the blocks from ``first`` on: equal for equal blocks wherever they stand."""
+        return (self.sums[-1] - self.sums[first] * pow(BASE, len(self.blocks) - first, PRIME)) % PRIME
+
     def _close(self) -> None:
         e = self.stack[-1]
         if e.tag in BLOCK and not e.dropped:
@@ -128,7 +149,7 @@ class Page:
         self.stack.pop()
         self.open[e.tag] -= 1
         if e.judged and len(self.blocks) > e.first:
-            self.nodes.append((e.path, _hash(" ".join(e.children)), _hash("\n".join(b[0] for b in self.blocks[e.first :]))))
+            self.nodes.append((e.path, _hash(" ".join(e.children)), self._content(e.first)))
 
     def _close_to(self, tags: set[str], within: set[str]) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
@@ -165,7 +186,10 @@ class Page:
         dropped = says or named
         judged = tag in BLOCK and not (dropped or holds or tag in ("html", "body")) and (not up.main or "class" in has or "id" in has)
         path = _hash(f"{up.path}/{style}") if tag in BLOCK else up.path
-        self.stack.append(Element(tag, path, dropped, not dropped and (up.main or holds), judged, len(self.blocks), named))
+        if judged:
+            self.paths.append(path)
+            self.ups.append(up.at)
+        self.stack.append(Element(tag, path, dropped, not dropped and (up.main or holds), judged, len(self.blocks), named, len(self.paths) - 1 if judged else up.at))
 
     def _read(self, html: str) -> None:
         at, size = 0, len(html)
@@ -188,6 +212,12 @@ class Page:
             if tag == "br":
                 if not self.stack[-1].dropped:
                     self.parts.append(" ")
+            elif tag == "hr":
+                # a break between blocks, without anything in it
+                if self.open["p"]:
+                    self._close_to({"p"}, {"button", "td", "th", "caption", "object"})
+                if not self.stack[-1].dropped:
+                    self._flush()
             elif m[1] or m[4]:
                 if self.open[tag] > 0:
                     self._close_to({tag}, set())
@@ -216,46 +246,63 @@ def read_page(html: str) -> Page:
     return page
 
 
-def chosen_blocks(blocks: list[tuple[str, bool, list[int]]]) -> list[tuple[str, bool, list[int]]]:
-    """The blocks inside marked articles where they hold most of the text, else all."""
-    marked = [b for b in blocks if b[1]]
-    return marked if 2 * sum(len(b[0]) for b in marked) > sum(len(b[0]) for b in blocks) else blocks
+def chosen_text(texts: list[str], inside: list[bool], under: list[int], paths: list[int], ups: list[int], low: set[int] | frozenset[int]) -> str:
+    """The blocks outside of all nodes in ``low``, joined by newlines: those
+    inside marked articles where they hold most of the text, else all."""
+    gone = [False]  # of the page itself, which index -1 would mean
+    for path, up in zip(paths, ups, strict=True):
+        gone.append(gone[up + 1] or path in low)
+    kept = [(text, mark) for text, mark, at in zip(texts, inside, under, strict=True) if not gone[at + 1]]
+    marked = [text for text, mark in kept if mark]
+    return "\n".join(marked if 2 * sum(map(len, marked)) > sum(len(text) for text, _ in kept) else [text for text, _ in kept])
 
 
 def main_text(html: str | None, low: frozenset[int] = frozenset()) -> str:
     """Blocks of the main text joined by newlines, without nodes in ``low``."""
-    return "\n".join(text for text, _, _ in chosen_blocks([b for b in read_page(html or "").blocks if low.isdisjoint(b[2])]))
+    page = read_page(html or "")
+    texts, inside, under = (list(x) for x in zip(*page.blocks, strict=True)) if page.blocks else ([], [], [])
+    return chosen_text(texts, inside, under, page.paths, page.ups, low)
 
 
-PARSED = "page_id long, url string, text string, under array<array<long>>, marked array<boolean>, page long, nodes array<struct<node: long, style: long, content: long>>"
+PARSED = "page_id long, url string, texts array<string>, inside array<boolean>, under array<int>, paths array<long>, ups array<int>, page long, nodes array<struct<node: long, style: long, content: long>>"
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """Each page once: its blocks joined by newlines, for each block the judged
-    nodes it is under and whether it is inside a marked article (null where
-    all blocks stay whatever is judged), a hash of the html, and the judged
-    elements."""
+    """Each page once: its blocks with the innermost judged element each is
+    under and whether it is inside a marked article, the judged elements, a hash
+    of the html, and what the style tree needs of the judged elements."""
     node = pa.struct([("node", pa.int64()), ("style", pa.int64()), ("content", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=256):
-            texts, unders, marked, hashes, nodes = [], [], [], [], []
-            for html in batch.column("html").to_pylist():
-                page = read_page(html or "")
-                blocks = page.blocks
-                judged = any(b[2] for b in blocks) or len({b[1] for b in blocks}) > 1
-                texts.append("\n".join(b[0] for b in blocks))
-                unders.append([b[2] for b in blocks] if judged else None)
-                marked.append([b[1] for b in blocks] if judged else None)
-                hashes.append(_hash(html or ""))
-                nodes.append([{"node": n, "style": s, "content": c} for n, s, c in set(page.nodes)])
+            read = [read_page(html or "") for html in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(unders, pa.list_(pa.list_(pa.int64()))), pa.array(marked, pa.list_(pa.bool_())), pa.array(hashes, pa.int64()), pa.array(nodes, pa.list_(node))],
-                ["page_id", "url", "text", "under", "marked", "page", "nodes"])
+                [batch.column("page_id"), batch.column("url"), pa.array([[b[0] for b in p.blocks] for p in read], pa.list_(pa.string())),
+                 pa.array([[b[1] for b in p.blocks] for p in read], pa.list_(pa.bool_())), pa.array([[b[2] for b in p.blocks] for p in read], pa.list_(pa.int32())),
+                 pa.array([p.paths for p in read], pa.list_(pa.int64())), pa.array([p.ups for p in read], pa.list_(pa.int32())),
+                 pa.array([_hash(html or "") for html in batch.column("html").to_pylist()], pa.int64()),
+                 pa.array([[{"node": n, "style": s, "content": c} for n, s, c in set(p.nodes)] for p in read], pa.list_(node))],
+                ["page_id", "url", "texts", "inside", "under", "paths", "ups", "page", "nodes"])
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(run, PARSED)
 
 
+def cut(pages: DataFrame) -> DataFrame:
+    """page_id, url and text of parsed ``pages`` without the nodes in their column ``low`` (null: none)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list | None, set[int]] = (None, set())
+        for batch in slices(batches, rows=256):
+            texts = []
+            for row in batch.select(["texts", "inside", "under", "paths", "ups", "low"]).to_pylist():
+                if row["low"] != held[0]:
+                    held = (row["low"], set(row["low"] or ()))
+                texts.append(chosen_text(row["texts"], row["inside"], row["under"], row["paths"], row["ups"], held[1]))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    return pages.select("page_id", "url", "texts", "inside", "under", "paths", "ups", "low").mapInArrow(run, "page_id long, url string, text string")
+
+
 def importance(nodes: DataFrame) -> DataFrame:
     """(host, node, pages, importance): (1 - g^l) presentation + g^l content
     with l child styles and g = ``GAMMA``. All sums are grouped by hash with
@@ -283,7 +330,9 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> D
     Null or empty html gives an empty text, a null url counts to the host "",
     repeated rows give a row each, and an empty table gives none. Broken
     markup is read leniently: unclosed elements end with their parent, stray
-    end tags are ignored, a tag cut off at the end is dropped.
+    end tags are ignored, a tag cut off at the end is dropped. Very long and
+    very deeply nested pages are read whole, with work that grows with their
+    length. Of blocks half inside and half outside marked articles all stay.
     """
     host, _ = host_and_path(F.col("url"))
     parsed = stored(parse(pages).withColumn("host", F.coalesce(host, F.lit(""))), "pages")
@@ -291,11 +340,5 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, low: float = LOW) -> D
     weak = importance(nodes).filter((F.col("pages") >= min_pages) & (F.col("importance") < low))
     # written first, so the planner knows their size and need not move pages to join them
     removed = stored(weak.groupBy("host").agg(F.collect_set("node").alias("low")), "style-tree")
-    blocks = F.arrays_zip(F.split("text", "\n").alias("block"), F.col("under").alias("at"), F.col("marked").alias("inside"))
-    kept = F.when(F.col("low").isNull(), blocks).otherwise(F.filter(blocks, lambda x: ~F.arrays_overlap(x["at"], F.col("low"))))
-    size = lambda found: F.aggregate(found, F.lit(0), lambda n, x: n + F.length(x["block"]))
-    marked = F.filter("kept", lambda x: x["inside"])
-    chosen = F.when(2 * size(marked) > size(F.col("kept")), marked).otherwise(F.col("kept"))
-    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join(F.transform(chosen, lambda x: x["block"]), "\n"))
-    return parsed.drop("page", "nodes").join(removed, "host", "left").withColumn("kept", kept).select("page_id", "url", text.alias("text")).withColumn(
-        "n_chars", F.length("text").cast("long"))
+    found = cut(parsed.drop("page", "nodes").join(removed, "host", "left"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -346,3 +346,57 @@ def test_marked_part_must_hold_most_of_the_text(spark):
     got = {r.page_id: r.text for r in main_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert body in got[1] and got[2] == body
     assert all(got[i] == main_text.main_text(html) for i, _, html in pages)
+
+
+def test_breaks_and_names_of_a_page():
+    assert main_text.main_text("<p>one</p>two<hr>three") == "one\ntwo\nthree"
+    assert main_text.main_text("<p>a<hr/>b</hr><nav>x<hr>y</nav>") == "a\nb"
+    for name in ("site-header", "comments-area", "comment-list", "page-footer"):
+        assert main_text.main_text(f'<body><p>Body</p><div class="x {name}"><p>gone</p></div></body>') == "Body"
+
+
+def test_deep_pages_take_work_by_their_length():
+    page = main_text.read_page("<div>x" * 20_000)
+    assert len(page.blocks) == len(page.paths) == len(page.ups) == len(page.nodes) == 20_000
+    deep = main_text.read_page("<div>x" * 3 + "</div>" * 3 + "<div>y")
+    assert deep.ups == [-1, 0, 1, -1]
+    assert main_text.main_text("<div>x" * 3 + "</div>" * 3 + "<div>y", frozenset([deep.paths[1]])) == "x\ny"
+    assert main_text.main_text("<div>x" * 3 + "</div>" * 3 + "<p>y", frozenset([deep.paths[0]])) == "y"
+
+
+def test_equal_contents_have_equal_hashes_wherever_they_stand():
+    page = main_text.read_page("<p>z</p><div><p>a</p><p>b</p></div><div><p>a</p><p>b</p></div><div><p>b</p><p>a</p></div><div><p>a b</p></div>")
+    held = [c for n, _, c in page.nodes if n == page.paths[1]]
+    assert held[0] == held[1] and len(set(held)) == 3
+
+
+def test_importance_is_that_of_brute_force(spark):
+
+    rnd = random.Random(3)
+    pages = []
+    for i in range(40):
+        body = "".join(f"<p>{rnd.random()}</p>" for _ in range(rnd.randint(1, 4)))
+        side = rnd.choice(["<b>Offer</b>", "<i>Offer</i>", "<b>Other</b>"])
+        pages.append((i, f"http://h{i % 2}.example/{i}", f'<div class="top">Always</div><div class="mid">{side}</div><div class="text">{body}</div><div class="end">{rnd.choice("ab")}</div>'))
+    pages += [(90, *pages[0][1:]), (91, "http://h9.example/", "<div>alone</div>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    seen = {}
+    for _, url, html in set(pages[:40]) | {pages[-1]}:
+        for node, style, content in main_text.read_page(html).nodes:
+            seen.setdefault((url.split("/")[2], node), []).append((html, style, content))
+    want = {}
+    for key, rows in seen.items():
+        m = len({h for h, *_ in rows})
+        styles, contents = Counter(min(s for h2, s, _ in rows if h2 == h) for h in {h for h, *_ in rows}), Counter(c for _, c in {(h, c) for h, _, c in rows})
+        shown = -sum(k / m * math.log(k / m, m) for k in styles.values()) if m > 1 else 1.0
+        n = sum(contents.values())
+        content = 1 - sum(k / n * math.log(k) for k in contents.values()) / math.log(m) if m > 1 else 1.0
+        weight = main_text.GAMMA ** (len(styles) - 1)
+        want[key] = (m, round((1 - weight) * shown + weight * content, 9))
+    from pyspark.sql import functions as F
+    host = F.split("url", "/")[2]
+    nodes = main_text.parse(df).withColumn("host", host).select("host", "page", F.explode("nodes").alias("x")).select("host", "page", "x.*")
+    assert {(r.host, r.node): (r.pages, round(r.importance, 9)) for r in main_text.importance(nodes).collect()} == want
+    # the branch that is the same everywhere goes, without a telling tag or class; the others stay
+    low = {r.page_id: r.text for r in main_text.extract(df).collect()}
+    assert all("Always" not in low[i] and low[i] for i in range(40)) and low[91] == "alone" and low[90] == low[0]
