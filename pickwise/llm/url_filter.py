@@ -13,9 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pickwise.llm.shared import lower_ascii
+from pickwise.llm.shared import lower_ascii, stored
 
 HASHES = 5
+# A filter has at least MIN_BLOCKS blocks of 64 bits and one for every RULES_A_BLOCK rules.
+MIN_BLOCKS = 2048
+RULES_A_BLOCK = 4
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -42,25 +45,28 @@ def _mask(key: Column) -> Column:
 
 
 def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
-    """One row: ``words``, a 64-bit block per element, for the ``key`` column.
-    A key sets ``HASHES`` bits of a single block."""
-    spark = keys.sparkSession
+    """(block, word): the 64 bits of each block that holds a key of the ``key``
+    column. A key sets ``HASHES`` bits of a single block; blocks not listed are empty."""
     words = keys.select(_block(F.col("key"), blocks).alias("block"), _mask(F.col("key")).alias("mask"))
-    words = words.groupBy("block").agg(F.bit_or("mask").alias("word"))
-    zeros = spark.range(blocks).select(F.col("id").cast("int").alias("block"), F.lit(0).cast("long").alias("word"))
-    words = words.unionByName(zeros).groupBy("block").agg(F.bit_or("word").alias("word"))
-    return words.agg(F.transform(F.sort_array(F.collect_list(F.struct("block", "word"))), lambda x: x["word"]).alias("words"))
+    return words.groupBy("block").agg(F.bit_or("mask").alias("word"))
 
 
-def judge(urls: DataFrame, rules: DataFrame, blocks: int = 2048, default: str = "allow") -> DataFrame:
+def judge(urls: DataFrame, rules: DataFrame, blocks: int | None = None, default: str = "allow") -> DataFrame:
     """Judge each row of ``urls`` (columns ``page_id`` and ``url``; others are ignored).
 
     ``rules`` has host, path, verdict. The longest fitting rule wins (host and
     path together; of equal lengths the longer host). Returns page_id, url,
     host, path, rule (host and path of the rule, else null), verdict
-    (``default`` where no rule fits). The filter has ``blocks`` 64-bit blocks
-    whatever the number of rules, so it is small enough to send everywhere;
-    more rules mean more false positives for the join, never other results.
+    (``default`` where no rule fits).
+
+    The filter has ``blocks`` 64-bit blocks, by default as many as the number
+    of rules asks for (16 bits a rule, about one miss in 200 passes), so the
+    share of false positives stays as rules are added. Rules and filter are
+    stored first (jobs), and the planner sends the filter everywhere while its
+    bytes are under the broadcast threshold, else candidates meet it by block
+    in a shuffle. Other sizes mean more or fewer false positives for the join,
+    never other results. Urls are judged once per host and path, whole,
+    however long.
 
     Null urls and urls without ``://`` have empty host and path and fit no
     rule; a null or empty rule host fits nothing; repeated rules count once
@@ -70,26 +76,23 @@ def judge(urls: DataFrame, rules: DataFrame, blocks: int = 2048, default: str =
     listed = rules.filter("host <> ''").select(
         lower_ascii(F.col("host")).alias("rule_host"), F.coalesce("path", F.lit("")).alias("rule_path"), F.col("verdict").alias("rule_verdict"))
     listed = listed.groupBy("rule_host", "rule_path").agg(F.min("rule_verdict").alias("rule_verdict"))
-    listed = listed.withColumn("key", F.concat("rule_host", "rule_path"))
+    listed = stored(listed.withColumn("key", F.concat("rule_host", "rule_path")), "url-rules")
+    if blocks is None:
+        blocks = max(MIN_BLOCKS, -(-listed.count() // RULES_A_BLOCK))
     shape = listed.agg(
         F.coalesce(F.max(F.size(F.split("rule_host", r"\."))), F.lit(0)).alias("labels"), F.collect_set(F.length("rule_path")).alias("lengths"))
-    words = bloom_blocks(listed, blocks)
+    words = stored(bloom_blocks(listed, blocks), "url-bloom")
 
     host, path = host_and_path(F.col("url"))
     pages = urls.select("page_id", "url").withColumn("host", host).withColumn("path", path)
-    probe = pages.filter("host <> ''").select("host", "path").withColumns(
-        {"labels": shape.select("labels").scalar(), "lengths": shape.select("lengths").scalar(), "words": words.scalar()})
+    probe = pages.filter("host <> ''").select("host", "path").distinct().withColumns(
+        {"labels": shape.select("labels").scalar(), "lengths": shape.select("lengths").scalar()})
     suffixes = F.expr("array_distinct(transform(if(labels > 0, sequence(1, labels), cast(array() as array<int>)), k -> substring_index(host, '.', -k)))")
     prefixes = F.expr("transform(filter(lengths, n -> n <= length(path)), n -> left(path, n))")
-    probe = probe.withColumn("pair", F.flatten(F.transform(suffixes, lambda h: F.transform(
-        prefixes, lambda p: F.struct(h.alias("rule_host"), p.alias("rule_path"), F.concat(h, p).alias("key"))))))
-
-    def may_hold(pair: Column) -> Column:
-        word = F.get(F.col("words"), _block(pair["key"], blocks))
-        return word.bitwiseAND(_mask(pair["key"])) == _mask(pair["key"])
-
-    hits = probe.select("host", "path", F.explode(F.filter("pair", may_hold)).alias("hit"))
-    hits = hits.select("host", "path", "hit.rule_host", "hit.rule_path").distinct()
+    pairs = F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: F.struct(h.alias("rule_host"), p.alias("rule_path"), F.concat(h, p).alias("key")))))
+    pairs = probe.select("host", "path", F.explode(pairs).alias("pair")).select(
+        "host", "path", "pair.rule_host", "pair.rule_path", _block(F.col("pair.key"), blocks).alias("block"), _mask(F.col("pair.key")).alias("mask"))
+    hits = pairs.join(words, "block").filter(F.col("word").bitwiseAND(F.col("mask")) == F.col("mask")).select("host", "path", "rule_host", "rule_path")
     matched = hits.join(listed.drop("key"), ["rule_host", "rule_path"])
     best = F.struct(F.length(F.concat("rule_host", "rule_path")).alias("n"), F.length("rule_host").alias("h"))
     judged = matched.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "rule_verdict"), best).alias("won"))

@@ -91,6 +91,34 @@ def test_urls(spark):
     assert url_filter.judge(df, rules.limit(0)).filter("verdict <> 'allow' or rule is not null").count() == 0
 
 
+def test_url_filter_grows_with_its_rules(spark):
+    from pyspark.sql import functions as F
+
+    def passing(n_rules, blocks):
+        """Of 4,000 keys that no rule has, how many the filter lets through."""
+        words = url_filter.bloom_blocks(spark.range(n_rules).select(F.concat(F.lit("h"), "id", F.lit(".com/")).alias("key")), blocks)
+        keys = spark.range(4000).select(F.concat(F.lit("x"), "id", F.lit(".org/")).alias("key"))
+        keys = keys.select(url_filter._block(F.col("key"), blocks).alias("block"), url_filter._mask(F.col("key")).alias("mask"))
+        return keys.join(words, "block").filter("(word & mask) = mask").count()
+
+    assert max(passing(n, max(url_filter.MIN_BLOCKS, n // url_filter.RULES_A_BLOCK)) for n in (10, 8000, 40_000)) < 80
+    assert passing(40_000, url_filter.MIN_BLOCKS) > 500
+
+
+def test_urls_against_brute_force_over_many_rules(spark):
+    rnd = random.Random(7)
+    hosts = [".".join(rnd.choice("abcdef") for _ in range(rnd.randint(1, 4))) for _ in range(300)]
+    paths = ["", "/", "/a", "/a/b", "/b/", "/a/bc"]
+    rules = {(rnd.choice(hosts), rnd.choice(paths)): rnd.choice(["allow", "block"]) for _ in range(600)}
+    urls = [(i, f"http://{rnd.choice(['', 'x.'])}{rnd.choice(hosts)}{rnd.choice(paths)}{rnd.choice(['', 'c', '/b', '?q', '#a/b'])}") for i in range(1500)]
+    df = spark.createDataFrame(urls, "page_id long, url string")
+    listed = spark.createDataFrame([(h, p, v) for (h, p), v in rules.items()], "host string, path string, verdict string")
+    for blocks in (None, 1):
+        for r in url_filter.judge(df, listed, blocks=blocks).collect():
+            fits = [(len(h + p), len(h), h + p, v) for (h, p), v in rules.items() if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)]
+            assert (r.rule, r.verdict) == (max(fits)[2:] if fits else (None, "allow"))
+
+
 def test_vectors_match_brute_force(spark):
     r = np.random.default_rng(3)
     centres = r.normal(size=(12, 24))
