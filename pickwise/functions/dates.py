@@ -19,9 +19,8 @@ def _c(c) -> Column:
 
 
 def idiv(c, n: int) -> Column:
-    """Integer division truncating toward zero (SQL ``div``; ``/`` is fractional)."""
-    c = _c(c)
-    return ((c - (c % n)) / n).cast("long")
+    """Integer division truncating toward zero, exact for every long (SQL ``div``; ``/`` is a double)."""
+    return F.call_function("div", _c(c).cast("long"), F.lit(n).cast("long"))
 
 
 def year_of(c) -> Column:

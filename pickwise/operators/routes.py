@@ -70,20 +70,27 @@ def route_names(routes: DataFrame) -> DataFrame:
 def route_summary(trips: DataFrame, stop_times: DataFrame, routes: DataFrame, calendar: DataFrame,
                   calendar_dates: DataFrame, dates: DataFrame | None = None, max_minute: int = 1440,
                   periods=PERIODS, services: DataFrame | None = None,
-                  profile: DataFrame | None = None) -> DataFrame:
+                  profile: DataFrame | None = None, literal: bool = False) -> DataFrame:
     """Per route, the busier direction's frequency in each period and the
     sum of both directions' totals. Routes without a routes row keep a null
     name instead of vanishing; names are attached after grouping. Pass
-    ``services`` (``active_services`` output) to reuse it."""
+    ``services`` (``active_services`` output) to reuse it. ``literal=True``
+    drops what has a null among route, long name and direction, as a grouping
+    on these three that leaves out nulls does (Q11)."""
     if services is None:
         services = active_services(calendar, calendar_dates, dates)
     times = trip_times(trips_on_dates(trips, services), trip_first_departure(stop_times, profile), max_minute)
     freq = route_frequencies(route_period_counts(times, periods), periods)
+    if literal:
+        freq = freq.where(F.col("route_id").isNotNull() & F.col("direction_id").isNotNull())
     pcols = [period_column_name(p[0]) for p in periods]
     rolled = (freq.groupBy(*DAY_KEY, "route_id")
               .agg(*[F.max(c).alias(c) for c in pcols],
                    *[F.sum(c).cast("long").alias(c) for c in TOTAL_COLUMNS]))
-    return (rolled.join(route_names(routes), ["bundle", "route_id"], "left")
+    names = route_names(routes)
+    named = (rolled.join(names.where(F.col("route_long_name").isNotNull()), ["bundle", "route_id"]) if literal
+             else rolled.join(names, ["bundle", "route_id"], "left"))
+    return (named
             .select(*DAY_KEY, "route_id", "route_short_name", "route_long_name", *pcols, *TOTAL_COLUMNS))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions.clock import clock_minutes
+from pickwise.plans.materialize import materialize
 
 
 def trip_profile(stop_times: DataFrame, with_stops: bool = False, with_text: bool = False) -> DataFrame:
@@ -22,7 +23,9 @@ def trip_profile(stop_times: DataFrame, with_stops: bool = False, with_text: boo
     ``first_min``: minutes of the first non-null arrival text in sequence
     order; ``stop_rows``: number of stop_times rows. Every one of these is a
     fixed-width buffer, so the aggregate is hash-based (no sort of stop_times).
-    With ``with_text`` also ``first_arrival`` (that text itself); with
+    With ``with_text`` also ``first_arrival`` (that text itself): trips carry
+    its 64-bit hash, and the distinct clock texts, far fewer than stop times,
+    are stored (a job) as the dictionary that turns it back; with
     ``with_stops`` also ``stop_ids``: the trip's distinct stop ids (bounded by
     its stop count).
 
@@ -32,10 +35,15 @@ def trip_profile(stop_times: DataFrame, with_stops: bool = False, with_text: boo
     aggs = profile_aggregates()
     if with_text:
         first_order = F.when(F.col("arrival_time").isNotNull(), F.col("stop_sequence"))
-        aggs.append(F.min_by("arrival_time", first_order).alias("first_arrival"))
+        aggs.append(F.min_by(F.xxhash64("arrival_time"), first_order).alias("_first"))
     if with_stops:
         aggs.append(F.array_sort(F.collect_set("stop_id")).alias("stop_ids"))
-    return with_minutes(stop_times).groupBy("bundle", "trip_id").agg(*aggs)
+    profile = with_minutes(stop_times).groupBy("bundle", "trip_id").agg(*aggs)
+    if with_text:
+        texts = materialize(stop_times.where(F.col("arrival_time").isNotNull()).select("arrival_time").distinct()
+                            .select(F.xxhash64("arrival_time").alias("_first"), F.col("arrival_time").alias("first_arrival")))
+        profile = profile.join(texts, "_first", "left").drop("_first")
+    return profile
 
 
 def with_minutes(stop_times: DataFrame) -> DataFrame:
