@@ -265,6 +265,13 @@ def _schedule(spark, sf_dir):
                              services=_services(spark, sf_dir))
 
 
+@register("clock_parts", O.CLOCK_PARTS)
+def q_clock_parts(spark, sf_dir):
+    """Stop times an hour and minute of the clock, and their first and last service-day minute."""
+    return (schedule.clock_parts(_t(spark, sf_dir).stop_times).groupBy("bundle", "hour", "minute")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min("time_in_minutes").alias("first_min"), F.max("time_in_minutes").alias("last_min")))
+
+
 @register("trip_runtimes", O.TRIP_RUNTIMES)
 def q_trip_runtimes(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -347,6 +354,12 @@ def q_route_summary(spark, sf_dir):
     return _route_summary(spark, sf_dir)
 
 
+@register("route_summary_literal", O.ROUTE_SUMMARY_LITERAL)
+def q_route_summary_literal(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return routes.route_summary(t.trips, t.stop_times, t.routes, t.calendar, t.calendar_dates, services=_services(spark, sf_dir), literal=True)
+
+
 @register("compare_route_summaries", O.COMPARE_ROUTE_SUMMARIES)
 def q_compare_route_summaries(spark, sf_dir):
     return routes.compare_route_summaries(_route_summary(spark, sf_dir), "pick_a", "pick_b")
