@@ -1,7 +1,10 @@
 """Mixing sources to target weights by a low-discrepancy source schedule.
 
 Slot n of the mix gets the golden-ratio point frac(n / phi), in integers:
-(n * A mod 2^31) / 2^31. The points are mapped through the cumulative slot
+(n * A mod 2^31) / 2^31. Each further run of 2^31 slots visits the same points
+moved on by a part of the gap between two of them, the golden-ratio point of
+the run's number, so that points go on filling gaps (2^53 in all) and a source
+narrower than a gap comes up too. The points are mapped through the cumulative slot
 shares of the sources, so every stretch of the schedule holds each source in
 its share. The k-th slot of a source takes the k-th block of ``block_words``
 words of that source's shuffled stream (documents in the order of a hash of
@@ -22,6 +25,8 @@ from pickwise.llm.shared import WORD, stored
 
 POINTS = 1 << 31
 GOLDEN = 1327217885  # POINTS / golden ratio, odd: each run of POINTS slots visits every point once
+RUNS = 1 << 22
+GOLDEN_RUN = 2592175  # RUNS / golden ratio, odd
 GRID = 1024
 STRETCH = 1 << 14
 
@@ -78,7 +83,8 @@ def schedule(targets: DataFrame, block_words: int) -> DataFrame:
     slots = slots.withColumn("point", F.col("slot") % POINTS * GOLDEN % POINTS).withColumn("cell", F.expr(f"point div {POINTS // GRID}"))
     cells = need.select("*", F.explode(F.sequence(
         F.floor(F.col("lo") / F.col("n") * GRID), F.least(F.floor(F.col("hi") / F.col("n") * GRID), F.lit(GRID - 1).cast("long")))).alias("cell"))
-    at = F.col("point") * (F.col("n") / F.lit(float(POINTS)))
+    moved = F.expr(f"slot div {POINTS}") % RUNS * GOLDEN_RUN % RUNS / F.lit(float(RUNS))
+    at = (F.col("point") + moved) * (F.col("n") / F.lit(float(POINTS)))
     # "merge": the planner can't know how many rows a sequence makes, and would send them to every task
     drawn = slots.join(cells.hint("merge"), "cell").filter((at >= F.col("lo")) & (at < F.col("hi")))
     drawn = drawn.select("stretch", "slot", "sid", "n_blocks", "source_size", "goal")

@@ -70,6 +70,16 @@ def test_mix(spark, odd):
     assert mixing.mix(odd.limit(0)).collect() == []
 
 
+def test_mix_reaches_sources_narrower_than_a_point(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "POINTS", 1024)
+    monkeypatch.setattr(mixing, "GOLDEN", 633)
+    sizes = {"a": 40_000, "b": 3, "c": 25_000, "d": 1, "e": 90}
+    df = spark.createDataFrame([(i, prose(n), s) for i, (s, n) in enumerate(sizes.items())], "doc_id long, text string, source string")
+    rows = mixing.mix(df, block_words=4).collect()
+    assert sum(r.target for r in rows) / 4 > 10 * 1024
+    assert all(abs(r.taken - r.target) <= 1 for r in rows)
+
+
 def test_mix_shares_excess_again(spark):
     df = spark.createDataFrame([(i, prose(n), s) for i, (n, s) in enumerate([(1000, "a"), (10, "b"), (500, "c")])], "doc_id long, text string, source string")
     target = {r.source: r.target for r in mixing.mix(df).collect()}
