@@ -6,8 +6,9 @@ rule meets them. Rules with a milepost meet keys in an equi-join on (stop name,
 band): mileposts are cut into bands as wide as the largest tolerance, a rule
 stands in each band its interval touches (three at most), so a busy stop with
 thousands of rules compares a key with those near its milepost alone. Rules
-without one join on the stop name. The smallest priority per key is a partial
-aggregate where the joins make their rows.
+without one join on the stop name. Of rules that ask the same, only the first can
+be met first: they are folded to it before they meet a key, so a join makes no more
+rows than keys times different tests.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pickwise.functions.rules import Rule
+from pickwise.plans.materialize import materialize
 
 KEY = ["stop_name", "route_name", "route", "milepost"]
 RULES = ("priority long, stop_names array<string>, route_names array<string>, routes array<string>, "
@@ -51,16 +53,23 @@ def match_rules(rows: DataFrame, rules: DataFrame, tolerance: float = 0.0) -> Da
     ``milepost``. A null on the row's side of such a test doesn't meet it. Rules
     without names or with a null value or a negative tolerance meet nothing;
     an empty list is met by nothing, an empty ``routes_not`` by every route.
-    Rows keep their number. Runs a small job over the rules for the widest
-    tolerance.
+    Rows keep their number. Runs jobs over the rules and the keys of the rows, and
+    stores the tests with their least priority and the keys.
     """
     r = rules.select("priority", F.array_distinct("stop_names").alias("stop_names"), "route_names", "routes", "routes_not", "milepost",
                      F.coalesce("tolerance", F.lit(float(tolerance))).alias("within"), "value")
     r = r.where("value is not null and (milepost is null or within >= 0)").withColumn("stop_name", F.explode("stop_names")).drop("stop_names").where("stop_name is not null")
-    r = r.withColumn("milepost", F.when(F.col("milepost").isNotNull(), F.coalesce(_usable(F.col("milepost")), F.lit(float("nan")))))
-    placed, free = r.where("milepost is not null and not isnan(milepost)"), r.where("milepost is null").drop("milepost", "within")
-    width = placed.agg(F.max(F.when(F.col("within") < 1e12, F.col("within")))).first()[0] or 1.0
-    keys = rows.select(*KEY).where("stop_name is not null").distinct()
+    r = r.withColumn("milepost", F.when(F.col("milepost").isNotNull(), F.coalesce(_usable(F.col("milepost")), F.lit(float("nan"))))).where("milepost is null or not isnan(milepost)")
+    lists = [F.array_sort(F.array_distinct(c)).alias(c) for c in ("route_names", "routes", "routes_not")]
+    # equal structs have nulls in the same places
+    r = r.select(F.struct("stop_name", *lists, "milepost", F.when(F.col("milepost").isNotNull(), F.col("within")).alias("within")).alias("test"), "priority", "value")
+    # a minimum of numbers is taken by hash; that of texts sorts, and meets the first rules alone
+    first = materialize(r.groupBy("test").agg(F.min("priority").alias("priority")))
+    same = F.col("f.test").eqNullSafe(F.col("r.test")) & F.col("f.priority").eqNullSafe(F.col("r.priority"))
+    r = r.alias("r").join(first.alias("f"), same, "left_semi").groupBy("test", "priority").agg(F.min("value").alias("value")).select("test.*", "priority", "value")
+    placed, free = r.where("milepost is not null"), r.where("milepost is null").drop("milepost", "within")
+    width = first.agg(F.max(F.when(F.col("test.within") < 1e12, F.col("test.within")))).first()[0] or 1.0
+    keys = materialize(rows.select(*KEY).where("stop_name is not null").distinct())
     low, high = (_band(F.col("milepost") + s * F.least("within", F.lit(width)), width, s * 1e-6) for s in (-1, 1))
     placed = placed.withColumn("band", F.explode(F.sequence(low, high))).withColumnsRenamed({"milepost": "at"})
     near = (keys.withColumn("band", _band(_usable(F.col("milepost")), width)).join(placed, ["stop_name", "band"])
