@@ -8,11 +8,13 @@ stands in each band its interval touches (three at most), so a busy stop with
 thousands of rules compares a key with those near its milepost alone. Rules
 without one join on the stop name. Of rules that ask the same, only the first can
 be met first: they are folded to it before they meet a key, so a join makes no more
-rows than keys times different tests.
+rows than keys times different tests. What is found, a row a key, is measured before
+rows meet it: while it can be broadcast they aren't shuffled.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +43,18 @@ def _usable(milepost: Column) -> Column:
     return F.when(~F.isnan(milepost) & (F.abs(milepost) < 1e12), milepost)
 
 
+def _broadcast_bytes(spark) -> int:
+    """The session's limit for tables that are broadcast without being asked for."""
+    n, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()).groups()
+    return int(n) << {"k": 10, "m": 20, "g": 30}.get(unit[:1], 0)
+
+
+def _bytes(df: DataFrame) -> int:
+    """About the bytes of the rows of a table in memory. Runs a job."""
+    text = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns])
+    return df.agg(F.coalesce(F.sum(text + 16 + 16 * len(df.columns)), F.lit(0))).first()[0]
+
+
 def match_rules(rows: DataFrame, rules: DataFrame, tolerance: float = 0.0) -> DataFrame:
     """``rows`` (with stop_name, route_name, route, milepost) and ``rule_value``:
     the value of the rule of least priority that a row meets, of several at one
@@ -81,5 +95,7 @@ def match_rules(rows: DataFrame, rules: DataFrame, tolerance: float = 0.0) -> Da
     found = [x.where(met).select(*KEY, "priority", "value") for x in (near, keys.join(free, "stop_name"))]
     best = found[0].unionByName(found[1]).groupBy(*KEY).agg(F.min(F.struct("priority", "value")).alias("rule"))
     named = best.select(*[F.col(c).alias(f"_{c}") for c in KEY], F.col("rule.value").alias("rule_value"))
+    if _bytes(named) <= _broadcast_bytes(rows.sparkSession):
+        named = F.broadcast(named)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY])
     return rows.join(named, same, "left").drop(*[f"_{c}" for c in KEY])
