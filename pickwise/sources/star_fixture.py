@@ -80,30 +80,44 @@ def _trips(base: DataFrame) -> DataFrame:
     )
 
 
+def _timed(visits: DataFrame) -> DataFrame:
+    """Visits (an order's columns and ``seq``) with the minute and the stop."""
+    ok, nk, seq, pat = F.col("ok"), F.col("nk"), F.col("seq"), F.col("pat")
+    shift = F.when((F.col("bundle") == PICK_B) & (nk % 5 == 0), F.lit(1)).otherwise(F.lit(0))
+    sm = F.when(nk % 4 == 1, 420 + (ok * 7) % 110).otherwise((ok * 37) % 1560)
+    return (visits.withColumn("arr_min", sm + (seq - 1) * (5 + ok % 4))
+            .withColumn("stop_key", idiv(F.col("ck"), 100) * 100 + (nk * 4 + seq * (1 + pat) + shift) % 100))
+
+
+def _visits(spark, sf_dir, base: DataFrame) -> DataFrame:
+    """A row per line item of each order. Lines of an order differ in ``seq`` alone
+    (1 to their number), so they are counted before they meet the order."""
+    n = _read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    orders = base.select("ok", "ck", "nk", "bundle", "direction_id", "pat")
+    return _timed(orders.join(n, F.col("l_orderkey") == F.col("ok")).withColumn("seq", F.explode(F.sequence(F.lit(1), "n"))))
+
+
 def _lines(spark, sf_dir, base: DataFrame) -> DataFrame:
+    """The visits with what their line item holds."""
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_shipdate")
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_shipdate")
-    ok, nk, seq, pat = F.col("ok"), F.col("nk"), F.col("seq"), F.col("pat")
-    shift = F.when((F.col("bundle") == PICK_B) & (nk % 5 == 0), F.lit(1)).otherwise(F.lit(0))
-    sm = F.when(nk % 4 == 1, 420 + (ok * 7) % 110).otherwise((ok * 37) % 1560)
-    return (li.withColumn("seq", F.row_number().over(w))
-            .join(base, F.col("l_orderkey") == ok)
-            .withColumn("arr_min", sm + (seq - 1) * (5 + ok % 4))
-            .withColumn("stop_key", idiv(F.col("ck"), 100) * 100 + (nk * 4 + seq * (1 + pat) + shift) % 100))
+    li = li.withColumn("seq", F.row_number().over(w)).drop("l_linenumber", "l_partkey", "l_suppkey")
+    orders = base.select("ok", "ck", "nk", "bundle", "direction_id", "pat")
+    return _timed(li.join(orders, F.col("l_orderkey") == F.col("ok")))
 
 
 def _clock(minutes):
     return F.concat(_two_digits(idiv(minutes, 60)), F.lit(":"), _two_digits(minutes % 60), F.lit(":00"))
 
 
-def _stop_times(lines: DataFrame) -> DataFrame:
+def _stop_times(visits: DataFrame) -> DataFrame:
     ok, seq = F.col("ok"), F.col("seq")
     clock = _clock(F.col("arr_min"))
-    return lines.select(
+    return visits.select(
         "bundle",
         F.concat(F.lit("T"), ok.cast("string")).alias("trip_id"),
         F.concat(F.lit("ST"), F.lpad(F.col("stop_key").cast("string"), 9, "0")).alias("stop_id"),
@@ -248,13 +262,12 @@ def _ridership(spark: SparkSession, lines: DataFrame, parts: DataFrame) -> DataF
 
 
 def star_to_gtfs(spark: SparkSession, sf_dir: str) -> GtfsTables:
-    """Build every GTFS-shaped table of both picks from the star tables at ``sf_dir``."""
+    """Every GTFS-shaped table of both picks from the star tables at ``sf_dir``. What
+    all tables of orders are made of is stored; a table is computed where it is used."""
     from pickwise.plans.materialize import materialize
 
-    # base and lines feed several tables each: cut their lineage once.
     base = materialize(_base(spark, sf_dir))
     trips = _trips(base)
-    lines = materialize(_lines(spark, sf_dir, base))
     parts = _stop_parts(spark, sf_dir)
     bundle_dates = _bundle_dates(base)
     return GtfsTables(
@@ -266,8 +279,8 @@ def star_to_gtfs(spark: SparkSession, sf_dir: str) -> GtfsTables:
         shapes=None,
         shape_reference=_shape_reference(parts),
         stops=_stops(parts),
-        stop_times=_stop_times(lines),
-        ridership=_ridership(spark, lines, parts),
+        stop_times=_stop_times(_visits(spark, sf_dir, base)),
+        ridership=_ridership(spark, _lines(spark, sf_dir, base), parts),
     )
 
 
