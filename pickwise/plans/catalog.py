@@ -34,17 +34,48 @@ def register(name: str, sql: str | None):
     return deco
 
 
-_FIXTURES: dict[tuple[str, str], T.GtfsTables] = {}
+class StoredTables:
+    """The GTFS tables derived from ``sf_dir``, each an attribute: stored as Parquet
+    partitioned by bundle when a query first asks for it, so that a query waits for
+    the tables it reads alone. Every query scans what was stored."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._root = spark, scratch_folder(spark, "bundles")
+        self._made = star_to_gtfs(spark, sf_dir)
+
+    def only(self, names) -> T.GtfsTables:
+        """These tables; those not yet stored are written together."""
+        made = {n: df for n in names if (df := getattr(self._made, n)) is not None}
+        missing = {n: df for n, df in made.items() if n not in vars(self)}
+        T.write_tables(T.GtfsTables(**missing), self._root)
+        for name, df in T.load_tables(self._spark, self._root, names=list(missing)).items() if missing else ():
+            setattr(self, name, df)
+        return T.GtfsTables(**{n: getattr(self, n) for n in made})
+
+    def all(self) -> T.GtfsTables:
+        return self.only(T.TABLE_NAMES)
+
+    def items(self):
+        return self.all().items()
+
+    def for_bundles(self, bundles) -> T.GtfsTables:
+        """The given bundles of the tables that bundles have (``ridership`` has none)."""
+        return self.only(T.COLUMNS).for_bundles(bundles)
+
+    def __getattr__(self, name: str) -> DataFrame | None:
+        if name not in T.TABLE_NAMES:
+            raise AttributeError(name)
+        return getattr(self.only([name]), name)
+
+
+_FIXTURES: dict[tuple[str, str], StoredTables] = {}
 
 
 def _t(spark, sf_dir):
-    """The GTFS tables derived from ``sf_dir``, stored once per session as
-    Parquet partitioned by bundle; every query scans those."""
+    """The tables derived from ``sf_dir``, stored once per session."""
     key = (session_key(spark), sf_dir)
     if key not in _FIXTURES:
-        root = scratch_folder(spark, "bundles")
-        T.write_tables(star_to_gtfs(spark, sf_dir), root)
-        _FIXTURES[key] = T.load_tables(spark, root)
+        _FIXTURES[key] = StoredTables(spark, sf_dir)
     return _FIXTURES[key]
 
 
@@ -86,7 +117,7 @@ def q_bundle_tables(spark, sf_dir):
 def q_store_two_bundles(spark, sf_dir):
     """pick_b, a first pick_a without its odd services, then pick_a as it is, each
     written to the store; what the store then holds, checked against its manifests."""
-    t = _t(spark, sf_dir)
+    t = _t(spark, sf_dir).all()
     root = scratch_folder(spark, "store")
     store.write_bundle(t, root, "pick_b")
     store.write_bundle(replace(t, trips=t.trips.where("service_id not in ('S1', 'S3', 'S5')"), ridership=None), root, "pick_a")
@@ -98,7 +129,7 @@ def q_store_two_bundles(spark, sf_dir):
 def q_store_trips_by_service(spark, sf_dir):
     """Trips and stop times a service of a store in which pick_a was written before
     pick_b and only pick_b is asked for."""
-    t = _t(spark, sf_dir)
+    t = _t(spark, sf_dir).all()
     root = scratch_folder(spark, "store")
     store.write_bundles(t, root, ["pick_a", "pick_b"])
     b = store.load_bundles(spark, root, ["pick_b"], ["trips", "stop_times"])
@@ -112,7 +143,7 @@ def _feeds(spark, sf_dir):
     """The fixture written as text feeds and read back. pick_b lists its columns in
     another order, has no calendar_dates, and every fortieth order's first stop
     time is malformed in one of four ways."""
-    t = _t(spark, sf_dir)
+    t = _t(spark, sf_dir).only(gtfs_text.TEXT_SCHEMAS)
     root = scratch_folder(spark, "feeds")
     gtfs_text.write_feed(t, root, "pick_a")
     backwards = {n: [c for c in reversed(cols) if c in df.columns] for n, cols in gtfs_text.TEXT_SCHEMAS.items() if (df := getattr(t, n)) is not None}

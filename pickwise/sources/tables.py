@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 TRIP_KEYED = ("trips", "stop_times")
 # Tables written at a time.
 WRITERS = 4
+# Files that a task writes at a time before it sorts its rows by bundle.
+OPEN_FILES, BUNDLE_FILES = "spark.sql.maxConcurrentOutputFileWriters", 8
 
 TABLE_NAMES = ["bundle_dates", "calendar", "calendar_dates", "routes", "trips", "shapes",
                "shape_reference", "stops", "stop_times", "ridership"]
@@ -98,10 +100,20 @@ def write_tables(tables: GtfsTables, root: str, mode: str = "overwrite", files:
             w = w.partitionBy("bundle").option("partitionOverwriteMode", "dynamic")
         w.parquet(f"{root}/{name}")
 
-    # independent jobs: the small tables fill the cores that a larger one leaves idle
-    with ThreadPoolExecutor(WRITERS) as pool:
-        for done in [pool.submit(write, name, df) for name, df in tables.items()]:
-            done.result()
+    # a task keeps a file open for each of its first bundles, so rows aren't sorted by bundle (beyond them they are)
+    spark = next((df.sparkSession for _, df in tables.items()), None)
+    if spark is None:
+        return
+    was = spark.conf.get(OPEN_FILES)
+    if was == "0":
+        spark.conf.set(OPEN_FILES, str(BUNDLE_FILES))
+    try:
+        # independent jobs: the small tables fill the cores that a larger one leaves idle
+        with ThreadPoolExecutor(WRITERS) as pool:
+            for done in [pool.submit(write, name, df) for name, df in tables.items()]:
+                done.result()
+    finally:
+        spark.conf.set(OPEN_FILES, was)
 
 
 def save_bucketed_tables(tables: GtfsTables, root: str, prefix: str = "gtfs", buckets: int = 64,
