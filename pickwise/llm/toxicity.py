@@ -98,9 +98,10 @@ class Postings:
         spans = list(zip(first.tolist(), last.tolist(), strict=True))
         if not spans:
             return np.zeros(len(self.length))
-        value = self.weight[np.concatenate([self.count[a:b] for a, b in spans])]
+        # widened while they are joined: taking and counting would each copy them once more
+        value = self.weight.take(np.concatenate([self.count[a:b] for a, b in spans], dtype=np.intp), mode="clip")
         value *= np.repeat(weights * self.idf[terms], last - first)
-        return np.bincount(np.concatenate([self.row[a:b] for a, b in spans]), value, len(self.length)) / self.length
+        return np.bincount(np.concatenate([self.row[a:b] for a, b in spans], dtype=np.intp), value, len(self.length)) / self.length
 
 
 class Index:

@@ -172,3 +172,14 @@ def test_bounds_of_the_sample_hold(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
     sizes = [len(toxicity.train(docs, labels, *bound, 5, 20)[0].value.index.ids) for bound in ((8000, 1 << 20), (50, 1 << 20), (8000, 50 * 300))]
     assert sizes[0] == 400 and 60 <= sizes[1] <= 140 and 60 <= sizes[2] <= 140
+
+
+def test_sums_of_postings_widen_counts_and_rows():
+    """Counts beyond a byte, terms without postings and repeated terms, against a plain sum."""
+    term, row, count = np.array([2, 0, 2, 3, 0]), np.array([1, 0, 4, 4, 2]), np.array([300, 1, 2, 70000, 255])
+    idf, length = np.array([1.5, 2.0, 0.5, 3.0]), np.array([1.0, 2.0, 4.0, 1.0, 0.5])
+    made = toxicity.Postings(term, row, count, idf, length)
+    asked, weights = np.array([0, 1, 2, 3, 2]), np.array([0.3, 0.1, 0.7, 0.2, 0.4])
+    want = [sum(w * idf[t] * (1 + math.log(c)) for t, w in zip(asked, weights, strict=True) for u, r, c in zip(term, row, count, strict=True) if u == t and r == i) / length[i] for i in range(5)]
+    np.testing.assert_allclose(made.sums(asked, weights), want, rtol=1e-12)
+    assert made.sums(asked[:0], weights[:0]).tolist() == [0.0] * 5
