@@ -59,8 +59,7 @@ class StoredTables:
         return self.all().items()
 
     def for_bundles(self, bundles) -> T.GtfsTables:
-        """The given bundles of the tables that bundles have (``ridership`` has none)."""
-        return self.only(T.COLUMNS).for_bundles(bundles)
+        return self.all().for_bundles(bundles)
 
     def __getattr__(self, name: str) -> DataFrame | None:
         if name not in T.TABLE_NAMES:
@@ -108,7 +107,7 @@ def q_bundle_stops(spark, sf_dir):
 
 @register("bundle_tables", O.BUNDLE_TABLES)
 def q_bundle_tables(spark, sf_dir):
-    return T.bundle_tables(_t(spark, sf_dir), ["pick_a"]).stop_times
+    return T.bundle_tables(_t(spark, sf_dir).only(T.COLUMNS), ["pick_a"]).stop_times
 
 
 # ---- the bundle store --------------------------------------------------------
@@ -361,7 +360,7 @@ def q_stop_list_from_patterns(spark, sf_dir):
 
 @register("report_stop_list_folded", O.titled(O.COMPARE_STOP_LISTS))
 def q_report_stop_list_folded(spark, sf_dir):
-    return report(_t(spark, sf_dir), "pick_a", "pick_b", folded=True)["stop_list"]
+    return report(_t(spark, sf_dir).only(T.COLUMNS), "pick_a", "pick_b", folded=True)["stop_list"]
 
 
 # ---- route summary (C22-C28) ----------------------------------------------------
@@ -499,7 +498,7 @@ def q_variant_table_of_routes(spark, sf_dir):
 # ---- the report of two bundles (C55, IO7) ----------------------------------------------
 
 def _report(part: str):
-    return lambda spark, sf_dir: report(_t(spark, sf_dir), "pick_a", "pick_b")[part]
+    return lambda spark, sf_dir: report(_t(spark, sf_dir).only(T.COLUMNS), "pick_a", "pick_b")[part]
 
 
 for _part, _sql in (("route_summary", O.COMPARE_ROUTE_SUMMARIES), ("stop_list", O.COMPARE_STOP_LISTS),
