@@ -84,4 +84,5 @@ def test_rules_that_ask_the_same_are_folded_before_they_meet_keys(spark):
     assert {tuple(r) for r in out.select("route", "milepost", "rule_value").distinct().collect()} == {
         *((f"r{k}", 2.0, least[0]) for k in (0, 1)), *((f"r{k}", 1.0, least[1]) for k in (0, 1)), ("r2", 1.0, None), ("r2", 2.0, None)}
     plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan  # rules are folded to the first of each test
     assert "BroadcastHashJoin [coalesce" in plan and "SortMergeJoin [coalesce" not in plan
