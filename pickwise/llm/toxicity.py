@@ -37,6 +37,7 @@ from pickwise.llm.shared import crc_fold, row_schema, slices, stored, text_bytes
 
 BATCH = 64
 BLOCK = 128
+STEP = 1 << 20  # postings weighed at a time
 PART = 4 << 20  # bytes of the packed index in a row
 FREQUENT = 0.1  # terms in a larger share of the examples are frequent
 SHARED = 0.02  # words in a larger share of the examples tell kinds of them
@@ -55,13 +56,12 @@ def word_counts(words: Counter[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return _summed(keys.view(np.int64), np.fromiter(words.values(), np.int64, len(words)))
 
 
-def family_counts(words: Counter[bytes], known: dict[bytes, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def family_counts(words: Counter[bytes], known: dict[bytes, int] | None = None, stems: frozenset[bytes] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
     """The same for the leading 4 and 5 bytes of longer words, as a number that
-    holds them (or of the ``known`` ones alone, by their numbers)."""
+    holds them (or of the ``known`` ones alone, by their numbers; ``stems`` are
+    the first 4 bytes of those)."""
     found: dict[int, int] = {}
-    # a known family of 5 bytes counts only words whose first 4 bytes some known family has
-    stems = None if known is None else {f[:4] for f in known}
-    for word, n in words.items() if stems is None else [x for x in words.items() if x[0][:4] in stems]:
+    for word, n in words.items() if known is None else [x for x in words.items() if x[0][:4] in stems]:
         for size in (4, 5):
             if len(word) > size:
                 key = int.from_bytes(word[:size]) | size << 40 if known is None else known.get(word[:size])
@@ -75,32 +75,57 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[order], counts[order]
 
 
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    """Where groups of these sizes begin, and the end of the last."""
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return ends.astype(np.min_scalar_type(-int(ends[-1]) - 1))  # signed
+
+
+def _idf(size: int, held: np.ndarray) -> np.ndarray:
+    return np.log((1 + size) / (1 + held.astype(np.int64))) + 1
+
+
 def _narrow(x: np.ndarray) -> np.ndarray:
     """The same whole numbers from 0 on in as few bytes as hold them."""
     return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
 
 
+def _spans(term: np.ndarray, count: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of entries ordered by term and count, those of one term and count make a span:
+    how many spans each term has; each span's count and size."""
+    heads = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (count[1:] != count[:-1])])[: len(term)])
+    return _narrow(np.bincount(term[heads], minlength=terms)), _narrow(count[heads]), _narrow(np.diff(np.append(heads, len(term))))
+
+
 class Postings:
     """Examples by term (numbered from 0) and how often each holds it. An
     example's weight for a term is (1 + ln count) * idf / its length."""
 
     def __init__(self, term: np.ndarray, row: np.ndarray, count: np.ndarray, idf: np.ndarray, length: np.ndarray):
-        order = np.argsort(term, kind="stable")
+        order = np.lexsort((count, term))
+        self._hold(np.bincount(term, minlength=len(idf)), row[order], *_spans(term[order], count[order], len(idf)), idf, length)
+
+    @classmethod
+    def of(cls, terms: np.ndarray, held: np.ndarray, row: np.ndarray, spans: np.ndarray, counts: np.ndarray, sizes: np.ndarray, idf: np.ndarray, length: np.ndarray) -> Postings:
+        """Those of the terms marked True; ``held``: how many entries each term has."""
+        made, some = cls.__new__(cls), np.repeat(terms, spans)
+        made._hold(np.where(terms, held, 0), row[np.repeat(terms, held)], np.where(terms, spans, 0), counts[some], sizes[some], idf, length)
+        return made
+
+    def _hold(self, held: np.ndarray, row: np.ndarray, spans: np.ndarray, counts: np.ndarray, sizes: np.ndarray, idf: np.ndarray, length: np.ndarray) -> None:
         # few bytes an entry: looking entries up takes most of the time
-        self.row, self.count = row[order].astype(np.int32), _narrow(count[order])
-        self.weight = 1 + np.log(np.maximum(np.arange(int(count.max()) + 1 if len(count) else 1), 1))
-        self.idf, self.length = idf, length
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(idf)))])
+        self.row, self.starts, self.spans, self.counts, self.sizes, self.idf, self.length = _narrow(row), _starts(held), _starts(spans), counts, sizes, idf, length
 
     def sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """For each example the sum of its weights times those given, over the terms."""
-        first, last = self.starts[terms], self.starts[terms + 1]
-        spans = list(zip(first.tolist(), last.tolist(), strict=True))
-        if not spans:
+        if not len(terms):
             return np.zeros(len(self.length))
-        # widened while they are joined: taking and counting would each copy them once more
-        value = self.weight.take(np.concatenate([self.count[a:b] for a, b in spans], dtype=np.intp), mode="clip")
-        value *= np.repeat(weights * self.idf[terms], last - first)
+        # a span's entries weigh the same: its weight is worked out once
+        some, n = self.spans[terms], self.spans[terms + 1] - self.spans[terms]
+        some = np.arange(n.sum()) + np.repeat(some - (np.cumsum(n) - n), n)
+        value = np.repeat((1 + np.log(self.counts[some].astype(float))) * np.repeat(weights * self.idf[terms], n), self.sizes[some])
+        # rows are widened while they are joined: counting would copy them once more
+        spans = zip(self.starts[terms].tolist(), self.starts[terms + 1].tolist(), strict=True)
         return np.bincount(np.concatenate([self.row[a:b] for a, b in spans], dtype=np.intp), value, len(self.length)) / self.length
 
 
@@ -132,17 +157,24 @@ class Index:
         some, times = np.unique(joined([families[i][0] for i in kept[label == 1]]), return_counts=True)
         own[np.searchsorted(found, some)] = times
         z, marks = _marks(own, held, bad, max(len(kept) - bad, 1), least)
-        found, held, z = found[marks], held[marks], z[marks]
+        found, family_held, z = found[marks], held[marks], z[marks]
         use = np.flatnonzero(np.isin(kin, found))
         kin_row = np.searchsorted(np.cumsum([len(families[i][0]) for i in kept]), use, "right").astype(np.int32)
         kin_count = joined([families[i][1] for i in kept])[use]
         kin = np.searchsorted(found, kin[use])
-        vocabulary, term = np.unique(joined([words[i][0] for i in kept]), return_inverse=True)
+        del use
+        # the words' postings: entries by term and count, then by example
+        keys, count = joined([words[i][0] for i in kept]), _narrow(joined([words[i][1] for i in kept]))
+        order = np.lexsort((count, keys)).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+        keys, count = keys[order], count[order]
+        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+        vocabulary, held = keys[heads], np.diff(np.append(heads, len(keys)))
+        del keys
+        row = _narrow(np.repeat(np.arange(len(kept), dtype=np.int32), sizes[kept])[order])
+        del order
         return {
-            "without": without, "least": least, "ids": ids[kept], "toxic": label, "weights": weights[kept].astype(float),
-            "vocabulary": vocabulary, "sizes": sizes[kept].astype(np.int32), "term": term.astype(np.int32), "count": _narrow(joined([words[i][1] for i in kept])),
-            "families": found, "family_held": held, "family_mark": z - 3,
-            "kin": _narrow(kin), "kin_row": kin_row, "kin_count": _narrow(kin_count)}
+            "without": without, "least": least, "vocabulary": vocabulary, "held": _narrow(held), "families": found, "family_held": family_held, "family_mark": z - 3,
+            **Index._placed(ids[kept], label, weights[kept].astype(float), held, row, count, kin, kin_row, kin_count)}
 
     def __getstate__(self) -> dict:
         """The examples' terms and counts; what follows from them is worked out where they arrive."""
@@ -150,49 +182,37 @@ class Index:
 
     def __setstate__(self, state: dict) -> None:
         self.state = state
-        ids, toxic, weights, sizes, term, count = (state[k] for k in ("ids", "toxic", "weights", "sizes", "term", "count"))
-        self.without, self.vocabulary, size = state["without"], state["vocabulary"], len(ids)
-        row = np.repeat(np.arange(size, dtype=np.int32), sizes)
-        held = np.bincount(term, minlength=len(self.vocabulary))
+        self.without, self.vocabulary, self.ids, self.weights, length = (state[k] for k in ("without", "vocabulary", "ids", "weights", "length"))
+        self.toxic, size, held = state["toxic"].astype(float), len(self.ids), state["held"].astype(np.int64)
         self.unknown = float(np.log(1 + size) + 1)
-        self.idf = np.log((1 + size) / (1 + held)) + 1
-        value = (1 + np.log(np.maximum(np.arange(int(count.max()) + 1 if len(count) else 1), 1)))[count]
-        value *= self.idf[term]
-        length = np.sqrt(np.bincount(row, value * value, size))
-        value /= length[row]
+        self.idf = _idf(size, held)
+        starts, row, (spans, counts, sizes) = _starts(held), state["row"], state["spans"]
         frequent = np.flatnonzero(held > FREQUENT * size)
-        column = np.full(len(self.vocabulary), -1, np.int32)
-        column[frequent] = np.arange(len(frequent))
-        often = column[term] >= 0
-        dense = np.zeros((size, len(frequent)))
-        dense[row[often], column[term[often]]] = value[often]
-        # examples of one language or kind come together: by their weightiest word that several of them share
-        shared = np.flatnonzero(held[term] > SHARED * size)
-        shared = shared[np.lexsort((value[shared], row[shared]))]
-        kind, weight = np.full(size, -1), np.zeros(size)
-        kind[row[shared]], weight[row[shared]] = term[shared], value[shared]  # the last, the weightiest, stays
-        del shared, value
-        order = np.lexsort((-weight, kind))
-        place = np.empty(size, np.int32)
-        place[order] = np.arange(size)
-        self.ids, self.toxic, self.weights = ids[order], toxic[order].astype(float), weights[order]
-        self.column, self.cuts = column, np.arange(0, size, BLOCK)
-        dense = dense[order]
-        self.blocks = [np.ascontiguousarray(dense[a : a + BLOCK].T) for a in self.cuts]
-        del dense
+        self.column = np.full(len(held), -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent))
+        self.cuts = np.arange(0, size, BLOCK)
+        self.blocks = [np.zeros((len(frequent), min(BLOCK, size - a))) for a in self.cuts]
+        of = _starts(spans)
+        for f, t in enumerate(frequent.tolist()):
+            line, use, some = np.zeros(size), row[starts[t] : starts[t + 1]], slice(of[t], of[t + 1])
+            line[use] = np.repeat((1 + np.log(counts[some].astype(float))) * self.idf[t], sizes[some]) / length[use]
+            for a, block in zip(self.cuts, self.blocks, strict=True):
+                block[f] = line[a : a + BLOCK]
         self.most = np.stack([b.max(axis=1) for b in self.blocks], axis=1) if self.blocks else np.zeros((len(frequent), 0))
-        self.rare = Postings(term[~often], place[row[~often]], count[~often], self.idf, length[order])
+        self.rare = Postings.of(self.column < 0, held, row, spans, counts, sizes, self.idf, length)
         self.prior = float((self.weights * self.toxic).sum() / max(self.weights.sum(), 1e-12))
-        bad = max(int(toxic.sum()), 1)
-        z, marks = _marks(np.bincount(term, toxic[row], len(held)), held, bad, max(size - bad, 1), state["least"])
+        bad = max(int(state["toxic"].sum()), 1)
+        own = np.add.reduceat(state["toxic"][row], starts[:-1], dtype=np.int64) if len(held) else held
+        z, marks = _marks(own, held, bad, max(size - bad, 1), state["least"])
         self.mark = np.zeros(len(held))
         self.mark[marks] = z[marks] - 3
-        use = self.mark[term] > 0
-        self.marked = Postings(term[use], place[row[use]], count[use], self.idf, length[order])
+        self.marked = Postings.of(self.mark > 0, held, row, spans, counts, sizes, self.idf, length)
         self.families = {(f & (1 << 40) - 1).to_bytes(f >> 40): i for i, f in enumerate(state["families"].tolist())}
+        # a known family of 5 bytes counts only words whose first 4 bytes some known family has
+        self.stems = frozenset(f[:4] for f in self.families)
         self.family_mark = state["family_mark"]
-        self.family_idf = np.log((1 + size) / (1 + state["family_held"])) + 1
-        self.kin = Postings(state["kin"], place[state["kin_row"]], state["kin_count"], self.family_idf, length[order])
+        self.family_idf = _idf(size, state["family_held"])
+        self.kin = Postings(state["kin"], state["kin_row"], state["kin_count"], self.family_idf, length)
 
     def vector(self, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """Terms and weights of a text's unit vector, and its length before."""
@@ -243,18 +263,49 @@ class Index:
         """Add the frequent terms in the blocks wanted of each row."""
         for b in np.flatnonzero(wanted.any(axis=0)):
             own = np.flatnonzero(wanted[:, b])
-            scores[own, self.cuts[b] : self.cuts[b] + BLOCK] += asked[own] @ self.blocks[b]
+            if 2 * len(own) > len(wanted):  # picking most of the rows takes longer than adding 0 to the others
+                part = asked @ self.blocks[b]
+                part[~wanted[:, b]] = 0
+                scores[:, self.cuts[b] : self.cuts[b] + BLOCK] += part
+            else:
+                scores[own, self.cuts[b] : self.cuts[b] + BLOCK] += asked[own] @ self.blocks[b]
 
     def marked_part(self, t: np.ndarray, v: np.ndarray, length: float, words: Counter[bytes]) -> np.ndarray | None:
         """For each example what marking words and families add to its cosine, times their mark."""
         use = self.mark[t] > 0
         out = self.marked.sums(t[use], v[use] * self.mark[t[use]]) if use.any() else None
-        at, counts = family_counts(words, self.families)
+        at, counts = family_counts(words, self.families, self.stems)
         if len(at):
             kin = self.kin.sums(at, (1 + np.log(counts)) * self.family_idf[at] / length * self.family_mark[at])
             out = kin if out is None else out + kin
         return out
 
+    @staticmethod
+    def _placed(ids: np.ndarray, toxic: np.ndarray, weights: np.ndarray, held: np.ndarray, row: np.ndarray, count: np.ndarray, kin: np.ndarray, kin_row: np.ndarray, kin_count: np.ndarray) -> dict:
+        """The examples in the order of their blocks, and their postings by place: those
+        of one language or kind come together, by their weightiest word that several share."""
+        size, starts, idf = len(ids), _starts(held), _idf(len(ids), held)
+        squares = np.zeros(size)
+        edges = np.append(np.searchsorted(starts, np.arange(0, len(row), STEP)), len(held))  # few at a time, to spare memory
+        for a, b in zip(edges, edges[1:], strict=False):
+            some = slice(starts[a], starts[b])
+            value = (1 + np.log(count[some].astype(float))) * np.repeat(idf[a:b], held[a:b])
+            np.add.at(squares, row[some], value * value)
+        length = np.sqrt(squares)
+        several = held > SHARED * size
+        shared, term = np.flatnonzero(np.repeat(several, held)), np.repeat(np.flatnonzero(several), held[several])
+        value, own = (1 + np.log(count[shared].astype(float))) * idf[term] / length[row[shared]], row[shared]
+        last = np.lexsort((value, own))
+        kind, weight = np.full(size, -1), np.zeros(size)
+        kind[own[last]], weight[own[last]] = term[last], value[last]  # the last, the weightiest, stays
+        order = np.lexsort((-weight, kind))
+        place = np.empty(size, row.dtype)
+        place[order] = np.arange(size)
+        return {
+            "ids": ids[order], "toxic": toxic[order], "weights": weights[order], "length": length[order], "row": place[row],
+            "spans": _spans(np.repeat(np.arange(len(held), dtype=np.int32), held), count, len(held)),
+            "kin": _narrow(kin), "kin_row": place[kin_row], "kin_count": _narrow(kin_count)}
+
     def vote(self, rows: np.ndarray, power: np.ndarray) -> float:
         """Log-odds of votes of this power, with one vote at the share of all examples."""
         w = power * self.weights[rows]

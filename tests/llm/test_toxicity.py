@@ -1,7 +1,9 @@
 """Toxicity: index, votes and scores against brute force over plain dictionaries."""
 
 import math
+import pickle
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -183,3 +185,19 @@ def test_sums_of_postings_widen_counts_and_rows():
     want = [sum(w * idf[t] * (1 + math.log(c)) for t, w in zip(asked, weights, strict=True) for u, r, c in zip(term, row, count, strict=True) if u == t and r == i) / length[i] for i in range(5)]
     np.testing.assert_allclose(made.sums(asked, weights), want, rtol=1e-12)
     assert made.sums(asked[:0], weights[:0]).tolist() == [0.0] * 5
+
+
+def test_index_is_made_in_little_more_memory_than_it_takes():
+    """Postings arrive in order, few bytes each: a worker neither sorts nor widens all of them."""
+    r = np.random.default_rng(5)
+    words = [(np.unique(r.integers(0, 40000, 200)), r.integers(1, 4, 200)) for _ in range(3000)]
+    words = [(k, c[: len(k)]) for k, c in words]
+    state = toxicity.Index.packed(np.arange(3000), np.arange(3000) % 2, np.ones(3000), words, [(k[:0], c[:0]) for k, c in words])
+    sent = pickle.dumps(state, protocol=5)
+    made = toxicity.Sent.__new__(toxicity.Sent)
+    tracemalloc.start()
+    made.__setstate__(sent)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    entries = sum(len(k) for k, _ in words)
+    assert len(made.index.rare.row) == entries and len(sent) < 4 * entries and peak < 24 * entries
