@@ -473,7 +473,7 @@ def score(
         model = sent.value.index if sent is not None else None
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for batch in slices(batches):
-            texts = text_bytes(batch.column("text"))
+            texts = text_bytes(pc.struct_field(batch.column("row"), "text") if within else batch.column("text"))
             each = list(dict.fromkeys(texts))
             found = dict(zip(each, model.votes(each, k) if model is not None else [None] * len(each), strict=True))
             scores, why = [], []
@@ -489,7 +489,10 @@ def score(
             names = ["doc_id", "held_out", "score", "predicted", "evidence"]
             yield pa.RecordBatch.from_arrays(columns + [batch.column(c) for c in ["row"] * carry], names + ["row"] * carry)
 
+    # a carried row's text isn't sent a second time
+    within = carry and [kind for name, kind in documents.dtypes if name.lower() == "text"] in (["string"], ["binary"]) and "text" in documents.columns
     docs = with_row(documents, carry, **{
-        "doc_id": F.col("doc_id").cast("long"), "held_out": F.coalesce(crc_fold(F.col("doc_id"), folds) == held_out, F.lit(False)), "text": F.col("text").cast("binary")})
+        "doc_id": F.col("doc_id").cast("long"), "held_out": F.coalesce(crc_fold(F.col("doc_id"), folds) == held_out, F.lit(False)),
+        **({} if within else {"text": F.col("text").cast("binary")})})
     out = "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"
     return docs.mapInArrow(run, row_schema(docs, out, carry))

@@ -201,3 +201,15 @@ def test_index_is_made_in_little_more_memory_than_it_takes():
     tracemalloc.stop()
     entries = sum(len(k) for k, _ in words)
     assert len(made.index.rare.row) == entries and len(sent) < 4 * entries and peak < 24 * entries
+
+
+def test_carried_texts_are_sent_once(spark):
+    docs = spark.createDataFrame([(i, None if i == 3 else ("vilest " if i % 2 else "plain ") + word()) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    carried = toxicity.score(docs, labels, carry=True)
+    assert "as binary) AS text" not in carried._jdf.queryExecution().optimizedPlan().toString()
+    plain = {r.doc_id: (r.score, r.evidence) for r in toxicity.score(docs, labels).collect()}
+    assert {r.doc_id: (r.score, r.evidence) for r in carried.collect()} == plain
+    assert {tuple(r.row) for r in carried.collect()} == {tuple(r) for r in docs.collect()}
+    other = toxicity.score(docs.withColumnRenamed("text", "TEXT"), labels, carry=True)
+    assert {r.doc_id: (r.score, r.evidence) for r in other.collect()} == plain
